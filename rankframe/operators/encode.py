@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,20 @@ def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return df.select(*[cleaned(c) for c in df.columns])
 
 
+def fit_vocabulary(
+    df: DataFrame, categories: Sequence[str]
+) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """Stored vocabulary table, and per feature its size (values + 1) and text bytes."""
+    if not categories:
+        empty = df.sparkSession.createDataFrame([], "feature string, value string, id int")
+        return empty, {}, {}
+    distinct = materialize(distinct_categories(df, categories))
+    found = {r["feature"]: (r["n_values"], r["n_bytes"]) for r in category_sizes(distinct).collect()}
+    sizes = {c: found.get(c, (0, 0))[0] + 1 for c in categories}
+    octets = {c: found.get(c, (0, 0))[1] for c in categories}
+    return materialize(number_categories(distinct, max(sizes.values()))), sizes, octets
+
+
 def fit(df: DataFrame, spec: FeatureSpec, cfg: PreprocessConfig) -> PreprocessorState:
     """Quantile boundaries, vocabularies and embedding widths of a prepared split.
 
@@ -57,21 +73,18 @@ def fit(df: DataFrame, spec: FeatureSpec, cfg: PreprocessConfig) -> Preprocessor
     categories = [c for c in spec.categorical if c in df.columns]
     if not numeric:
         raise ValueError("the frame has none of the numeric features")
-    bounds = quantile_boundaries(df, numeric, cfg.n_bins).orderBy("pos").collect()
+
+    def boundaries() -> list:
+        return quantile_boundaries(df, numeric, cfg.n_bins).orderBy("pos").collect()
+
+    # the two halves share nothing, so one can use the tasks the other leaves idle
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        threaded = inheritable_thread_target(df.sparkSession)
+        first = pool.submit(threaded(boundaries))
+        second = pool.submit(threaded(lambda: fit_vocabulary(df, categories)))
+        bounds, (vocabulary, sizes, octets) = first.result(), second.result()
     if len(bounds) != len(numeric):
         raise ValueError("cannot fit on a frame without rows")
-
-    sizes: dict[str, int] = {}
-    octets: dict[str, int] = {}
-    if categories:
-        distinct = materialize(distinct_categories(df, categories))
-        found = {r["feature"]: r for r in category_sizes(distinct).collect()}
-        for c in categories:
-            sizes[c] = (found[c]["n_values"] if c in found else 0) + 1
-            octets[c] = found[c]["n_bytes"] if c in found else 0
-        vocabulary = materialize(number_categories(distinct, max(sizes.values())))
-    else:
-        vocabulary = df.sparkSession.createDataFrame([], "feature string, value string, id int")
     dims = {c: cfg.dim_overrides.get(c, embedding_dim(n)) for c, n in sizes.items()}
     for column, (buckets, dim) in cfg.id_hash.items():
         sizes[column] = buckets + 1
@@ -129,7 +142,7 @@ def encode(
     keep: Sequence[str] | None = None,
     skip_targets: bool = False,
     with_bins: bool = False,
-    bin_method: str = "native",
+    bin_method: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Encoded rows: ``keep`` columns, ``num``, ``cat``, optional ``emb``, ``target``, ``bins``.

@@ -48,7 +48,7 @@ def _wanted_ranks(total: Column, fractions: Sequence[float]) -> Column:
     )
     below = F.transform(exact, lambda h: F.floor(h).cast("long"))
     above = F.transform(below, lambda r: F.least(r + 1, total - 1))
-    return F.array_union(below, above)
+    return F.array_sort(F.array_union(below, above))
 
 
 def quantile_boundaries(df: DataFrame, columns: Sequence[str], n_bins: int) -> DataFrame:
@@ -79,8 +79,15 @@ def quantile_boundaries(df: DataFrame, columns: Sequence[str], n_bins: int) -> D
         .withColumn("stop", F.sum("n").over(upto))
         .withColumn("start", F.col("stop") - F.col("n"))
         .withColumn("ranks", ranks)
-        .filter(F.size(wanted_between(F.col("start"), F.col("stop"))) > 0)
-        .select("pos", "bucket", "start")
+        .withColumn("inside", wanted_between(F.col("start"), F.col("stop")))
+        .filter(F.size("inside") > 0)
+        .select(
+            "pos",
+            "bucket",
+            "start",
+            F.get("inside", F.lit(0)).alias("first_rank"),
+            F.element_at("inside", -1).alias("last_rank"),
+        )
     )
 
     # pass 2: which values these are
@@ -91,9 +98,14 @@ def quantile_boundaries(df: DataFrame, columns: Sequence[str], n_bins: int) -> D
     )
     hits = (
         values.join(F.broadcast(wanted), ["pos", "bucket"])
-        .groupBy("pos", "bucket", "start", "value")
+        .groupBy("pos", "bucket", "start", "first_rank", "last_rank", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("stop", F.col("start") + F.sum("n").over(ordered))
+        # most values lie beside the wanted ranks; only the rest is looked at closely
+        .filter(
+            (F.col("stop") > F.col("first_rank"))
+            & (F.col("stop") - F.col("n") <= F.col("last_rank"))
+        )
         .withColumn("ranks", ranks)
         .withColumn("rank", F.explode(wanted_between(F.col("stop") - F.col("n"), F.col("stop"))))
         .groupBy("pos")

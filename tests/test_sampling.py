@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from rankframe import FeatureSpec, SampleConfig
+from rankframe.operators import sampling
+from rankframe.plans.pointwise import explain_text, pointwise_rows, split_rows
+
+SPEC = FeatureSpec(numeric=("x",), categorical=("page_type",), embedding_dim=4)
+SCHEMA = (
+    "unified_buyer_id string, product_id long, shop_id long, event_timestamp_day date, "
+    "is_native_order boolean, page_type string, section_id string, campaign_id int, x double"
+)
+DAY = date(2024, 1, 1)
+
+
+def source(spark, rows):
+    """Rows given as (buyer, product, label) or with more columns replaced by name."""
+    full = []
+    for buyer, product, label, *rest in rows:
+        extra = rest[0] if rest else {}
+        full.append(
+            (
+                buyer,
+                product,
+                1,
+                extra.get("day", DAY),
+                label,
+                extra.get("page", "home_feed"),
+                extra.get("section", "rail"),
+                extra.get("campaign"),
+                1.0,
+            )
+        )
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def test_window_is_half_open(spark):
+    days = [date(2023, 12, 31), date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)]
+    df = source(spark, [("b", i, True, {"day": d}) for i, d in enumerate(days)])
+    kept = df.filter(
+        sampling.in_day_window(F.col("event_timestamp_day"), date(2024, 1, 1), date(2024, 1, 3))
+    )
+    assert sorted(r["product_id"] for r in kept.collect()) == [1, 2]
+
+
+def test_surfaces(spark):
+    df = source(
+        spark,
+        [
+            ("b", 1, True),
+            ("b", 2, True, {"section": None}),
+            ("b", 3, True, {"section": "my_recently_viewed_rail"}),
+            ("b", 4, True, {"page": "boosted_merchants", "campaign": 5}),
+            ("b", 5, True, {"page": "boosted_merchants"}),
+            ("b", 6, True, {"page": "shop_store", "campaign": 5}),
+            ("b", 7, True, {"page": "boosted_merchants", "campaign": 5, "section": None}),
+        ],
+    )
+
+    def products(surface):
+        return sorted(r[0] for r in df.filter(sampling.on_surface(surface)).select("product_id").collect())
+
+    assert products("all") == [1, 4, 5]
+    assert products("boosted_merchants") == [4]
+    with pytest.raises(ValueError):
+        sampling.on_surface("other")
+
+
+def test_user_sample_takes_whole_buyers(spark):
+    df = source(spark, [(f"b{i % 500}", i, False) for i in range(2000)])
+    kept = sampling.sample_users(df, 30, SPEC)
+    per_buyer = kept.groupBy("unified_buyer_id").count().collect()
+    assert all(r["count"] == 4 for r in per_buyer)
+    assert 0.2 < len(per_buyer) / 500 < 0.4
+    assert sampling.sample_users(df, 100, SPEC) is df
+
+
+def test_positive_rate_is_a_double_and_counts_null_as_negative(spark):
+    df = source(spark, [("a", 1, True), ("a", 2, False), ("a", 3, None)])
+    assert sampling.positive_rate(df, SPEC).head()[0] == 1 / 3
+
+
+def kept_products(df, scale=20):
+    cfg = SampleConfig(negative_scale=scale, hash_algo="md5")
+    return sorted(
+        r["product_id"] if r["product_id"] is not None else -1
+        for r in sampling.downsample_negatives(df, cfg, SPEC).collect()
+    )
+
+
+def test_all_positive_input_is_kept_whole(spark):
+    assert kept_products(source(spark, [("a", i, True) for i in range(5)])) == [0, 1, 2, 3, 4]
+
+
+def test_no_rows(spark):
+    assert kept_products(source(spark, [])) == []
+
+
+def test_without_positives_only_hash_zero_would_stay(spark):
+    assert kept_products(source(spark, [("a", i, False) for i in range(50)])) == []
+
+
+def test_large_ratio_keeps_all_negatives_with_a_full_key(spark):
+    rows = [("a", 1, True), ("a", 2, False), ("a", None, False), ("a", 3, None)]
+    assert kept_products(source(spark, rows)) == [1, 2, 3]
+
+
+def test_copies_of_a_triple_share_their_fate_and_ratio_holds(spark):
+    rows = [("p", i, True) for i in range(20)]
+    rows += [("n", i, False) for i in range(4000)] * 2
+    kept = sampling.downsample_negatives(
+        source(spark, rows), SampleConfig(negative_scale=20), SPEC
+    ).filter("not is_native_order")
+    counts = kept.groupBy("product_id").count().collect()
+    assert {r["count"] for r in counts} == {2}
+    assert 300 < sum(r["count"] for r in counts) < 500  # about 20 per positive
+
+
+@pytest.mark.parametrize(
+    ("rate", "scale", "expected"),
+    [(0.0, 20, 0), (0.5, 1, 1_000_000), (1.0, 20, None), (None, 20, None), (1 / 3, 1, 500_000)],
+)
+def test_threshold(spark, rate, scale, expected):
+    value = F.lit(rate).cast("double")
+    assert spark.range(1).select(sampling.negative_threshold(value, scale)).head()[0] == expected
+
+
+def test_threshold_rounds_half_away_from_zero(spark):
+    # 1e6 * p / (1 - p) = 2.5 for this rate
+    rate = 2.5e-6 / (1 + 2.5e-6)
+    got = spark.range(1).select(sampling.negative_threshold(F.lit(rate), 1)).head()[0]
+    assert got == (3 if round(1e6 * rate / (1 - rate), 12) >= 2.5 else 2)
+
+
+def test_split_columns_types_and_modes(spark):
+    df = source(spark, [("a", 1, True), ("a", 2, None, {"day": date(2024, 1, 5)})])
+    cfg = SampleConfig(stop_date="2024-01-06", base_window_days=30)
+    base = split_rows(df, cfg, SPEC, "base_train")
+    assert base.columns == [*SPEC.split_columns, "target_is_native_order", "ubi_hash"]
+    assert dict(base.dtypes)["target_is_native_order"] == "int"
+    assert dict(base.dtypes)["ubi_hash"] == "bigint"
+    assert base.count() == 2
+    assert split_rows(df, cfg, SPEC, "finetune").filter("product_id = 1").isEmpty()
+
+
+def test_dry_run_runs_no_job_and_pushes_the_window(spark, tmp_path):
+    path = str(tmp_path / "source")
+    source(spark, [("a", 1, True), ("b", 2, False)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    plan = explain_text(pointwise_rows(df, SampleConfig(), SPEC, date(2024, 1, 1), date(2024, 2, 1)))
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert "GreaterThanOrEqual(event_timestamp_day,2024-01-01)" in plan
+    main = plan.split("===== Subqueries =====")[0]
+    assert "Exchange" not in main
+    # the statistic reads neither features nor ids
+    statistic = plan.split("===== Subqueries =====")[1]
+    assert "product_id" not in [line for line in statistic.splitlines() if "ReadSchema" in line][0]
