@@ -53,8 +53,8 @@ def score_parity(
 ) -> DataFrame:
     """One row comparing two score tables by row id.
 
-    ``passed`` needs at least one common row, none that only one side has, and a largest
-    absolute difference below ``atol``.
+    ``passed`` needs at least one common row, no row or score that only one side has, and a
+    largest absolute difference below ``atol``.
     """
     keys = list(keys)
     a = left.select(*keys, F.col(score).cast("double").alias("_a"), F.lit(1).alias("_in_a"))
@@ -66,8 +66,9 @@ def score_parity(
         F.count_if(F.col("_in_a").isNull() | F.col("_in_b").isNull()).alias("n_unmatched"),
         F.max(gap).alias("max_abs_diff"),
         F.avg(gap).alias("mean_abs_diff"),
+        F.count_if(gap.isNull()).alias("_no_gap"),
     )
     return summary.withColumn(
         "passed",
-        F.coalesce((F.col("max_abs_diff") < atol) & (F.col("n_unmatched") == 0), F.lit(False)),
-    )
+        F.coalesce((F.col("max_abs_diff") < atol) & (F.col("_no_gap") == 0), F.lit(False)),
+    ).drop("_no_gap")

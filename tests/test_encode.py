@@ -1,0 +1,241 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rankframe import FeatureSpec, PreprocessConfig
+from rankframe.functions.binning import quantile_bins
+from rankframe.operators import encode as enc
+from rankframe.operators import vocabulary as voc
+from rankframe.operators.quantiles import quantile_boundaries
+from rankframe.sources.state import PreprocessorState, load_artifacts, write_artifacts
+from rankframe.streaming import encode_arriving_rows
+
+N_ROWS = 500
+SPEC = FeatureSpec(
+    numeric=tuple(f"n{i}" for i in range(12)), categorical=("c0", "c1", "page_type"), embedding_dim=2
+)
+CFG = PreprocessConfig(n_bins=16, id_hash={"shop_id": (1000, 8)}, dim_overrides={"c1": 7})
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rng = np.random.default_rng(42)
+    numbers = rng.normal(size=(N_ROWS, 12))
+    numbers[:, 1] = rng.integers(0, 3, N_ROWS)  # few values, many ties
+    numbers[:, 2] = 0.0
+    numbers[:, 3] *= 1e30
+    rows = [
+        (
+            *[float(v) for v in numbers[i]],
+            f"val_{rng.integers(8)}",
+            f"Ä{rng.integers(5)}",
+            None if i % 9 == 0 else f"p{i % 3}",
+            None if i % 50 == 0 else int(rng.integers(1, 10_000)),
+            i % 2,
+            f"u{i}",
+            i,
+        )
+        for i in range(N_ROWS)
+    ]
+    names = [*SPEC.numeric, *SPEC.categorical]
+    schema = ", ".join(
+        [f"{n} double" for n in SPEC.numeric]
+        + [f"{n} string" for n in SPEC.categorical]
+        + [
+            "shop_id long",
+            "target_is_native_order int",
+            "unified_buyer_id string",
+            "product_id long",
+        ]
+    )
+    assert names
+    return spark.createDataFrame(rows, schema).cache()
+
+
+@pytest.fixture(scope="module")
+def state(frame):
+    return enc.fit(enc.prepare(frame, SPEC), SPEC, CFG)
+
+
+def numpy_boundaries(frame, n_bins):
+    values = frame.select(*SPEC.numeric).toPandas().to_numpy().astype(np.float32)
+    fractions = np.linspace(0, 1, n_bins + 1)[1:-1]
+    return values, np.stack(
+        [np.quantile(values[:, i], fractions).astype(np.float32) for i in range(values.shape[1])]
+    )
+
+
+@pytest.mark.parametrize("n_bins", [2, 7, 16, 64])
+def test_boundaries_equal_numpy_bit_for_bit(frame, n_bins):
+    rows = quantile_boundaries(frame, SPEC.numeric, n_bins).orderBy("pos").collect()
+    _, expected = numpy_boundaries(frame, n_bins)
+    np.testing.assert_array_equal(np.float32([r["bounds"] for r in rows]), expected)
+    assert [r["feature"] for r in rows] == list(SPEC.numeric)
+
+
+def test_boundaries_of_extremes(spark):
+    values = [0.0, -0.0, 1e-45, -1e-45, 3.4e38, -3.4e38, 1.0, -1.0, 2.0, 1e300, -1e300]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = quantile_boundaries(df, ["x"], 11).head()["bounds"]
+    ordered = np.sort(np.array(values, dtype=np.float32))
+    finite = [
+        q
+        for q, f in zip(got, np.linspace(0, 1, 12)[1:-1])
+        if np.isfinite(ordered[[int(f * 10), min(int(f * 10) + 1, 10)]]).all()
+    ]
+    expected = [
+        e
+        for e, f in zip(
+            np.quantile(ordered, np.linspace(0, 1, 12)[1:-1]).astype(np.float32),
+            np.linspace(0, 1, 12)[1:-1],
+        )
+        if np.isfinite(ordered[[int(f * 10), min(int(f * 10) + 1, 10)]]).all()
+    ]
+    np.testing.assert_array_equal(np.float32(finite), np.float32(expected))
+    assert len(finite) >= 8
+
+
+def test_single_row_and_nulls(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (4.0,)], "x double")
+    assert quantile_boundaries(df, ["x"], 4).head()["bounds"] == [0.0, 0.0, 2.0]
+    one = spark.createDataFrame([(3.0,)], "x double")
+    assert quantile_boundaries(one, ["x"], 4).head()["bounds"] == [3.0, 3.0, 3.0]
+
+
+def test_empty_fits_are_refused(spark, frame):
+    with pytest.raises(ValueError, match="rows"):
+        enc.fit(frame.limit(0), SPEC, CFG)
+    with pytest.raises(ValueError, match="numeric"):
+        enc.fit(frame.select("c0"), SPEC, CFG)
+    with pytest.raises(ValueError, match="column"):
+        quantile_boundaries(frame, [], 4)
+
+
+@pytest.mark.parametrize("method", ["native", "arrow"])
+def test_bins_on_boundaries_and_beyond(spark, method):
+    bounds = [[1.0, 2.0, 2.0, 3.0], [10.0, 20.0, 20.0, 30.0]]
+    values = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, -1e9, 1e9]
+    df = spark.createDataFrame([([v, v * 10],) for v in values], "num array<float>")
+    got = [r[0] for r in df.select(quantile_bins(F.col("num"), bounds, method)).collect()]
+    one = [1, 1, 2, 2, 4, 4, 5, 1, 5]
+    assert got == [[b, b] for b in one]
+
+
+def test_both_bin_methods_agree_with_searchsorted(frame, state):
+    values, bounds = numpy_boundaries(frame, CFG.n_bins)
+    expected = np.stack(
+        [np.searchsorted(bounds[i], values[:, i]) + 1 for i in range(len(bounds))], axis=1
+    )
+    for method in ("native", "arrow"):
+        coded = enc.encode(
+            enc.prepare(frame, SPEC), state, SPEC, keep=["product_id"], with_bins=True, bin_method=method
+        )
+        got = np.array([r["bins"] for r in coded.orderBy("product_id").collect()])
+        np.testing.assert_array_equal(got, expected)
+        assert got.min() >= 1 and got.max() <= CFG.n_bins
+
+
+def test_vocabulary_sizes_and_dims(state):
+    assert state.vocab_sizes == {"c0": 9, "c1": 6, "page_type": 5, "shop_id": 1001}
+    assert state.embedding_dims == {"c0": 4, "c1": 7, "page_type": 2, "shop_id": 8}
+    words = {(r["feature"], r["value"]): r["id"] for r in state.vocabulary.collect()}
+    assert words["page_type", "__MISSING__"] == 1  # sorts before lower-case words
+    assert [words["c0", f"val_{i}"] for i in range(8)] == list(range(1, 9))
+
+
+def test_raw_nulls_stay_out_of_the_vocabulary(spark):
+    df = spark.createDataFrame([(1.0, "a"), (2.0, None), (3.0, "b")], "n0 double, c0 string")
+    spec = FeatureSpec(numeric=("n0",), categorical=("c0",))
+    fitted = enc.fit(df, spec, PreprocessConfig(n_bins=2, id_hash={}))
+    assert sorted(r["value"] for r in fitted.vocabulary.collect()) == ["a", "b"]
+    coded = enc.encode(df, fitted, spec, keep=[], skip_targets=True)
+    assert sorted(r["cat"][0] for r in coded.collect()) == [0, 1, 2]
+
+
+def test_range_numbering_equals_window_numbering(spark):
+    words = spark.sql(
+        "select 'f' as feature, concat(substr(md5(string(id)), 1, 3), id) as value from range(3000) "
+        "union all select 'g', string(id) from range(10)"
+    )
+    plain = voc.number_categories(words, 3000).collect()
+    ranged = voc._number_by_ranges(words, 3000, ranges=40).collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, ranged))
+
+
+def test_large_vocabularies_take_the_shuffled_lookup(frame, state):
+    rows = enc.prepare(frame, SPEC)
+    small = enc.encode(rows, state, SPEC, keep=["product_id"])
+    large = enc.encode(rows, state, SPEC, keep=["product_id"], broadcast_bytes=0)
+    assert sorted((r[0], r["cat"]) for r in small.collect()) == sorted(
+        (r[0], r["cat"]) for r in large.collect()
+    )
+
+
+def test_encoded_layout(frame, state):
+    rows = enc.prepare(frame, SPEC)
+    coded = enc.encode(rows, state, SPEC)
+    assert coded.columns == ["unified_buyer_id", "product_id", "shop_id", "num", "cat", "target"]
+    types = dict(coded.dtypes)
+    assert (types["num"], types["cat"], types["target"]) == ("array<float>", "array<int>", "float")
+    assert state.encoded_order == ["c0", "c1", "page_type", "shop_id"]
+    row = coded.filter("product_id = 0").head()
+    assert row["cat"][2] == 1 and 1 <= row["cat"][3] <= 1000
+    assert "target" not in enc.encode(rows, state, SPEC, skip_targets=True).columns
+
+
+def test_missing_columns(frame, state):
+    rows = enc.prepare(frame, SPEC)
+    with pytest.raises(ValueError, match="numeric"):
+        enc.encode(rows.drop("n3"), state, SPEC)
+    with pytest.raises(ValueError, match="categories"):
+        enc.encode(rows.drop("page_type"), state, SPEC)
+    served = enc.encode(rows.drop("page_type", "shop_id"), state, SPEC, mode="serving")
+    assert {(r["cat"][2], r["cat"][3]) for r in served.collect()} == {(1, 0)}
+    trained = enc.encode(rows.drop("shop_id"), state, SPEC)
+    assert {r["cat"][3] for r in trained.collect()} == {0}
+
+
+def test_wide_embedding_columns_are_packed(spark, frame, state):
+    wide = frame.withColumns(
+        {f"{p}_emb_{i}": F.lit(None if i else 0.5).cast("double") for p in ("product", "user") for i in range(2)}
+    )
+    coded = enc.encode(enc.prepare(wide, SPEC), state, SPEC)
+    assert coded.head()["emb"] == [0.5, 0.0, 0.5, 0.0]
+
+
+def test_state_roundtrip_is_exact(spark, state, tmp_path):
+    state.save(spark, str(tmp_path / "state"))
+    assert state.same_as(PreprocessorState.load(spark, str(tmp_path / "state")))
+
+
+def test_serving_artifacts_encode_alike(spark, frame, state, tmp_path):
+    path = str(tmp_path / "artifacts")
+    write_artifacts(spark, state, CFG, SPEC, path)
+    served = load_artifacts(spark, path)
+    extremes = frame.withColumns({c: F.lit(s * 1e9) for c, s in (("n0", 1), ("n4", -1))})
+    exact = frame.withColumns({c: F.lit(float(state.boundaries[i][7])) for i, c in enumerate(SPEC.numeric)})
+    unseen = frame.withColumns({"c0": F.lit("never seen"), "shop_id": F.lit(None).cast("long")})
+    for rows in (frame, extremes, exact, unseen):
+        found = enc.encoding_mismatches(enc.prepare(rows, SPEC), state, served, SPEC).head()
+        assert tuple(found) == (N_ROWS, 0, 0)
+
+
+def test_stream_encodes_like_the_batch(spark, frame, state, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    frame.filter("product_id < 300").repartition(3).write.parquet(source)
+    stream = spark.readStream.schema(frame.schema).parquet(source)
+    for _ in range(2):  # the second run only picks up what the first had not seen
+        query = encode_arriving_rows(
+            stream, state, SPEC, out, str(tmp_path / "progress"), with_bins=True
+        )
+        query.awaitTermination()
+        frame.filter("product_id >= 300").write.mode("ignore").parquet(str(tmp_path / "later"))
+        spark.read.parquet(str(tmp_path / "later")).write.mode("append").parquet(source)
+    got = spark.read.parquet(out)
+    expected = enc.encode(enc.prepare(frame, SPEC), state, SPEC, with_bins=True)
+    assert got.count() == N_ROWS
+    assert got.exceptAll(expected.select(got.columns)).isEmpty()
+    with pytest.raises(ValueError, match="readStream"):
+        encode_arriving_rows(frame, state, SPEC, out, str(tmp_path / "p2"))
