@@ -76,12 +76,12 @@ def prepared_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_sums(vector: Column, name: str) -> list[Column]:
     """Plain and position-weighted sum; together they notice a moved or changed element."""
     weighted = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
-    plain = F.transform(vector, lambda x: x.cast("double"))
 
     def total(values: Column) -> Column:
-        return F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 6) + F.lit(0.0)
+        summed = F.aggregate(values, F.lit(0.0), lambda a, x: a + x.cast("double"))
+        return F.round(summed, 6) + F.lit(0.0)
 
-    return [total(plain).alias(f"{name}_sum"), total(weighted).alias(f"{name}_dot")]
+    return [total(vector).alias(f"{name}_sum"), total(weighted).alias(f"{name}_dot")]
 
 
 def spread(vector: str, names, prefix: str, kind: str) -> list[Column]:
@@ -205,7 +205,7 @@ def embedding_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = base_split(spark, sf_dir).select(*KEYS, SPEC.buyer_hash)
+    split = materialize(base_split(spark, sf_dir).select(*KEYS, SPEC.buyer_hash))
     pairs = identity.distinct_buyer_days(split, SPEC)
     products = fx.product_embedding_table(spark, sf_dir).withColumnRenamed(
         "product_search_document_embedding", embeddings.PRODUCT_VECTOR
@@ -213,7 +213,7 @@ def embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = embeddings.user_embeddings_at_day(
         fx.embedding_history(spark, sf_dir), pairs, SPEC, hash_algo="md5"
     )
-    found = embeddings.attach_embeddings(split, SPEC, products, users)
+    found = embeddings.attach_embeddings(split, SPEC, products, materialize(users))
     dim = SPEC.embedding_dim
     product, user = F.slice("emb", 1, dim), F.slice("emb", dim + 1, dim)
     return found.select(

@@ -46,27 +46,31 @@ join {customer} on o_custkey = c_custkey
 """
 
 # One version per buyer, kind and day, so the window sees at most one row per calendar day
-# of a buyer, however many orders the buyer has.
+# of a buyer, however many orders the buyer has.  Vectors join last and are not shuffled by it.
 HISTORY_SQL = """
 select 'c' || cast(o_custkey as string) as unified_buyer_id,
        interaction_type,
        valid_from,
-       lead(valid_from) over (partition by o_custkey, interaction_type order by valid_from) as valid_to,
+       valid_to,
        case when o_orderkey % 11 = 0 then null else embedding end
            as user_average_product_search_document_embedding
 from (
-  select o_custkey, interaction_type, o_orderkey,
-         o_orderdate + interval '1' hour * (o_orderkey % 24) as valid_from,
+  select o_custkey, interaction_type, o_orderkey, valid_from,
+         lead(valid_from) over (partition by o_custkey, interaction_type order by valid_from) as valid_to,
          o_orderkey % (select count(*) from {embeddings}) as vec
   from (
-    select o_custkey,
-           case when o_orderstatus = 'P' then 'CLICK' else 'ORDER' end as interaction_type,
-           o_orderdate,
-           max(o_orderkey) as o_orderkey
-    from {orders}
-    group by o_custkey, case when o_orderstatus = 'P' then 'CLICK' else 'ORDER' end, o_orderdate
-  ) as versions
-) as timed
+    select o_custkey, interaction_type, o_orderkey,
+           o_orderdate + interval '1' hour * (o_orderkey % 24) as valid_from
+    from (
+      select o_custkey,
+             case when o_orderstatus = 'P' then 'CLICK' else 'ORDER' end as interaction_type,
+             o_orderdate,
+             max(o_orderkey) as o_orderkey
+      from {orders}
+      group by o_custkey, case when o_orderstatus = 'P' then 'CLICK' else 'ORDER' end, o_orderdate
+    ) as versions
+  ) as timed
+) as intervals
 join {embeddings} on vec_id = vec
 """
 
@@ -104,8 +108,30 @@ MONTH = SampleConfig(stop_date="2000-01-31", finetune_window_days=30, hash_algo=
 ENCODING = PreprocessConfig(id_hash={"shop_id": (50, 16)}, hash_algo="md5", pretrained_emb_dim=64)
 
 
+# Stated, so that opening a table does not start a job to read its footers.
+SCHEMAS = {
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "part": (
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "embeddings": "vec_id long, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,28 +14,34 @@ def zero_vector(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0).cast("float"), dim)
 
 
-def vector_or_zeros(vector: Column, dim: int) -> Column:
-    """First ``dim`` elements; a null vector or element reads as 0, a short vector is an error."""
-    leading = F.transform(
-        F.slice(vector, 1, dim), lambda x: F.coalesce(x.cast("float"), F.lit(0.0).cast("float"))
+def _first_elements(vector: Column, dim: int, repair: Callable[[Column], Column]) -> Column:
+    """First ``dim`` elements, ``repair`` applied to each if there is anything to repair."""
+    floats = vector.cast("array<float>")
+    leading = F.when(F.size(floats) == dim, floats).otherwise(F.slice(floats, 1, dim))
+    # One compiled loop tells vectors without nulls and NaN (false) from the others (null or
+    # true); only those go through the much slower element-wise function.
+    intact = F.array_contains(floats, F.lit(float("nan")).cast("float")).eqNullSafe(F.lit(False))
+    too_short = F.raise_error(
+        F.concat(
+            F.lit(f"vector has fewer than {dim} elements: "), F.size(floats).cast("string")
+        )
     )
     return (
         F.when(vector.isNull(), zero_vector(dim))
-        .when(F.size(vector) >= dim, leading)
-        .otherwise(
-            F.raise_error(
-                F.concat(
-                    F.lit(f"vector has fewer than {dim} elements: "),
-                    F.size(vector).cast("string"),
-                )
-            )
-        )
+        .when(F.size(floats) < dim, too_short)
+        .when(intact, leading)
+        .otherwise(F.transform(leading, repair))
     )
 
 
+def vector_or_zeros(vector: Column, dim: int) -> Column:
+    """First ``dim`` elements; a null vector or element reads as 0, a short vector is an error."""
+    return _first_elements(vector, dim, lambda x: F.coalesce(x, F.lit(0.0).cast("float")))
+
+
 def clean_vector(vector: Column, dim: int) -> Column:
     """Like :func:`vector_or_zeros`, with NaN elements also read as 0."""
-    return F.transform(vector_or_zeros(vector, dim), clean_numeric)
+    return _first_elements(vector, dim, clean_numeric)
 
 
 def expand_vector(vector: Column, prefix: str, dim: int) -> list[Column]:

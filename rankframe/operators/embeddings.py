@@ -100,6 +100,8 @@ def user_embeddings_at_day(
     so both sides are shuffled by buyer only and adaptive execution splits hot buyers.
     """
     kind = history.schema["valid_from"].dataType
+    # a pair with a null matches nothing; without them the day range and the join read one shuffle
+    pairs = pairs.dropna()
     versions = prune_history(history, pairs, spec).select(
         F.col(spec.buyer).alias("_buyer"), "valid_from", "valid_to", vector
     )
