@@ -15,6 +15,10 @@ from rankframe.session import materialize
 _ROW_BITS = 33
 
 
+def _hashed(df: DataFrame) -> list[str]:
+    return narrow_columns(df) or df.columns
+
+
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "pos") -> DataFrame:
     """Zero-based position of each row when sorted by ``order``.
 
@@ -23,7 +27,7 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str = "pos") -> DataFr
     summed up and added.  Rows that tie on every column take the positions in any order; the
     source partition number as last sort key lets a mass of copies spread over tasks.
     """
-    ordered = df.orderBy(*order, F.xxhash64(*narrow_columns(df)), F.spark_partition_id())
+    ordered = df.orderBy(*order, F.xxhash64(*_hashed(df)), F.spark_partition_id())
     numbered = materialize(ordered.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", _ROW_BITS)
     # a window over the list of partitions, not over the rows
@@ -58,6 +62,6 @@ def training_batches(
     if order_by:
         numbered = number_rows(df, order_by)
     else:
-        mixed = df.withColumn("_mix", F.xxhash64(F.lit(seed), *narrow_columns(df)))
+        mixed = df.withColumn("_mix", F.xxhash64(F.lit(seed), *_hashed(df)))
         numbered = number_rows(mixed, ["_mix"]).drop("_mix")
     return numbered.withColumn("batch_id", F.floor(F.col("pos") / batch_size).cast("long"))

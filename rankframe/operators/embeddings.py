@@ -135,6 +135,7 @@ def lookup_vectors(
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
     salt_columns: Sequence[str] | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus vector ``out``: the vector of each row's key, zeros where it is unknown.
 
@@ -142,7 +143,9 @@ def lookup_vectors(
     """
     cleaned = table.select(*keys, clean_vector(F.col(vector), dim).alias(out))
     small = fits_broadcast(table.select(*keys), 4 * dim + 64, broadcast_bytes)
-    joined = lookup_join(df, cleaned, keys, out, small=small, salt_columns=salt_columns)
+    joined = lookup_join(
+        df, cleaned, keys, out, small=small, salt_columns=salt_columns, count_on=count_on
+    )
     return joined.withColumn(out, F.coalesce(F.col(out), zero_vector(dim)))
 
 
@@ -157,48 +160,60 @@ def attach_embeddings(
     product_dim: int | None = None,
     user_dim: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Add the ``[product, user]`` vector.  A missing table leaves its part out; no table, no vector.
 
     ``user_keys`` are the join columns of the user table: the packed (buyer, day) key, or the
-    buyer and day columns themselves, which rules out hash collisions.
+    buyer and day columns themselves, which rules out hash collisions.  ``count_on`` may be a
+    cheaper frame with the same id columns to find hot keys in.
     """
     if products is None and users is None:
         return df
     names = df.columns
-    parts: list[Column] = []
-    # Only narrow columns take part in the salt; vectors would be slow to hash.
+    product_key = "_product_key"
+    by_user_key = tuple(user_keys) == (USER_KEY,)
+
+    def with_keys(rows: DataFrame) -> DataFrame:
+        if products is not None:
+            null_is_zero = F.coalesce(F.col(spec.product).cast("long"), F.lit(0).cast("long"))
+            rows = rows.withColumn(product_key, null_is_zero)
+        if users is not None and by_user_key:
+            rows = rows.withColumn(
+                USER_KEY, user_date_key(F.col(spec.buyer_hash), F.col(spec.day))
+            )
+        return rows
+
+    # Only narrow columns take part in the salt; vectors would be slow to hash.  Key counts
+    # come from the rows before any lookup, or the second count would repeat the first join.
     salt = narrow_columns(df)
-    if users is not None:
-        dim = user_dim or spec.embedding_dim
-        if tuple(user_keys) == (USER_KEY,):
-            df = df.withColumn(USER_KEY, user_date_key(F.col(spec.buyer_hash), F.col(spec.day)))
-        df = lookup_vectors(
-            df,
-            users,
-            list(user_keys),
-            USER_VECTOR,
-            dim,
-            "_user_part",
-            broadcast_bytes=broadcast_bytes,
-            salt_columns=salt,
-        )
+    counted = with_keys(count_on or df)
+    df = with_keys(df)
+    parts: list[Column] = []
     if products is not None:
-        dim = product_dim or spec.embedding_dim
-        probe = "_product_key"
-        df = df.withColumn(probe, F.coalesce(F.col(spec.product).cast("long"), F.lit(0).cast("long")))
-        table = products.select(F.col(spec.product).cast("long").alias(probe), PRODUCT_VECTOR)
         df = lookup_vectors(
             df,
-            table,
-            [probe],
+            products.select(F.col(spec.product).cast("long").alias(product_key), PRODUCT_VECTOR),
+            [product_key],
             PRODUCT_VECTOR,
-            dim,
+            product_dim or spec.embedding_dim,
             "_product_part",
             broadcast_bytes=broadcast_bytes,
             salt_columns=salt,
+            count_on=counted,
         )
         parts.append(F.col("_product_part"))
     if users is not None:
+        df = lookup_vectors(
+            df,
+            users,
+            list(user_keys),
+            USER_VECTOR,
+            user_dim or spec.embedding_dim,
+            "_user_part",
+            broadcast_bytes=broadcast_bytes,
+            salt_columns=salt,
+            count_on=counted,
+        )
         parts.append(F.col("_user_part"))
     return df.select(*names, F.concat(*parts).alias(out))

@@ -116,6 +116,7 @@ def category_ids(
     is called ``<that column>_id``.  These are hash joins against the vocabulary.  Its size is
     known from the fit, so small ones are broadcast and large ones take the skew-safe lookup.
     """
+    rows = df
     for feature, column in columns.items():
         out, probe = f"{column}_id", f"_value_of_{column}"
         known = state.vocabulary.filter(F.col("feature") == feature).select(
@@ -128,7 +129,8 @@ def category_ids(
         elif df.isStreaming:  # row counts of a stream are not known ahead, so no salting
             df = df.join(known, probe, "left")
         else:
-            df = lookup_join(df, known, [probe], out, small=False)
+            counted = rows.select(F.col(column).cast("string").alias(probe))
+            df = lookup_join(df, known, [probe], out, small=False, count_on=counted)
         df = df.withColumn(out, F.coalesce(F.col(out), F.lit(0))).drop(probe)
     return df
 

@@ -54,12 +54,14 @@ def lookup_join(
     small: bool,
     parts: int | None = None,
     salt_columns: Sequence[str] | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` plus column ``value`` of ``right``, null where the key is unknown.
 
     Every left row comes out exactly once: a key that occurs more than once in ``right`` is
     reduced to its smallest value (partial aggregation, no ranking window).  ``small`` says
-    that the caller has checked the size of ``right``.
+    that the caller has checked the size of ``right``.  Key counts are taken from ``count_on``,
+    which has the keys of ``left`` but may be cheaper to compute, or else from ``left``.
     """
     keys = list(keys)
     right = right.select(*keys, value).dropna(subset=keys)
@@ -69,7 +71,7 @@ def lookup_join(
 
     if parts is None:
         parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left.select(*keys).dropna(), keys, parts))
+    hot = F.broadcast(hot_keys((count_on or left).select(*keys).dropna(), keys, parts))
     # Equal rows get equal salts on every attempt of a task, so a rerun cannot lose rows.
     # Rows without a key match nothing and are spread over all pieces.
     by = list(salt_columns or narrow_columns(left))

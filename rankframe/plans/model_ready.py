@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankframe.functions.vectors import pack_columns
 from rankframe.operators.embeddings import PRODUCT_VECTOR, USER_KEY, USER_VECTOR, attach_embeddings
 from rankframe.operators.encode import encode, fit, prepare
-from rankframe.functions.vectors import pack_columns
 from rankframe.sources.splits import read_optional_split, read_split
 from rankframe.sources.state import PreprocessorState
 from rankframe.spec import FeatureSpec, PreprocessConfig
@@ -52,7 +52,7 @@ def model_ready(
     encoded = encode(
         prepared, state, spec, keep=[*spec.keys, spec.buyer_hash], with_bins=with_bins
     )
-    return attach_embeddings(encoded, spec, products, users)
+    return attach_embeddings(encoded, spec, products, users, count_on=prepared)
 
 
 def base_training_table(

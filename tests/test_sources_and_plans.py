@@ -153,3 +153,14 @@ def test_artifact_files(spark, exported, tmp_path):
 def test_dry_run_is_text_only(spark):
     text = plan_split(spark, fixture_catalog(spark, SF_DIR), fx.WHOLE_RANGE, fx.SPEC, "base_train")
     assert "Physical Plan" in text
+
+
+def test_lookups_agree_whether_broadcast_or_shuffled(spark, exported):
+    from rankframe.operators.embeddings import attach_embeddings
+
+    split = read_split(spark, exported, "base_train").select(*fx.SPEC.keys, fx.SPEC.buyer_hash)
+    tables = embedding_tables(spark, exported, fx.SPEC)
+    sent = attach_embeddings(split, fx.SPEC, *tables)
+    shuffled = attach_embeddings(split, fx.SPEC, *tables, broadcast_bytes=0)
+    assert sent.count() == split.count()
+    assert sent.exceptAll(shuffled).isEmpty() and shuffled.exceptAll(sent).isEmpty()
