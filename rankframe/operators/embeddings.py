@@ -134,7 +134,7 @@ def lookup_vectors(
     out: str,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salt_columns: Sequence[str] | None = None,
+    hash_columns: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus vector ``out``: the vector of each row's key, zeros where it is unknown.
@@ -144,7 +144,7 @@ def lookup_vectors(
     cleaned = table.select(*keys, clean_vector(F.col(vector), dim).alias(out))
     small = fits_broadcast(table.select(*keys), 4 * dim + 64, broadcast_bytes)
     joined = lookup_join(
-        df, cleaned, keys, out, small=small, salt_columns=salt_columns, count_on=count_on
+        df, cleaned, keys, out, small=small, hash_columns=hash_columns, count_on=count_on
     )
     return joined.withColumn(out, F.coalesce(F.col(out), zero_vector(dim)))
 
@@ -184,9 +184,9 @@ def attach_embeddings(
             )
         return rows
 
-    # Only narrow columns take part in the salt; vectors would be slow to hash.  Key counts
-    # come from the rows before any lookup, or the second count would repeat the first join.
-    salt = narrow_columns(df)
+    # Rows are told apart by their own columns; vectors would be slow to hash.  Key counts come
+    # from the rows before any lookup, or the second count would repeat the first join.
+    own = narrow_columns(df)
     counted = with_keys(count_on or df)
     df = with_keys(df)
     parts: list[Column] = []
@@ -199,7 +199,7 @@ def attach_embeddings(
             product_dim or spec.embedding_dim,
             "_product_part",
             broadcast_bytes=broadcast_bytes,
-            salt_columns=salt,
+            hash_columns=own,
             count_on=counted,
         )
         parts.append(F.col("_product_part"))
@@ -212,7 +212,7 @@ def attach_embeddings(
             user_dim or spec.embedding_dim,
             "_user_part",
             broadcast_bytes=broadcast_bytes,
-            salt_columns=salt,
+            hash_columns=own,
             count_on=counted,
         )
         parts.append(F.col("_user_part"))

@@ -65,8 +65,11 @@ def quantile_boundaries(df: DataFrame, columns: Sequence[str], n_bins: int) -> D
     ).select("pos", "value", _bucket(F.col("value")).alias("bucket"))
 
     # every cleaned column has as many values as there are rows
-    total = df.agg(F.count(F.lit(1))).scalar()
-    ranks = df.agg(_wanted_ranks(F.count(F.lit(1)), fractions)).scalar()
+    rows = F.count(F.lit(1))
+    counted = df.agg(
+        F.struct(rows.alias("total"), _wanted_ranks(rows, fractions).alias("ranks"))
+    ).scalar()
+    total, ranks = counted["total"], counted["ranks"]
 
     def wanted_between(start: Column, stop: Column) -> Column:
         return F.filter("ranks", lambda r: (r >= start) & (r < stop))

@@ -3,39 +3,38 @@
 A lookup is a left join against a table that holds one row per key.  Adaptive execution can
 split a hot partition of a plain sort-merge join, but not when the right side arrives
 straight from an aggregation on the join key, which is exactly what a deduplicated lookup
-table does.  So hot keys are spread here, in proportion to their share of the rows.
+table does.  So rows with a hot key are served from a broadcast of the few hot entries and
+spread evenly over the shuffle that finds the others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A lookup table up to this size is sent to every executor instead of being shuffled.
 BROADCAST_BYTES = 64 << 20
-
-_FAN, _SALT = "_fan", "_salt"
+# At most this many hot entries are broadcast, whatever the number of shuffle partitions.
+MAX_HOT_KEYS = 4096
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
-    """Keys holding more than 1/``parts`` of the rows, with the pieces to cut each into.
+    """Keys holding more than 1/``parts`` of the rows.
 
-    Fewer than ``parts`` keys can qualify and their pieces add up to less than 2 x ``parts``,
-    whatever the data, so the result may be broadcast.
+    Fewer than ``parts`` keys can, whatever the data, so the result may be broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = df.agg(F.count(F.lit(1))).scalar()
-    share = F.col("_rows") * F.lit(parts).cast("long") / total
-    return counts.filter(share > 1).select(*keys, F.ceil(share).cast("int").alias(_FAN))
+    return counts.filter(F.col("_rows") * F.lit(parts).cast("long") > total).select(*keys)
 
 
 def narrow_columns(df: DataFrame) -> list[str]:
-    """Columns worth hashing for a salt: all but arrays and maps."""
+    """Columns worth hashing to tell rows apart: all but arrays and maps."""
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType))]
 
 
@@ -45,6 +44,17 @@ def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES)
     return df.limit(cap + 1).count() <= cap
 
 
+def _stand_in(row_hash: Column, kind: T.DataType) -> Column | None:
+    """A key of type ``kind`` made from a row hash, or ``None`` if there is no simple one."""
+    if isinstance(kind, T.LongType):
+        return row_hash
+    if isinstance(kind, T.IntegerType):
+        return F.pmod(row_hash, F.lit(2**31 - 1).cast("long")).cast("int")
+    if isinstance(kind, T.StringType):
+        return row_hash.cast("string")
+    return None
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -53,7 +63,7 @@ def lookup_join(
     *,
     small: bool,
     parts: int | None = None,
-    salt_columns: Sequence[str] | None = None,
+    hash_columns: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` plus column ``value`` of ``right``, null where the key is unknown.
@@ -63,28 +73,39 @@ def lookup_join(
     that the caller has checked the size of ``right``.  Key counts are taken from ``count_on``,
     which has the keys of ``left`` but may be cheaper to compute, or else from ``left``.
     """
-    keys = list(keys)
+    keys, names = list(keys), left.columns
     right = right.select(*keys, value).dropna(subset=keys)
+    unique = right.groupBy(*keys).agg(F.min(value).alias(value))
     if small:
-        unique = right.groupBy(*keys).agg(F.min(value).alias(value))
-        return left.join(F.broadcast(unique), keys, "left")
+        return left.join(F.broadcast(unique), keys, "left").select(*names, value)
 
     if parts is None:
-        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys((count_on or left).select(*keys).dropna(), keys, parts))
-    # Equal rows get equal salts on every attempt of a task, so a rerun cannot lose rows.
-    # Rows without a key match nothing and are spread over all pieces.
-    by = list(salt_columns or narrow_columns(left))
-    row_hash = F.xxhash64(*by) if by else F.spark_partition_id().cast("long")
-    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    pieces = F.when(no_key, F.lit(parts)).otherwise(F.coalesce(F.col(_FAN), F.lit(1)))
-    left = left.join(hot, keys, "left").withColumn(
-        _SALT, F.pmod(row_hash, pieces.cast("long")).cast("int")
+        shuffle_parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = min(shuffle_parts, MAX_HOT_KEYS)
+    hot = hot_keys((count_on or left).select(*keys).dropna(), keys, parts)
+    hot_values = (
+        right.join(F.broadcast(hot), keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.min(value).alias("_hot_value"))
     )
-    unique = (
-        right.join(hot, keys, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_FAN), F.lit(1)) - 1)))
-        .groupBy(*keys, _SALT)
-        .agg(F.min(value).alias(value))
+    hot = hot.join(hot_values, keys, "left").withColumn("_hot", F.lit(True))
+
+    # The rest goes through the shuffle.  Rows that need nothing from there, because their key
+    # is hot or null, take a key made from the row instead and so land anywhere.  Equal rows
+    # make equal keys on every attempt of a task, so a rerun cannot lose rows, and `_open`
+    # keeps a made-up key from matching.
+    row_hash = F.xxhash64(*(hash_columns or narrow_columns(left) or names))
+    is_open = reduce(and_, [F.col(k).isNotNull() for k in keys]) & F.col("_hot").isNull()
+    probes, spread = {}, False
+    for k in keys:
+        other = None if spread else _stand_in(row_hash, left.schema[k].dataType)
+        spread = spread or other is not None
+        own = F.col(k)
+        probes[f"_probe_{k}"] = own if other is None else F.when(F.col("_open"), own).otherwise(other)
+    probing = (
+        left.join(F.broadcast(hot), keys, "left").withColumn("_open", is_open).withColumns(probes)
     )
-    return left.join(unique, [*keys, _SALT], "left").drop(_FAN, _SALT)
+    entries = unique.select(*[F.col(k).alias(f"_entry_{k}") for k in keys], F.col(value).alias("_cold_value"))
+    matches = reduce(and_, [F.col(f"_probe_{k}") == F.col(f"_entry_{k}") for k in keys])
+    found = probing.join(entries, matches & F.col("_open"), "left")
+    return found.select(*names, F.coalesce("_hot_value", "_cold_value").alias(value))
