@@ -265,3 +265,21 @@ def test_user_lookup_on_plain_columns(spark):
         df, SPEC, None, users, user_keys=("unified_buyer_id", "event_timestamp_day")
     )
     assert sorted((r[0], r["emb"]) for r in got.collect()) == [("a", [1.0, 2.0]), ("b", [0.0, 0.0])]
+
+
+def test_restless_history_is_cut_to_one_version_per_day(spark):
+    """A buyer with thousands of versions a day must not reach the join with all of them."""
+    history = spark.sql(
+        """select 'hot' as unified_buyer_id, 'ORDER' as interaction_type,
+           timestamp_seconds(1704067200 + id * 60) as valid_from,
+           timestamp_seconds(1704067200 + (id + 1) * 60) as valid_to,
+           array(float(id), 0f) as user_average_product_search_document_embedding
+           from range(14400)"""  # ten days of one version per minute
+    )
+    pairs = spark.sql(
+        "select 'hot' as unified_buyer_id, date_add(date'2024-01-02', cast(id as int)) as event_timestamp_day "
+        "from range(5)"
+    )
+    assert emb.prune_history(history, pairs, SPEC).count() <= 6
+    got = sorted(r["user_emb"][0] for r in emb.user_embeddings_at_day(history, pairs, SPEC).collect())
+    assert got == [1440.0 * d for d in range(1, 6)]
