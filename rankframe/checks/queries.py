@@ -68,9 +68,16 @@ def month_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_rows(fx.interactions(spark, sf_dir), fx.MONTH, SPEC, "finetune")
 
 
+def stored_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base split written in even files, as an export leaves it."""
+    root = scratch_path(spark)
+    write_split(base_split(spark, sf_dir), root, "base_train", even_files=True)
+    return read_split(spark, root, "base_train")
+
+
 def prepared_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base split as later stages see it: written once, then read and cleaned."""
-    return encode.prepare(materialize(base_split(spark, sf_dir)), SPEC)
+    return encode.prepare(stored_base(spark, sf_dir), SPEC)
 
 
 def vector_sums(vector: Column, name: str) -> list[Column]:
@@ -205,7 +212,7 @@ def embedding_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = materialize(base_split(spark, sf_dir).select(*KEYS, SPEC.buyer_hash))
+    split = stored_base(spark, sf_dir).select(*KEYS, SPEC.buyer_hash)
     pairs = identity.distinct_buyer_days(split, SPEC)
     products = fx.product_embedding_table(spark, sf_dir).withColumnRenamed(
         "product_search_document_embedding", embeddings.PRODUCT_VECTOR
@@ -265,7 +272,7 @@ def quantile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows on purpose: their nulls and a vocabulary that has none meet here."""
-    split = materialize(base_split(spark, sf_dir))
+    split = stored_base(spark, sf_dir)
     state = encode.fit(split, SPEC, fx.ENCODING)
     coded = encode.category_ids(split, state, {c: c for c in state.categories})
     return coded.select(*KEYS, *[f"{c}_id" for c in state.categories])

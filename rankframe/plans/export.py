@@ -59,7 +59,8 @@ def export_split(
     """Sampled split first, then embeddings for the ids that the sampling left."""
     rows = split_rows(catalog.read(spark, "interactions"), cfg, spec, mode)
     name = SPLIT_NAMES[mode]
-    paths = {name: write_split(rows, root, name)}
+    # sampling leaves a few rows of every source file
+    paths = {name: write_split(rows, root, name, even_files=True)}
     paths |= export_embeddings(
         read_split(spark, root, name),
         catalog.read(spark, "product_embeddings"),
