@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankframe.llm import lengths, packing
+from rankframe.llm import lengths, line_rules, packing, secrets
 from rankframe.llm.common import read_table
 
 
@@ -18,9 +18,17 @@ def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.context_limits(lengths.length_histogram(read_table(spark, sf_dir, "documents")))
 
 
+def op6_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read_table(spark, sf_dir, "documents")).drop("redacted")
+
+
+def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge_documents(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hierarchical_packing, op5_length_histogram)}
+    return {f.__name__: f for f in (op1_hierarchical_packing, op5_length_histogram, op6_trigram_secrets, op10_line_frequency)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_line_frequency": line_rules.LINE_RULES_SQL}
