@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankframe.llm import lengths, line_rules, packing, secrets
+from rankframe.llm import decontaminate, lengths, line_rules, packing, secrets, url_filter
 from rankframe.llm.common import read_table
 
 
@@ -22,12 +22,20 @@ def op6_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents")).drop("redacted")
 
 
+def op8_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge_documents(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hierarchical_packing, op5_length_histogram, op6_trigram_secrets, op10_line_frequency)}
+    return {f.__name__: f for f in (op1_hierarchical_packing, op5_length_histogram, op6_trigram_secrets, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
 
 
 def oracle_sql() -> dict[str, str]:
