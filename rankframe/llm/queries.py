@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankframe.llm import decontaminate, lengths, line_rules, packing, secrets, url_filter
-from rankframe.llm.common import read_table
+from rankframe.llm import decontaminate, lengths, line_rules, packing, secrets, sharding, url_filter, warc
+from rankframe.llm.common import read_table, scratch
 
 
 def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op4_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archive(read_table(spark, sf_dir, "pages"), path)
+    return warc.describe_records(warc.read_archive(spark, path))
+
+
 def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.context_limits(lengths.length_histogram(read_table(spark, sf_dir, "documents")))
 
@@ -35,8 +45,8 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hierarchical_packing, op5_length_histogram, op6_trigram_secrets, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
+    return {f.__name__: f for f in (op1_hierarchical_packing, op3_label_propagation, op4_content_archive, op5_length_histogram, op6_trigram_secrets, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_frequency": line_rules.LINE_RULES_SQL}
+    return {"op4_content_archive": warc.WARC_SQL, "op10_line_frequency": line_rules.LINE_RULES_SQL}
