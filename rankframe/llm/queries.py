@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rankframe.llm import decontaminate, lengths, line_rules, packing, secrets, sharding, url_filter, warc
+from rankframe.llm import decontaminate, language, lengths, line_rules, packing, secrets, sharding, url_filter, warc
 from rankframe.llm.common import read_table, scratch
 
 
@@ -32,6 +33,12 @@ def op6_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents")).drop("redacted")
 
 
+def op7_language_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.fit_language_model(documents.where("not held_out"))
+    return language.identify(documents, model, ["doc_id", "held_out"])
+
+
 def op8_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -45,7 +52,7 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hierarchical_packing, op3_label_propagation, op4_content_archive, op5_length_histogram, op6_trigram_secrets, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
+    return {f.__name__: f for f in (op1_hierarchical_packing, op3_label_propagation, op4_content_archive, op5_length_histogram, op6_trigram_secrets, op7_language_ftrl, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
 
 
 def oracle_sql() -> dict[str, str]:
