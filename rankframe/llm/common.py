@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankframe.session import ensure_checkpoint_dir
 
-WORD = r"[^\x20\x09-\x0D]+"
+SPLIT = r"[\x20\x09-\x0D]+"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,16 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def words_of(text: Column) -> Column:
+    """Words between ASCII white space."""
+    return F.array_remove(F.split(text, SPLIT), "")
+
+
 def numbered(df: DataFrame, key: str, order: str, slot: str, rows_per_bucket: int = 50_000) -> DataFrame:
     """Add ``slot``: a gapless number from 0 within each ``key``.
 
@@ -38,8 +49,6 @@ def numbered(df: DataFrame, key: str, order: str, slot: str, rows_per_bucket: in
     rows = df.count()
     buckets = max(1, -(-rows // rows_per_bucket)) * 8
     dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(order), F.lit(buckets)).cast("int"))
-    from pyspark.sql import Window
-
     first = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         dealt.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))

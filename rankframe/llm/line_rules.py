@@ -5,16 +5,14 @@ DataFrame functions only: no Python runs on the executors.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankframe.llm.common import stored
+from rankframe.llm.common import let, stored, words_of
 
 SPACES = " \t\n\x0b\x0c\r"
-SPLIT = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 
@@ -34,15 +32,6 @@ class LineRules:
     broadcast_rows: int = 500_000
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once per row."""
-    return F.transform(F.array(value), body)[0]
-
-
-def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(text, SPLIT), "")
-
-
 def _covered(hashes: Column, position_bits: int) -> Column:
     """How many words lie in windows whose hash occurs twice.  Hash and position share a
     long, so one primitive sort brings equal windows together; full hashes decide."""
@@ -54,9 +43,9 @@ def _covered(hashes: Column, position_bits: int) -> Column:
         return F.coalesce((F.shiftright(x, position_bits) == F.shiftright(y, position_bits)) & (F.get(hashes, place(x)) == F.get(hashes, place(y))), F.lit(False))
 
     packed = F.sort_array(F.transform(hashes, lambda x, i: x.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
-    repeated = _let(packed, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, k: equal(s, x, k - 1) | equal(s, x, k + 1)), place)))
+    repeated = let(packed, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, k: equal(s, x, k - 1) | equal(s, x, k + 1)), place)))
     gaps = lambda p: F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
-    return _let(repeated, lambda p: F.aggregate(gaps(p), F.lit(0).cast("long"), lambda a, x: a + x))
+    return let(repeated, lambda p: F.aggregate(gaps(p), F.lit(0).cast("long"), lambda a, x: a + x))
 
 
 def repeated_words(words: Column) -> Column:
@@ -68,7 +57,7 @@ def repeated_words(words: Column) -> Column:
         none = F.size(F.array_distinct(h)) == F.size(h)
         return F.when(none, F.lit(0).cast("long")).when(F.size(h) < (1 << 20), _covered(h, 20)).otherwise(_covered(h, 31))
 
-    return _let(hashes, count)
+    return let(hashes, count)
 
 
 def line_facts(documents: DataFrame, rules: LineRules) -> DataFrame:
@@ -82,10 +71,10 @@ def line_facts(documents: DataFrame, rules: LineRules) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(HAS_WORD))
 
     def line(x: Column, host: Column) -> Column:
-        return _let(words_of(F.lower(x)), lambda w: F.struct(F.xxhash64(host, F.array_join(w, " ")).alias("key"), F.size(w).alias("words")))
+        return let(words_of(F.lower(x)), lambda w: F.struct(F.xxhash64(host, F.array_join(w, " ")).alias("key"), F.size(w).alias("words")))
 
-    duplicated = _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-    own = _let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
+    duplicated = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+    own = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
     facts = split.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankframe.llm import decontaminate, language, lengths, line_rules, packing, secrets, sharding, url_filter, warc
+from rankframe.llm import decontaminate, jaccard, language, lengths, line_rules, packing, secrets, sharding, url_filter, warc
 from rankframe.llm.common import read_table, scratch
 
 
@@ -15,6 +15,10 @@ def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hierarchical_packing, op3_label_propagation, op4_content_archive, op5_length_histogram, op6_trigram_secrets, op7_language_ftrl, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
+    return {f.__name__: f for f in (op1_hierarchical_packing, op2_set_relation_join, op3_label_propagation, op4_content_archive, op5_length_histogram, op6_trigram_secrets, op7_language_ftrl, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
 
 
 def oracle_sql() -> dict[str, str]:
