@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -149,7 +150,7 @@ def shingles(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
 
 
-def _query(batches: Iterable[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
+def _query(index, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = index.value
     for batch in batches:
         rows = [(doc, item, *values) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)) for item, values in held.leaks(text.as_py()).items()]
@@ -170,16 +171,30 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, config: LeakConfig |
     items count once; repeated documents, and those with null ids, are reported each.
     Other columns are ignored.
     """
-    config = config or LeakConfig()
     spark = documents.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
-    rounds = -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // config.index_bytes)
     source = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    found = spark.createDataFrame([], schema)
-    for k in range(rounds):
-        block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(rounds)) == k)
-        index = spark.sparkContext.broadcast(ItemIndex(sorted(map(tuple, block.collect()), key=str), config))
-        hits = source.mapInArrow(lambda it, index=index: _query(it, index), schema)
-        found = hits if rounds == 1 else found.unionByName(hits)
-    return found
+    found = [source.mapInArrow(functools.partial(_query, index), schema) for index in _indexes(benchmark, config or LeakConfig())]
+    return functools.reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+
+
+def _indexes(benchmark: DataFrame, config: LeakConfig) -> list:
+    """Broadcast indexes of bounded size over all items."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
+    rounds = -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // config.index_bytes)
+    blocks = (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(rounds)) == k) for k in range(rounds))
+    return [spark.sparkContext.broadcast(ItemIndex(sorted(map(tuple, block.collect()), key=str), config)) for block in blocks]
+
+
+def _without_leaks(index, text_column: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = index.value
+    for batch in batches:
+        yield batch.filter(pa.array([not held.leaks(text.as_py()) for text in batch.column(text_column)], pa.bool_()))
+
+
+def drop_leaks(documents: DataFrame, benchmark: DataFrame, config: LeakConfig | None = None) -> DataFrame:
+    """``documents`` without the rows that hold a verified leak; columns are as given."""
+    for index in _indexes(benchmark, config or LeakConfig()):
+        documents = documents.mapInArrow(functools.partial(_without_leaks, index, documents.columns.index("text")), documents.schema)
+    return documents
