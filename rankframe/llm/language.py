@@ -12,6 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from rankframe.llm.common import stored
 
@@ -143,12 +144,15 @@ def _examples(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, int]
         yield np.frombuffer(seen, "<i4"), np.frombuffer(values, "<f4").astype(float), label
 
 
-def _learn(shared, rows: pd.DataFrame) -> pd.DataFrame:
-    config, z, n = shared.value
-    z, n = z.copy(), n.copy()
-    order = np.random.default_rng(len(rows)).permutation(len(rows))
-    ftrl_pass(_examples(rows.iloc[order]), z, n, config)
-    return pd.DataFrame({"rows": [len(rows)], "z": [z.astype("<f8").tobytes()], "n": [n.astype("<f8").tobytes()]})
+def _learner(shared):
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        config, z, n = shared.value
+        z, n = z.copy(), n.copy()
+        order = np.random.default_rng(len(rows)).permutation(len(rows))
+        ftrl_pass(_examples(rows.iloc[order]), z, n, config)
+        return pd.DataFrame({"rows": [len(rows)], "z": [z.astype("<f8").tobytes()], "n": [n.astype("<f8").tobytes()]})
+
+    return learn
 
 
 def fit_language_model(labelled: DataFrame, config: LanguageConfig | None = None) -> LanguageModel | None:
@@ -184,7 +188,7 @@ def fit_language_model(labelled: DataFrame, config: LanguageConfig | None = None
     for _ in range(config.rounds):
         state = spark.sparkContext.broadcast((config, z, n))
         # about per_language * languages / shards rows each
-        learnt = learning.groupBy("shard").applyInPandas(functools.partial(_learn, state), "rows long, z binary, n binary").collect()
+        learnt = learning.groupBy("shard").applyInPandas(_learner(state), "rows long, z binary, n binary").collect()
         weight = sum(r["rows"] for r in learnt)
         z = sum(r["rows"] / weight * np.frombuffer(r["z"], "<f8") for r in learnt).reshape(z.shape)
         n = sum(r["rows"] / weight * np.frombuffer(r["n"], "<f8") for r in learnt).reshape(n.shape)
@@ -229,8 +233,8 @@ def _predict(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
     for batch in batches:
         found = [predict(text.as_py(), model, config) for text in batch.column(0)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[1:], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-            names=[*batch.schema.names[1:], "lang_pred", "score"],
+            [batch.column(1), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+            names=["kept", "lang_pred", "score"],
         )
 
 
@@ -242,9 +246,9 @@ def identify(documents: DataFrame, model: LanguageModel | None, keep: list[str],
     """
     config = config or LanguageConfig()
     shared = documents.sparkSession.sparkContext.broadcast((model, config))
-    source = documents.select(F.col("text").cast("string").alias("_text"), *keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
-    return source.mapInArrow(lambda it: _predict(it, shared), f"{kept}, lang_pred string, score double")
+    source = documents.select(F.col("text").cast("string").alias("text"), F.struct(*keep).alias("kept"))
+    schema = StructType([source.schema["kept"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return source.mapInArrow(lambda it: _predict(it, shared), schema).select("kept.*", "lang_pred", "score")
 
 
 def held_out(doc_id) -> F.Column:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rankframe.llm.common import stored
 
@@ -190,7 +191,7 @@ def _scan(batches: Iterable[pa.RecordBatch], rules: tuple[Rule, ...], always: in
             rows.append((*n, hashlib.sha256(_joined(own).encode()).hexdigest(), _joined(spans), redact(text, spans, mark) if mark is not None and spans else None))
         found = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.string()] * 3)] if rows else []
         if rows:
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *found], names=[*batch.schema.names[2:], *(c.split()[0] for c in RESULT.split(", "))])
+            yield pa.RecordBatch.from_arrays([batch.column(2), *found], names=["kept", *(c.split()[0] for c in RESULT.split(", "))])
 
 
 def scan_secrets(documents: DataFrame, keep: list[str] | None = None, mark: str | None = None, broadcast_rows: int = 2_000_000) -> DataFrame:
@@ -217,7 +218,7 @@ def scan_secrets(documents: DataFrame, keep: list[str] | None = None, mark: str
     if hits.count() <= broadcast_rows:
         hits = F.broadcast(hits)
     keep = keep or ["doc_id"]
-    source = documents.select(F.col("text").cast("string").alias("_text"), _key().alias("_doc"), *keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema)
-    found = source.join(hits, "_doc", "left").select("_text", "_rules", *keep)
-    return found.mapInArrow(lambda it: _scan(it, rules, always, mark), f"{kept}, {RESULT}")
+    source = documents.select(F.col("text").cast("string").alias("text"), F.struct(*keep).alias("kept"), _key().alias("_doc"))
+    schema = StructType([source.schema["kept"], *StructType.fromDDL(RESULT)])
+    found = source.join(hits, "_doc", "left").select("text", "_rules", "kept")
+    return found.mapInArrow(lambda it: _scan(it, rules, always, mark), schema).select("kept.*", *schema.names[1:])

@@ -28,7 +28,8 @@ def propagate(linked: DataFrame, quotas: list[int], config: ShardConfig) -> Data
     shard, among those with free room, that holds most of its rows, and rows elsewhere
     want to go there. Rows are admitted up to the room of the shard, by priority: the rows
     of a hub share one, unless the hub is too large to move whole. Rooms and admitted
-    numbers are read off counts by shard and priority, a table of fixed size.
+    numbers are read off counts by shard and priority, a table of fixed size.  Shards may
+    start above their quota; they then admit nothing.
     """
     k = config.shards
     large = F.col("hub_rows") > int(config.large_share * min(quotas))
@@ -50,11 +51,10 @@ def propagate(linked: DataFrame, quotas: list[int], config: ShardConfig) -> Data
         wanting = state.join(moves.select("hub", "shard", "target"), ["hub", "shard"], "left").withColumn("priority", chance)
         wanting = stored(wanting, "shard-wants")
         counts = wanting.where("target is not null").groupBy("target", "priority").count().collect()
-        admitted = _admitted(counts, room, k)
-        if not any(admitted):
+        if not counts:
             return state
-        bound = F.element_at(F.array(*[F.lit(a) for a in admitted]), F.col("target") + 1)
-        moved = F.when(F.col("target").isNotNull() & (F.col("priority") < bound), F.col("target")).otherwise(F.col("shard"))
+        admitted = (F.col("target") * config.priorities + F.col("priority")).isin(_admitted(counts, room, config.priorities))
+        moved = F.when(F.coalesce(admitted, F.lit(False)), F.col("target")).otherwise(F.col("shard"))
         state = stored(wanting.select("row", "hub", "hub_rows", moved.alias("shard")), "shard-state")
     return state
 
@@ -66,18 +66,30 @@ def _better(quotas: list[int], room: list[int]):
     return F.when(full, F.col("own") < F.col("gain")).otherwise(F.lit(True))
 
 
-def _admitted(counts: list, room: list[int], shards: int) -> list[int]:
-    """For each shard the first priority that is not admitted any more."""
-    by = {(r["target"], r["priority"]): r["count"] for r in counts}
-    bounds = []
-    for s in range(shards):
-        left, bound = room[s], 0
-        for p in sorted(p for t, p in by if t == s):
-            if by[s, p] > left:
-                break
-            left, bound = left - by[s, p], p + 1
-        bounds.append(bound)
-    return bounds
+def _admitted(counts: list, room: list[int], priorities: int) -> list[int]:
+    """Codes of the priorities that each shard admits: in order, whichever still fits."""
+    left, codes = list(room), []
+    for target, priority, rows in sorted(map(tuple, counts)):
+        if rows <= left[target]:
+            left[target] -= rows
+            codes.append(target * priorities + priority)
+    return codes
+
+
+def _evicted(placed: DataFrame, quotas: list[int], config: ShardConfig) -> DataFrame:
+    """Exactly the rows by which shards exceed their quotas, of split groups first."""
+    large = (F.col("hub_rows") > int(config.large_share * min(quotas))).cast("int")
+    kinds = placed.withColumn("kind", F.col("shard") * 2 + large)
+    held = {r["kind"]: r["count"] for r in kinds.groupBy("kind").count().collect()}
+    leave = []
+    for s, quota in enumerate(quotas):
+        excess = max(0, held.get(2 * s, 0) + held.get(2 * s + 1, 0) - quota)
+        from_large = min(excess, held.get(2 * s + 1, 0))
+        leave += [excess - from_large, from_large]
+    if not any(leave):
+        return placed.select("row").limit(0)
+    limit = F.element_at(F.array(*[F.lit(n) for n in leave]), F.col("kind") + 1)
+    return numbered(kinds, "kind", "row", "number").where(F.col("number") < limit).select("row")
 
 
 def shard_documents(documents: DataFrame, config: ShardConfig | None = None) -> DataFrame:
@@ -85,7 +97,8 @@ def shard_documents(documents: DataFrame, config: ShardConfig | None = None) ->
     keeping equal texts together where room allows; one row per input row.
 
     Equal texts are linked. They are placed by label propagation under each shard's quota;
-    documents without a link then fill every shard to its quota exactly. ``slot`` numbers
+    documents without a link, and rows that a shard has in excess, then fill every shard to
+    its quota exactly. ``slot`` numbers
     a shard's rows from 0 without gaps.
 
     ``size`` is the text's UTF-8 bytes plus 1; a null text has no bytes, crc 0 and no
@@ -107,7 +120,8 @@ def shard_documents(documents: DataFrame, config: ShardConfig | None = None) ->
     total = rows.count()
     quotas = [total // config.shards + (s < total % config.shards) for s in range(config.shards)]
     hubs = stored(rows.where("hub is not null").groupBy("hub").agg(F.count(F.lit(1)).alias("hub_rows")).where("hub_rows > 1"), "shard-hubs")
-    placed = propagate(rows.select("row", "hub").join(hubs, "hub"), quotas, config).select("row", "shard")
+    placed = propagate(rows.select("row", "hub").join(hubs, "hub"), quotas, config)
+    placed = stored(placed.join(_evicted(placed, quotas, config), "row", "left_anti").select("row", "shard"), "shard-linked")
     load = {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}
 
     lone = numbered(rows.join(placed, "row", "left_anti").select("row", F.lit(0).alias("all")), "all", "row", "number")

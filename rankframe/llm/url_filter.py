@@ -42,14 +42,14 @@ def path_of(url: Column) -> Column:
 
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """The longest rule that fits, as ``struct(rule, verdict)``; null if none does."""
-    fitting = [
+    fitting: list[Column] = [
         F.when(
             ((host == h) | host.endswith("." + h)) & path.startswith(p),
             F.struct(F.lit(h + p).alias("rule"), F.lit(v).alias("verdict")),
         )
         for v, h, p in sorted(rules, key=lambda r: -len(r[1] + r[2]))
     ]
-    return F.coalesce(*fitting)
+    return F.coalesce(*fitting, F.lit(None).cast("struct<rule:string,verdict:string>"))
 
 
 def _entropy(text: Column) -> Column:
