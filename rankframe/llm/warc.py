@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
@@ -26,22 +27,19 @@ class ArchiveConfig:
     min_bytes: int = 0
     date: str = "2000-01-01T00:00:00Z"
     level: int = 6
+    broadcast_rows: int = 500_000
 
 
-def _ingest(batches: Iterable[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
+def base32(hexadecimal: F.Column, n_bytes: int = 20) -> F.Column:
+    """Base32 of hexadecimal digits; every five of them are four base32 digits."""
+    digits = [F.lpad(F.conv(F.substring(hexadecimal, k, 5), 16, 32), 4, "0") for k in range(1, 2 * n_bytes, 5)]
+    return F.translate(F.concat(*digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
+def _pack(level: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        payloads = [(p.as_py() or "").encode() for p in batch.column(2)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array([hashlib.sha256(p).digest() for p in payloads], pa.binary()),
-                pa.array([base64.b32encode(hashlib.sha1(p).digest()).decode() for p in payloads], pa.string()),
-                pa.array([len(p) for p in payloads], pa.int64()),
-                pa.array([zlib.compress(p, level) for p in payloads], pa.binary()),
-            ],
-            ["page_id", "url", "digest", "sha1", "n_bytes", "packed"],
-        )
+        payloads = [p.as_py().encode() for p in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([zlib.compress(p, level) for p in payloads], pa.binary())], ["digest", "packed"])
 
 
 def _record_id(page) -> F.Column:
@@ -58,13 +56,18 @@ def write_archive(pages: DataFrame, path: str, config: ArchiveConfig | None = No
     Of the records with equal payloads of ``min_bytes`` or more, the one with the smallest
     ``page_id`` (null last; among repeated rows, one of them) is the response and the
     others are revisits that refer to it; smaller payloads are all responses. A null html
-    is an empty payload, a null url an empty one; line breaks in a url are escaped. Only
-    keys and digests are grouped; payload bytes move once, compressed, by row.
+    is an empty payload, a null url an empty one; line breaks in a url are escaped.
+
+    Only keys and digests are grouped. Which pages hold no payload's first copy is
+    broadcast up to ``broadcast_rows`` (40 bytes each), so payloads are written from where
+    they are read; with more such pages they are joined by shuffle.
     """
     config = config or ArchiveConfig()
-    source = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    rows = source.mapInArrow(lambda it: _ingest(it, config.level), "page_id long, url string, digest binary, sha1 string, n_bytes long, packed binary")
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "warc-rows", codec="none")
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    source = pages.select(F.col("page_id").cast("long"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), html.alias("html"))
+    source = source.withColumn("digest", F.unhex(F.sha2("html", 256)))
+    facts = source.select("page_id", "url", "digest", base32(F.sha1("html")).alias("sha1"), F.octet_length("html").cast("long").alias("n_bytes"))
+    rows = stored(facts.withColumn("row", F.monotonically_increasing_id()), "warc-rows")
     order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row")
     same = rows.groupBy("digest").agg(F.min(order).alias("first"), F.min("sha1").alias("least"), F.max("sha1").alias("most"), F.min("n_bytes").alias("short"), F.max("n_bytes").alias("long"))
     unverified = F.raise_error(F.lit("different payloads share a SHA-256 digest"))
@@ -76,11 +79,23 @@ def write_archive(pages: DataFrame, path: str, config: ArchiveConfig | None = No
         ),
         "warc-firsts",
     )
-    payloads = rows.select("row", "digest", "n_bytes", "packed").join(first.select(F.col("first_row").alias("row")), "row")
-    payloads.drop("row").write.option("compression", "none").parquet(f"{path}/payloads")
+    rows = stored(rows.join(first, "digest"), "warc-joined")
+
+    key = F.coalesce("page_id", F.lit(-(1 << 63))).alias("page")
+    holders = rows.select(key, "digest", (F.col("row") == F.col("first_row")).alias("first"))
+    holders = holders.groupBy("page", "digest").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("times"))
+    later = stored(holders.where("not first or times > 1"), "warc-later")
+    held = source.select(key, "digest", "html")
+    wanted = F.broadcast(later) if later.count() <= config.broadcast_rows else later
+    held = held.join(wanted, ["page", "digest"], "left").where("first is null or first")
+    once = held.where("times is null").select("digest", "html")
+    if not later.where("first").isEmpty():  # one page id and payload in several rows
+        once = once.unionByName(held.where("times is not null").dropDuplicates(["digest"]).select("digest", "html"))
+    payloads = once.mapInArrow(functools.partial(_pack, config.level), "digest binary, packed binary")
+    payloads.write.option("compression", "none").parquet(f"{path}/payloads")
 
     revisit = (F.col("row") != F.col("first_row")) & (F.col("n_bytes") >= config.min_bytes)
-    url = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), "\r", "%0D"), "\n", "%0A")
+    url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
@@ -94,7 +109,7 @@ def write_archive(pages: DataFrame, path: str, config: ArchiveConfig | None = No
         line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("n_bytes").cast("string"))),
         F.lit(CRLF),
     )
-    headers = rows.drop("packed").join(first, "digest").select("page_id", "digest", F.encode(header, "UTF-8").alias("header"))
+    headers = rows.select("page_id", "digest", F.encode(header, "UTF-8").alias("header"))
     headers.write.option("compression", "zstd").parquet(f"{path}/headers")
 
 
@@ -114,7 +129,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     its digest."""
     headers = spark.read.parquet(f"{path}/headers")
     payloads = spark.read.parquet(f"{path}/payloads").select("digest", "packed")
-    joined = headers.join(payloads, "digest").select("page_id", "digest", "header", "packed")
+    # neither side has a bound: never broadcast
+    joined = headers.join(payloads.hint("merge"), "digest").select("page_id", "digest", "header", "packed")
     return joined.mapInArrow(_unpack, "page_id long, header binary, payload binary, payload_sha1 string")
 
 
