@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import re
 from collections import Counter
@@ -69,55 +70,78 @@ class ItemIndex:
             for t, x in impact.items():
                 postings.setdefault(t, []).append((i, x / own))
         self.vocabulary = {t: k for k, t in enumerate(postings)}
-        self.ids = [np.array([i for i, _ in p], np.int64) for p in postings.values()]
-        self.impacts = [np.array([x for _, x in p]) for p in postings.values()]
-        self.most = np.array([x.max() for x in self.impacts])
+        sizes = np.array([len(p) for p in postings.values()], np.int64)
+        term = np.repeat(np.arange(len(sizes)), sizes)
+        self.ids = np.array([i for p in postings.values() for i, _ in p], np.int64)
+        self.impacts = np.array([x for p in postings.values() for _, x in p])
         self.n_blocks = -(-n // config.block)
-        self.blocks, self.block_most = [], []
-        for ids, impacts in zip(self.ids, self.impacts):
-            blocks, first = np.unique(ids // config.block, return_index=True)
-            self.blocks.append(blocks)
-            self.block_most.append(np.maximum.reduceat(impacts, first))
+        # stretches of one term and block, in the order of the postings
+        stretch, first = np.unique(term * max(1, self.n_blocks) + self.ids // config.block, return_index=True)
+        self.stretch_block = stretch % max(1, self.n_blocks)
+        self.stretch_most = np.maximum.reduceat(self.impacts, first) if len(first) else self.impacts
+        self.stretch_ends = np.append(first, len(self.ids))
+        self.term_ends = np.searchsorted(stretch, np.arange(len(sizes) + 1) * max(1, self.n_blocks))
+        self.most = np.maximum.reduceat(self.impacts, np.cumsum(sizes) - sizes) if len(sizes) else self.impacts
         self.longest = max(map(len, self.words), default=0)
         fifth = [max(SHINGLE, len(w) // 5) for w in self.words]
         self.questions = [shingles(w[:-n] if len(w) > n + SHINGLE else w) for w, n in zip(self.words, fifth)]
         self.answers = [shingles(w[-n:]) for w, n in zip(self.words, fifth)]
 
-    def retrieve(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """All items that score the threshold or more for the distinct ``terms``."""
+    def retrieve(self, terms: np.ndarray, passages: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """For all passages of a text, given as (passage, distinct term) pairs in order:
+        every item that scores the threshold or more, as (passage, item, score)."""
         least = self.config.threshold - 1e-9
-        if len(terms) == 0 or self.most[terms].sum() < least:
-            return []
-        bound = np.bincount(np.concatenate([self.blocks[t] for t in terms]), np.concatenate([self.block_most[t] for t in terms]), self.n_blocks)
-        return self._wand(terms, bound, least) if bound.max() >= least else []
-
-    def _wand(self, terms: np.ndarray, bound: np.ndarray, least: float) -> list[tuple[int, float]]:
-        """Document-at-a-time: the pivot is the first item that the terms up to it could
-        lift to the threshold; a block whose maxima cannot is left as a whole."""
-        size, at, found = self.config.block, {t: 0 for t in terms.tolist()}, []
-        while True:
-            cursors = sorted((int(self.ids[t][k]), t) for t, k in at.items() if k < len(self.ids[t]))
-            possible, pivot = 0.0, None
-            for item, t in cursors:
-                possible += self.most[t]
+        fit = np.bincount(passages, self.most[terms])[passages] >= least if len(terms) else []
+        terms, passages = terms[fit], passages[fit]
+        numbers, starts = np.unique(passages, return_index=True)
+        ends = np.append(starts[1:], len(terms))
+        at_once = max(1, 2_000_000 // max(1, self.n_blocks))
+        for k in range(0, len(numbers), at_once):
+            span = slice(starts[k], ends[min(k + at_once, len(numbers)) - 1])
+            bound = self._block_bounds(terms[span], np.searchsorted(numbers, passages[span]) - k)
+            for passage in np.flatnonzero((bound >= least).any(axis=1)):
+                own = terms[starts[k + passage] : ends[k + passage]]
+                for item, score in self._wand(own, bound[passage] >= least, least):
+                    yield int(numbers[k + passage]), item, score
+
+    def _block_bounds(self, terms: np.ndarray, passages: np.ndarray) -> np.ndarray:
+        """What the terms of a passage add up to at most, by passage and block."""
+        start, n = self.term_ends[terms], self.term_ends[terms + 1] - self.term_ends[terms]
+        stretch = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+        cell = np.repeat(passages, n) * self.n_blocks + self.stretch_block[stretch]
+        rows = int(passages[-1]) + 1
+        return np.bincount(cell, self.stretch_most[stretch], rows * self.n_blocks).reshape(rows, self.n_blocks)
+
+    def _wand(self, terms: np.ndarray, open_blocks: np.ndarray, least: float) -> list[tuple[int, float]]:
+        """Item by item over the blocks that are left: the pivot is the first item that the
+        terms up to it could lift to the threshold; items before it are skipped."""
+        cursors = []
+        for t in terms.tolist():
+            lists = [(s, e) for k in range(self.term_ends[t], self.term_ends[t + 1]) if open_blocks[self.stretch_block[k]] for s, e in [(self.stretch_ends[k], self.stretch_ends[k + 1])]]
+            if lists:
+                cursors.append([[p for s, e in lists for p in zip(self.ids[s:e].tolist(), self.impacts[s:e].tolist())], 0])
+        found = []
+        while cursors:
+            cursors.sort(key=lambda c: c[0][c[1]][0])
+            possible = 0.0
+            for postings, at in cursors:
+                possible += max(x for _, x in postings[at:])
                 if possible >= least:
-                    pivot = item
+                    pivot = postings[at][0]
                     break
-            if pivot is None:
-                return found
-            fits = bound[pivot // size] >= least
-            if fits:
-                score = 0.0
-                for t in at:
-                    k = np.searchsorted(self.ids[t], pivot)
-                    if k < len(self.ids[t]) and self.ids[t][k] == pivot:
-                        score += self.impacts[t][k]
-                if score >= least:
-                    found.append((pivot, score))
-            target = pivot + 1 if fits else (pivot // size + 1) * size
-            for t, k in at.items():
-                if k < len(self.ids[t]) and self.ids[t][k] < target:
-                    at[t] = int(np.searchsorted(self.ids[t], target))
+            else:
+                break
+            score = 0.0
+            for c in cursors:
+                while c[1] < len(c[0]) and c[0][c[1]][0] < pivot:
+                    c[1] += 1
+                if c[1] < len(c[0]) and c[0][c[1]][0] == pivot:
+                    score += c[0][c[1]][1]
+                    c[1] += 1
+            if score >= least:
+                found.append((pivot, score))
+            cursors = [c for c in cursors if c[1] < len(c[0])]
+        return found
 
     def leaks(self, text: str | None) -> dict[int, tuple[float, float, float]]:
         """Verified leaks in a whole text: item to (score, question and answer overlap).
@@ -128,20 +152,20 @@ class ItemIndex:
         words = terms_of(text)
         if not words or not self.items:
             return {}
-        get, step = self.vocabulary.get, self.longest
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        step, c = self.longest, self.config
+        ids = np.fromiter(map(self.vocabulary.get, words, itertools.repeat(-1)), np.int64, len(words))
+        place = np.flatnonzero(ids >= 0)
+        last = max(0, -(-(len(words) - step) // step) - 1)
+        pairs = [(k * len(self.most) + ids[place])[(k >= 0) & (k <= last)] for k in (place // step, place // step - 1)]
+        passages, terms = np.divmod(np.unique(np.concatenate(pairs)), len(self.most))
         best: dict[int, tuple[float, float, float]] = {}
-        for start in range(0, max(1, len(words) - step), step):
-            passage = ids[start : start + 2 * step]
-            near = None
-            for part, score in self.retrieve(np.unique(passage[passage >= 0])):
-                near = near if near is not None else shingles(words[start : start + 2 * step])
-                question = len(self.questions[part] & near) / len(self.questions[part])
-                answer = len(self.answers[part] & near) / len(self.answers[part])
-                c = self.config
-                if question >= c.question_alone or question >= c.question and answer >= c.answer:
-                    item = self.items[part]
-                    best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (score, question, answer))
+        for passage, part, score in self.retrieve(terms, passages):
+            near = shingles(words[passage * step : (passage + 2) * step])
+            question = len(self.questions[part] & near) / len(self.questions[part])
+            answer = len(self.answers[part] & near) / len(self.answers[part])
+            if question >= c.question_alone or question >= c.question and answer >= c.answer:
+                item = self.items[part]
+                best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (score, question, answer))
         return best
 
 
