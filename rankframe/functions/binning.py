@@ -2,87 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-METHODS = ("auto", "native", "arrow")
 
-# Measured at 8 features (about even) and at 185 (Arrow three times faster); the limit between
-# them is an estimate.
-NATIVE_FEATURES = 32
-
-
-def _float_matrix_literal(rows: Sequence[Sequence[float]]) -> Column:
-    """``array<array<float>>`` literal; one constant in the plan whatever its size."""
-    return F.from_json(
-        F.lit("[" + ",".join("[" + ",".join(_json_float(v) for v in row) + "]" for row in rows) + "]"),
-        T.ArrayType(T.ArrayType(T.FloatType())),
-    )
-
-
-def _json_float(value: float) -> str:
-    v = np.float32(value)
-    if np.isnan(v):
-        return '"NaN"'
-    if np.isinf(v):
-        return '"INF"' if v > 0 else '"-INF"'
-    return repr(float(v))
-
-
-def quantile_bins(
-    numeric: Column, boundaries: Sequence[Sequence[float]], method: str = "auto"
-) -> Column:
+def quantile_bins(numeric: Column, boundaries: Sequence[Sequence[float]]) -> Column:
     """Bin of every element of ``numeric``: 1 + number of boundaries below the value.
 
     Bins are ``(b[k-1], b[k]]`` and run from 1 to Q; repeated boundaries are kept, so some
-    bins may stay empty.  ``native`` searches by halving inside one Catalyst expression,
-    ``arrow`` hands batches to ``numpy.searchsorted``, ``auto`` picks by the number of features.
+    bins may stay empty.  A null or NaN element is binned as 0, as it would be after
+    cleaning; a null array has no bins; an array of another length than the boundaries is an
+    error.  Arrow batches go through ``numpy.searchsorted`` on flat buffers.
     """
-    if method == "auto":
-        method = "native" if len(boundaries) <= NATIVE_FEATURES else "arrow"
-    if method == "native":
-        return _native_bins(numeric, boundaries)
-    if method == "arrow":
-        return _arrow_bins(boundaries)(numeric)
-    raise ValueError(f"method must be one of {METHODS}, got {method!r}")
-
-
-def _native_bins(numeric: Column, boundaries: Sequence[Sequence[float]]) -> Column:
-    n_bounds = len(boundaries[0])
-    widths = [1 << k for k in reversed(range(n_bounds.bit_length()))]
-
-    def bin_of(value: Column, bounds: Column) -> Column:
-        # `get` is null past the end, so a probe beyond the last boundary counts as "not below"
-        return F.aggregate(
-            F.array(*[F.lit(w) for w in widths]),
-            F.lit(0),
-            lambda below, width: F.when(
-                F.get(bounds, below + width - 1) < value, below + width
-            ).otherwise(below),
-            lambda below: below + 1,
-        )
-
-    return F.zip_with(numeric, _float_matrix_literal(boundaries), bin_of)
-
-
-def _arrow_bins(boundaries: Sequence[Sequence[float]]):
     table = np.asarray(boundaries, dtype=np.float32)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def bins(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            if batch.empty:
-                yield pd.Series([], dtype=object)
-                continue
-            values = np.stack(batch.to_numpy()).astype(np.float32, copy=False)
-            out = np.empty(values.shape, dtype=np.int32)
-            for feature, bounds in enumerate(table):
-                out[:, feature] = np.searchsorted(bounds, values[:, feature], side="left") + 1
-            yield pd.Series(list(out))
-
-    return bins
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def bins(batch: pa.Array) -> pa.Array:
+        sizes = pc.drop_null(pc.list_value_length(batch)).to_numpy(zero_copy_only=False)
+        if (sizes != len(table)).any():
+            raise ValueError(f"expected {len(table)} numerics, found {sizes[sizes != len(table)][0]}")
+        flat = pc.fill_null(batch.flatten().cast(pa.float32()), 0.0).to_numpy(zero_copy_only=False)
+        values = np.where(np.isnan(flat), np.float32(0), flat).reshape(-1, len(table))
+        out = np.empty(values.shape, dtype=np.int32)
+        for feature, bounds in enumerate(table):
+            out[:, feature] = np.searchsorted(bounds, values[:, feature], side="left") + 1
+        present = batch.is_valid().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(present)]).astype(np.int32) * len(table)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()), mask=pa.array(~present))
+
+    return bins(numeric)

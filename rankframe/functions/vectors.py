@@ -14,34 +14,39 @@ def zero_vector(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0).cast("float"), dim)
 
 
-def _first_elements(vector: Column, dim: int, repair: Callable[[Column], Column]) -> Column:
-    """First ``dim`` elements, ``repair`` applied to each if there is anything to repair."""
+def _repaired(
+    vector: Column, dim: int, cut: bool, repair: Callable[[Column], Column]
+) -> Column:
+    """``dim`` elements, ``repair`` applied to each if there is anything to repair."""
     floats = vector.cast("array<float>")
     leading = F.when(F.size(floats) == dim, floats).otherwise(F.slice(floats, 1, dim))
+    wrong = F.size(floats) < dim if cut else F.size(floats) != dim
     # One compiled loop tells vectors without nulls and NaN (false) from the others (null or
     # true); only those go through the much slower element-wise function.
     intact = F.array_contains(floats, F.lit(float("nan")).cast("float")).eqNullSafe(F.lit(False))
-    too_short = F.raise_error(
-        F.concat(
-            F.lit(f"vector has fewer than {dim} elements: "), F.size(floats).cast("string")
-        )
+    wanted = f"{dim} or more" if cut else f"{dim}"
+    wrong_length = F.raise_error(
+        F.concat(F.lit(f"vector should have {wanted} elements, has "), F.size(floats).cast("string"))
     )
     return (
         F.when(vector.isNull(), zero_vector(dim))
-        .when(F.size(floats) < dim, too_short)
+        .when(wrong, wrong_length)
         .when(intact, leading)
         .otherwise(F.transform(leading, repair))
     )
 
 
-def vector_or_zeros(vector: Column, dim: int) -> Column:
-    """First ``dim`` elements; a null vector or element reads as 0, a short vector is an error."""
-    return _first_elements(vector, dim, lambda x: F.coalesce(x, F.lit(0.0).cast("float")))
+def vector_or_zeros(vector: Column, dim: int, *, cut: bool = False) -> Column:
+    """The vector, with a null vector or element read as 0; another length is an error.
 
+    ``cut`` takes the first ``dim`` elements of longer vectors instead.
+    """
+    return _repaired(vector, dim, cut, lambda x: F.coalesce(x, F.lit(0.0).cast("float")))
 
-def clean_vector(vector: Column, dim: int) -> Column:
+
+def clean_vector(vector: Column, dim: int, *, cut: bool = False) -> Column:
     """Like :func:`vector_or_zeros`, with NaN elements also read as 0."""
-    return _first_elements(vector, dim, clean_numeric)
+    return _repaired(vector, dim, cut, clean_numeric)
 
 
 def expand_vector(vector: Column, prefix: str, dim: int) -> list[Column]:

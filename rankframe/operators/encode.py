@@ -14,18 +14,21 @@ from rankframe.functions.cleaning import clean_category, clean_numeric, clean_ta
 from rankframe.functions.hashing import hashed_id
 from rankframe.functions.vectors import pack_columns
 from rankframe.operators.quantiles import quantile_boundaries
-from rankframe.operators.skew import BROADCAST_BYTES, lookup_join
+from rankframe.operators.skew import BROADCAST_BYTES, lookup_join, narrow_columns
 from rankframe.operators.vocabulary import (
     category_sizes,
     distinct_categories,
     embedding_dim,
     number_categories,
 )
-from rankframe.session import materialize
+from rankframe.session import materialize, materialized
 from rankframe.sources.state import PreprocessorState
 from rankframe.spec import MISSING_CATEGORY, FeatureSpec, PreprocessConfig
 
 MODES = ("training", "serving")
+# What an entry of a broadcast vocabulary takes beside its text, in a hash relation.
+ENTRY_BYTES = 96
+SALTS = 16
 
 
 def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -56,11 +59,15 @@ def fit_vocabulary(
     if not categories:
         empty = df.sparkSession.createDataFrame([], "feature string, value string, id int")
         return empty, {}, {}
-    distinct = materialize(distinct_categories(df, categories))
-    found = {r["feature"]: (r["n_values"], r["n_bytes"]) for r in category_sizes(distinct).collect()}
-    sizes = {c: found.get(c, (0, 0))[0] + 1 for c in categories}
-    octets = {c: found.get(c, (0, 0))[1] for c in categories}
-    return materialize(number_categories(distinct, max(sizes.values()))), sizes, octets
+    with materialized(distinct_categories(df, categories)) as distinct:
+        found = {r["feature"]: (r["n_values"], r["n_bytes"]) for r in category_sizes(distinct).collect()}
+        sizes = {c: found.get(c, (0, 0))[0] + 1 for c in categories}
+        octets = {c: found.get(c, (0, 0))[1] for c in categories}
+        values = sum(n for n, _ in found.values())
+        mean = sum(b for _, b in found.values()) / values if values else 1.0
+        # one folder per feature, so that using a feature reads no other
+        numbered = materialize(number_categories(distinct, mean), by=["feature"])
+    return numbered.select("feature", "value", "id"), sizes, octets
 
 
 def fit(df: DataFrame, spec: FeatureSpec, cfg: PreprocessConfig) -> PreprocessorState:
@@ -113,24 +120,37 @@ def category_ids(
     """``df`` plus one code column per feature; unseen and null values get 0.
 
     ``columns`` maps a fitted feature to the column of ``df`` with its values; the code column
-    is called ``<that column>_id``.  These are hash joins against the vocabulary.  Its size is
-    known from the fit, so small ones are broadcast and large ones take the skew-safe lookup.
+    is called ``<that column>_id``.  These are hash joins against the vocabulary.  Sizes are
+    known from the fit: the smallest features are broadcast while their sum stays below
+    ``broadcast_bytes``, the others, and any of unknown size, take the skew-safe lookup.  Row
+    counts of a stream are not known ahead; there the rows of a value are dealt over ``SALTS``
+    copies of its entry.
     """
     rows = df
-    for feature, column in columns.items():
+    free = broadcast_bytes
+    sizes = {
+        f: state.vocab_bytes[f] + ENTRY_BYTES * state.vocab_sizes[f]
+        for f in columns
+        if f in state.vocab_bytes
+    }
+    order = sorted(columns, key=lambda f: (f not in sizes, sizes.get(f, 0)))
+    for feature in order:
+        column = columns[feature]
         out, probe = f"{column}_id", f"_value_of_{column}"
         known = state.vocabulary.filter(F.col("feature") == feature).select(
             F.col("value").alias(probe), F.col("id").alias(out)
         )
-        size = state.vocab_bytes.get(feature, 0) + 24 * state.vocab_sizes[feature]
         df = df.withColumn(probe, F.col(column).cast("string"))
-        if size <= broadcast_bytes:  # values are unique, so there is nothing to reduce first
+        if feature in sizes and sizes[feature] <= free:
+            free -= sizes[feature]
             df = df.join(F.broadcast(known), probe, "left")
-        elif df.isStreaming:  # row counts of a stream are not known ahead, so no salting
-            df = df.join(known, probe, "left")
+        elif df.isStreaming:
+            copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            salt = F.pmod(F.xxhash64(*narrow_columns(df)), F.lit(SALTS)).cast("int")
+            df = df.withColumn("_salt", salt).join(copies, [probe, "_salt"], "left").drop("_salt")
         else:
             counted = rows.select(F.col(column).cast("string").alias(probe))
-            df = lookup_join(df, known, [probe], out, small=False, count_on=counted)
+            df = lookup_join(df, known, [probe], out, small=False, unique=True, count_on=counted)
         df = df.withColumn(out, F.coalesce(F.col(out), F.lit(0))).drop(probe)
     return df
 
@@ -144,7 +164,6 @@ def encode(
     keep: Sequence[str] | None = None,
     skip_targets: bool = False,
     with_bins: bool = False,
-    bin_method: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Encoded rows: ``keep`` columns, ``num``, ``cat``, optional ``emb``, ``target``, ``bins``.
@@ -197,7 +216,7 @@ def encode(
     if want_target:
         out.append("target")
     if with_bins:
-        out.append(quantile_bins(F.col("num"), state.boundaries, bin_method).alias("bins"))
+        out.append(quantile_bins(F.col("num"), state.boundaries).alias("bins"))
     return coded.select(*out)
 
 
@@ -206,13 +225,11 @@ def encoding_mismatches(
     training: PreprocessorState,
     serving: PreprocessorState,
     spec: FeatureSpec,
-    *,
-    other_method: str = "arrow",
 ) -> DataFrame:
     """One row: rows compared, rows whose bins differ, rows whose category codes differ.
 
-    Both encodings are computed side by side on the same row, so nothing has to be joined.
-    The serving side bins with the other implementation, which makes it a real check.
+    Both encodings, with the fitted state and with the one that serving loaded, are computed
+    side by side on the same row, so nothing has to be joined.
     """
     trained = encode(df, training, spec, keep=df.columns, skip_targets=True, with_bins=True)
     trained = trained.withColumnsRenamed({"cat": "_cat_t", "bins": "_bins_t", "num": "_num_t"})
@@ -223,7 +240,6 @@ def encoding_mismatches(
         mode="serving",
         keep=["_cat_t", "_bins_t"],
         with_bins=True,
-        bin_method=other_method,
     )
     return served.agg(
         F.count(F.lit(1)).alias("n_rows"),

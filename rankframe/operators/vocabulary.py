@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Above this many values of one feature the numbering is done by ranges.
-WINDOW_ROWS = 500_000
-_TARGET_RANGES = 1_000
+# Text bytes of a range of values that one task sorts, about.
+RANGE_BYTES = 4 << 20
 
 
 def distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -30,23 +29,16 @@ def category_sizes(distinct: DataFrame) -> DataFrame:
     )
 
 
-def number_categories(distinct: DataFrame, largest: int) -> DataFrame:
+def number_categories(distinct: DataFrame, value_bytes: float = 16.0) -> DataFrame:
     """``(feature, value, id)``: ids 1..n per feature in byte order of the values; 0 stays free.
 
-    ``largest`` is the size of the biggest feature.  Up to ``WINDOW_ROWS`` values fit one
-    window partition; beyond, values are first cut into ranges of similar size, numbered
-    inside their range, and shifted by the sizes of the ranges before it.
+    Values are cut into ranges, numbered inside their range, and shifted by the sizes of the
+    ranges before it.  ``value_bytes`` is the mean length of a value; the number of ranges
+    follows the size of the vocabulary, so no task sorts more than a few ``RANGE_BYTES``.
     """
-    if largest <= WINDOW_ROWS:
-        order = W.partitionBy("feature").orderBy("value")
-        return distinct.withColumn("id", F.row_number().over(order).cast("int"))
-    return _number_by_ranges(distinct, largest)
-
-
-def _number_by_ranges(distinct: DataFrame, largest: int, ranges: int = _TARGET_RANGES) -> DataFrame:
-    # Range ends are the values whose hash falls in a fixed class: about `ranges` per feature,
-    # and the same ones on every run, so all tasks agree on the ranges.
-    every = max(largest // ranges, 1)
+    # Range ends are the values whose hash falls in a fixed class: the same ones on every run,
+    # so all tasks agree on the ranges.
+    every = max(int(RANGE_BYTES / max(value_bytes, 1.0)), 1)
     ends = (
         distinct.filter(F.pmod(F.xxhash64("value"), F.lit(every).cast("long")) == 0)
         .groupBy("feature")
@@ -54,12 +46,12 @@ def _number_by_ranges(distinct: DataFrame, largest: int, ranges: int = _TARGET_R
     )
 
     def ends_below(value: Column, sorted_ends: Column) -> Column:
-        widths = F.array(*[F.lit(1 << k) for k in reversed(range((2 * ranges).bit_length() + 1))])
+        widths = F.array(*[F.lit(1 << k) for k in reversed(range(31))])
         return F.aggregate(
             widths,
             F.lit(0),
             lambda below, width: F.when(
-                F.get(sorted_ends, below + width - 1) < value, below + width
+                F.get(sorted_ends, below + (width - 1)) < value, below + width
             ).otherwise(below),
         )
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a row may carry two vectors of several KB
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -51,13 +55,28 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rankframe-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet to a new place in the checkpoint folder and read it from there.
 
     Cuts the lineage for good: what follows survives lost executors without recomputing, and
-    still prunes columns and knows the table's size, which a plain checkpoint would not.
+    still prunes columns and knows the table's size, which a plain checkpoint would not.  ``by``
+    names columns whose values get a folder each.
     """
+    return _write(df, scratch_path(df.sparkSession), by)
+
+
+@contextmanager
+def materialized(df: DataFrame) -> Iterator[DataFrame]:
+    """Like :func:`materialize`, for the length of a ``with`` block; then the files go."""
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield _write(df, path, ())
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _write(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

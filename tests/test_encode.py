@@ -113,28 +113,38 @@ def test_empty_fits_are_refused(spark, frame):
         quantile_boundaries(frame, [], 4)
 
 
-@pytest.mark.parametrize("method", ["native", "arrow"])
-def test_bins_on_boundaries_and_beyond(spark, method):
+def test_bins_on_boundaries_and_beyond(spark):
     bounds = [[1.0, 2.0, 2.0, 3.0], [10.0, 20.0, 20.0, 30.0]]
     values = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, -1e9, 1e9]
     df = spark.createDataFrame([([v, v * 10],) for v in values], "num array<float>")
-    got = [r[0] for r in df.select(quantile_bins(F.col("num"), bounds, method)).collect()]
+    got = [r[0] for r in df.select(quantile_bins(F.col("num"), bounds)).collect()]
     one = [1, 1, 2, 2, 4, 4, 5, 1, 5]
     assert got == [[b, b] for b in one]
 
 
-def test_both_bin_methods_agree_with_searchsorted(frame, state):
+@pytest.mark.parametrize("features", [2, 40])
+def test_bins_of_nulls_and_nan(spark, features):
+    bounds = [[-1.0, 0.0, 2.0]] * features
+    rows = [[None, 1.5], None, [float("nan"), -0.5], [3.0, None]]
+    data = [(r and (r + [0.0] * features)[:features],) for r in rows]
+    df = spark.createDataFrame(data, "num array<float>").coalesce(1)
+    got = [r[0] for r in df.select(quantile_bins(F.col("num"), bounds)).collect()]
+    assert [g and g[:2] for g in got] == [[2, 3], None, [2, 2], [4, 2]]  # 0 is in bin 2
+    assert df.limit(0).select(quantile_bins(F.col("num"), bounds)).collect() == []
+    wrong = spark.createDataFrame([([1.0] * (features + 1),)], "num array<float>")
+    with pytest.raises(Exception, match=f"expected {features} numerics"):
+        wrong.select(quantile_bins(F.col("num"), bounds)).collect()
+
+
+def test_bins_agree_with_searchsorted(frame, state):
     values, bounds = numpy_boundaries(frame, CFG.n_bins)
     expected = np.stack(
         [np.searchsorted(bounds[i], values[:, i]) + 1 for i in range(len(bounds))], axis=1
     )
-    for method in ("native", "arrow"):
-        coded = enc.encode(
-            enc.prepare(frame, SPEC), state, SPEC, keep=["product_id"], with_bins=True, bin_method=method
-        )
-        got = np.array([r["bins"] for r in coded.orderBy("product_id").collect()])
-        np.testing.assert_array_equal(got, expected)
-        assert got.min() >= 1 and got.max() <= CFG.n_bins
+    coded = enc.encode(enc.prepare(frame, SPEC), state, SPEC, keep=["product_id"], with_bins=True)
+    got = np.array([r["bins"] for r in coded.orderBy("product_id").collect()])
+    np.testing.assert_array_equal(got, expected)
+    assert got.min() >= 1 and got.max() <= CFG.n_bins
 
 
 def test_vocabulary_sizes_and_dims(state):
@@ -154,14 +164,16 @@ def test_raw_nulls_stay_out_of_the_vocabulary(spark):
     assert sorted(r["cat"][0] for r in coded.collect()) == [0, 1, 2]
 
 
-def test_range_numbering_equals_window_numbering(spark):
+@pytest.mark.parametrize("value_bytes", [16.0, 1 << 16, 1 << 30])
+def test_numbering_follows_the_order_of_the_values(spark, value_bytes):
     words = spark.sql(
         "select 'f' as feature, concat(substr(md5(string(id)), 1, 3), id) as value from range(3000) "
         "union all select 'g', string(id) from range(10)"
     )
-    plain = voc.number_categories(words, 3000).collect()
-    ranged = voc._number_by_ranges(words, 3000, ranges=40).collect()
-    assert sorted(map(tuple, plain)) == sorted(map(tuple, ranged))
+    found = {(r["feature"], r["value"]): r["id"] for r in voc.number_categories(words, value_bytes).collect()}
+    for feature, n in (("f", 3000), ("g", 10)):
+        values = sorted((v for f, v in found if f == feature), key=str.encode)
+        assert [found[feature, v] for v in values] == list(range(1, n + 1))
 
 
 def test_large_vocabularies_take_the_shuffled_lookup(frame, state):

@@ -76,7 +76,7 @@ def test_whole_path(spark, source, tmp_path):
 
     write_artifacts(spark, state, CFG, SPEC, str(tmp_path / "artifacts"))
     served = load_artifacts(spark, str(tmp_path / "artifacts"))
-    found = encoding_mismatches(rows, state, served, SPEC, other_method="native").head()
+    found = encoding_mismatches(rows, state, served, SPEC).head()
     assert tuple(found) == (N_ROWS, 0, 0)
 
     products = spark.range(0, N_ROWS, 2).select(
