@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rankframe.operators.skew import narrow_columns
 from rankframe.session import materialize
 
 # monotonically_increasing_id: partition number above, row number inside the partition below
 _ROW_BITS = 33
 
 
-def _hashed(df: DataFrame) -> list[str]:
-    return narrow_columns(df) or df.columns
+def _hashed(df: DataFrame) -> list[Column]:
+    """All columns, so that rows which differ anywhere get hashes of their own."""
+    return [
+        F.sort_array(F.map_entries(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name)
+        for f in df.schema.fields
+    ]
 
 
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "pos") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,13 @@ from pyspark.sql import types as T
 
 from rankframe.functions.hashing import buyer_hash, user_date_key
 from rankframe.functions.vectors import clean_vector, expand_vector, vector_or_zeros, zero_vector
-from rankframe.operators.skew import BROADCAST_BYTES, fits_broadcast, lookup_join, narrow_columns
+from rankframe.operators.skew import (
+    BROADCAST_BYTES,
+    fits_broadcast,
+    lookup_join,
+    narrow_columns,
+    one_row_per_key,
+)
 from rankframe.spec import FeatureSpec
 
 PRODUCT_VECTOR = "product_emb"
@@ -54,17 +61,27 @@ def _midnight(day: Column, like: T.DataType) -> Column:
     return F.timestamp_seconds(F.unix_date(day.cast("date")).cast("long") * 86400)
 
 
+def _midnight_literal(day: date | datetime, like: T.DataType) -> Column:
+    start = datetime(day.year, day.month, day.day, tzinfo=timezone.utc)
+    if isinstance(like, T.TimestampNTZType):
+        return F.lit(f"{start:%Y-%m-%d} 00:00:00").cast("timestamp_ntz")
+    return F.lit(start)
+
+
 def prune_history(history: DataFrame, pairs: DataFrame, spec: FeatureSpec) -> DataFrame:
     """ORDER versions that can be valid at the midnight of some day in the range of ``pairs``.
 
     Beside the range itself this drops every version that begins and ends between two
     midnights, as no day can see it.  A buyer whose history is replaced many times a day is
-    thereby cut to one version per day before the shuffle.
+    thereby cut to one version per day before the shuffle.  The range is taken first, by a
+    small job over ``pairs``, so that the bounds reach the scan of the history.
     """
     kind = history.schema["valid_from"].dataType
-    bounds = (
-        day_range(pairs, spec).select(F.struct("min_day", "max_day").alias("bounds")).scalar()
-    )
+    first, last = day_range(pairs, spec).head()
+    if first is None:
+        return history.limit(0)
+    # literals, because a scan prunes by nothing else
+    earliest, latest = (_midnight_literal(day, kind) for day in (first, last))
     # the first midnight at or after valid_from
     started = F.col("valid_from").cast("date")
     first_day = F.when(
@@ -72,14 +89,9 @@ def prune_history(history: DataFrame, pairs: DataFrame, spec: FeatureSpec) -> Da
     ).otherwise(started)
     return (
         history.filter(F.col("interaction_type") == "ORDER")
-        .filter(F.col("valid_from") <= _midnight(bounds["max_day"], kind))
-        .filter(
-            F.col("valid_to").isNull()
-            | (
-                (F.col("valid_to") >= _midnight(bounds["min_day"], kind))
-                & (F.col("valid_to") > _midnight(first_day, kind))
-            )
-        )
+        .filter(F.col("valid_from") <= latest)
+        .filter(F.col("valid_to").isNull() | (F.col("valid_to") >= earliest))
+        .filter(F.col("valid_to").isNull() | (F.col("valid_to") > _midnight(first_day, kind)))
     )
 
 
@@ -96,11 +108,11 @@ def user_embeddings_at_day(
 
     Validity is half-open, so a version that starts later on the same day is not seen.
     Overlapping versions all match; a pair without a match is dropped.  ``pairs`` must be
-    distinct.  The join is an equi-join on the buyer with the interval as extra condition,
+    distinct, and stored or staged, as they are read twice.  The join is an equi-join on the buyer with the interval as extra condition,
     so both sides are shuffled by buyer only and adaptive execution splits hot buyers.
     """
     kind = history.schema["valid_from"].dataType
-    # a pair with a null matches nothing; without them the day range and the join read one shuffle
+    # a pair with a null matches nothing
     pairs = pairs.dropna()
     versions = prune_history(history, pairs, spec).select(
         F.col(spec.buyer).alias("_buyer"), "valid_from", "valid_to", vector
@@ -122,7 +134,7 @@ def user_embeddings_at_day(
 
 def unique_vectors(table: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
     """One vector per key: the smallest, which is the one a lookup finds."""
-    return table.groupBy(*keys).agg(F.min(vector).alias(vector))
+    return one_row_per_key(table, keys, vector)
 
 
 def lookup_vectors(
@@ -140,11 +152,19 @@ def lookup_vectors(
     """``df`` plus vector ``out``: the vector of each row's key, zeros where it is unknown.
 
     One output row per input row, also when the table holds a key more than once or is empty.
+    The table should be stored: its keys are counted before its vectors are read.
     """
     cleaned = table.select(*keys, clean_vector(F.col(vector), dim).alias(out))
     small = fits_broadcast(table.select(*keys), 4 * dim + 64, broadcast_bytes)
     joined = lookup_join(
-        df, cleaned, keys, out, small=small, hash_columns=hash_columns, count_on=count_on
+        df,
+        cleaned,
+        keys,
+        out,
+        small=small,
+        row_bytes=4 * dim + 64,
+        hash_columns=hash_columns,
+        count_on=count_on,
     )
     return joined.withColumn(out, F.coalesce(F.col(out), zero_vector(dim)))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankframe.functions.losses import focal_term
@@ -51,24 +51,43 @@ def score_parity(
     score: str = "score",
     atol: float = 1e-4,
 ) -> DataFrame:
-    """One row comparing two score tables by row id.
+    """One row comparing two score tables by row id; a null is an id like any other.
 
-    ``passed`` needs at least one common row, no row or score that only one side has, and a
-    largest absolute difference below ``atol``.
+    An id may occur several times. Both tables are reduced per id in one aggregation, never
+    paired row by row: an id's largest difference is the one its extremes allow, its mean
+    difference that of its means. ``passed`` needs at least one common id, each id equally
+    often on both sides, no missing score, and a largest difference below ``atol``.
     """
     keys = list(keys)
-    a = left.select(*keys, F.col(score).cast("double").alias("_a"), F.lit(1).alias("_in_a"))
-    b = right.select(*keys, F.col(score).cast("double").alias("_b"), F.lit(1).alias("_in_b"))
-    both = a.join(b, keys, "full")
-    gap = F.abs(F.col("_a") - F.col("_b"))
-    summary = both.agg(
-        F.count_if(F.col("_in_a").isNotNull() & F.col("_in_b").isNotNull()).alias("n_matched"),
-        F.count_if(F.col("_in_a").isNull() | F.col("_in_b").isNull()).alias("n_unmatched"),
-        F.max(gap).alias("max_abs_diff"),
-        F.avg(gap).alias("mean_abs_diff"),
-        F.count_if(gap.isNull()).alias("_no_gap"),
+    value = F.col(score).cast("double").alias("_score")
+    sides = left.select(*keys, value, F.lit(0).alias("_side")).unionByName(
+        right.select(*keys, value, F.lit(1).alias("_side"))
+    )
+
+    def of(side: int, aggregate) -> Column:
+        return aggregate(F.when(F.col("_side") == side, F.col("_score")))
+
+    per_id = sides.groupBy(*keys).agg(
+        *[F.count_if(F.col("_side") == s).alias(f"_rows_{s}") for s in (0, 1)],
+        *[
+            of(s, aggregate).alias(f"_{name}_{s}")
+            for s in (0, 1)
+            for name, aggregate in (("min", F.min), ("max", F.max), ("avg", F.avg), ("scores", F.count))
+        ],
+    )
+    common = (F.col("_rows_0") > 0) & (F.col("_rows_1") > 0)
+    widest = F.greatest(F.col("_max_0") - F.col("_min_1"), F.col("_max_1") - F.col("_min_0"))
+    complete = (F.col("_scores_0") == F.col("_rows_0")) & (F.col("_scores_1") == F.col("_rows_1"))
+    agrees = common & complete & (F.col("_rows_0") == F.col("_rows_1"))
+    summary = per_id.agg(
+        F.count_if(common).alias("n_matched"),
+        F.count_if(~common).alias("n_unmatched"),
+        F.count_if((F.col("_rows_0") > 1) | (F.col("_rows_1") > 1)).alias("n_repeated"),
+        F.max(F.when(common, widest)).alias("max_abs_diff"),
+        F.avg(F.when(common, F.abs(F.col("_avg_0") - F.col("_avg_1")))).alias("mean_abs_diff"),
+        F.count_if(~agrees).alias("_disagree"),
     )
     return summary.withColumn(
         "passed",
-        F.coalesce((F.col("max_abs_diff") < atol) & (F.col("_no_gap") == 0), F.lit(False)),
-    ).drop("_no_gap")
+        F.coalesce((F.col("max_abs_diff") < atol) & (F.col("_disagree") == 0), F.lit(False)),
+    ).drop("_disagree")

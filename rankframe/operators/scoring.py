@@ -8,7 +8,6 @@ broadcast.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,36 +17,134 @@ from pyspark.sql import types as T
 
 from rankframe.functions.vectors import clean_vector, has_embedding
 from rankframe.operators.skew import BROADCAST_BYTES, fits_broadcast, lookup_join
+from rankframe.spec import ModelShape
 
-# A model beyond this many parameters is refused rather than collected and broadcast.
-MAX_PARAMETERS = 50_000_000
 LOGIT_LIMIT = 10.0
 _NORM_EPS = 1e-5
 
 Weights = Mapping[str, np.ndarray]
 
 
-def load_weights(table: DataFrame, dtype: str = "float32") -> dict[str, np.ndarray]:
-    """Arrays by name from a ``(name, shape, values)`` table, after checking their total size."""
+def load_weights(
+    table: DataFrame,
+    dtype: str = "float32",
+    *,
+    names: Mapping[str, str] | None = None,
+    max_parameters: int = 50_000_000,
+) -> dict[str, np.ndarray]:
+    """Arrays by name from a ``(name, shape, values)`` table.
+
+    ``names`` renames the table's entries, e.g. by :func:`trained_names`.  A model with more
+    than ``max_parameters`` is refused rather than collected and broadcast; raise it to what
+    the driver and one executor can hold.
+    """
     total = table.agg(F.sum(F.size("values"))).head()[0] or 0
-    if total > MAX_PARAMETERS:
-        raise ValueError(f"{total} parameters, more than the {MAX_PARAMETERS} that may be broadcast")
+    if total > max_parameters:
+        raise ValueError(f"{total} parameters, more than the {max_parameters} that may be broadcast")
+    names = names or {}
     return {
-        r["name"]: np.asarray(r["values"], dtype=dtype).reshape(r["shape"])
+        names.get(r["name"], r["name"]): np.asarray(r["values"], dtype=dtype).reshape(r["shape"])
         for r in table.select("name", "shape", "values").toLocalIterator()
     }
 
 
-@dataclass(frozen=True)
-class ModelShape:
-    """What the forward pass has to know beside the weights."""
-
-    categories: tuple[str, ...]
-    n_bins: int = 64
-    cross_layers: int = 3
-    deep_layers: int = 3
-    head_layers: int = 2
-    embedding_dim: int = 0  # of one source; 0 means a model without text embeddings
+def trained_names(shape: ModelShape, sources: Sequence[str] = ("product", "user")) -> dict[str, str]:
+    """Parameter names of the trained network to the names used here."""
+    names = {"numeric_emb.weight": "numeric_emb"}
+    names |= {f"embeddings.{c}.weight": f"cat_emb.{c}" for c in shape.categories}
+    for source in sources if shape.embedding_dim else ():
+        for kind in ("weight", "bias"):
+            names[f"{source}_proj.0.{kind}"] = f"{source}_proj.{kind}"
+            names[f"{source}_proj.1.{kind}"] = f"{source}_proj.norm_{kind}"
+    for i in range(shape.cross_layers):
+        for theirs, ours in (("U", "up"), ("V", "down"), ("bias", "bias"), ("gate.weight", "gate")):
+            names[f"cross_net.layers.{i}.{theirs}"] = f"cross.{i}.{ours}"
+    hidden = {
+        "w_gate.weight": "gate",
+        "w_val.weight": "value",
+        "w_val.bias": "value_bias",
+        "norm.weight": "norm_weight",
+        "norm.bias": "norm_bias",
+    }
+    for theirs, ours, layers in (
+        ("deep_net", "deep", shape.deep_layers),
+        ("head_hidden", "head", shape.head_layers),
+    ):
+        for i in range(layers):
+            last = {"weight": "weight", "bias": "bias"}
+            for k, v in (hidden if i < layers - 1 else last).items():
+                names[f"{theirs}.{i}.{k}"] = f"{ours}.{i}.{v}"
+    return names | {f"head_logit.{kind}": f"logit.{kind}" for kind in ("weight", "bias")}
+
+
+def check_weights(weights: Weights, shape: ModelShape) -> None:
+    """Raise ``ValueError`` with every weight that is missing or has another shape than this:
+
+    ==========================  ==================================================
+    ``numeric_emb``             (numerics * (bins + 1), width)
+    ``cat_emb.<category>``      (codes, width)
+    ``<source>_proj``           ``.weight`` (P, embedding), ``.bias``, norm (P)
+    ``cross.<i>``               ``.down`` (K, r, D), ``.up`` (K, D, r), ``.gate`` (K, D), ``.bias`` (D)
+    ``deep.<i>``, ``head.<i>``  ``.gate``, ``.value`` (out, in), ``.value_bias``, norm (out)
+    last layer of each          ``.weight`` (out, in), ``.bias`` (out)
+    ``logit``                   ``.weight`` (1, in), ``.bias`` (1)
+    ==========================  ==================================================
+
+    "norm" stands for ``.norm_weight`` and ``.norm_bias``.  D is the width of all embeddings
+    of a row, with two projections and two flags if the model has text embeddings.
+    """
+    problems: list[str] = []
+
+    def size(name: str, *wanted: int | None) -> tuple[int, ...]:
+        """The weight's shape, or the wanted one if it does not fit; 0 is not known."""
+        if name not in weights:
+            problems.append(f"{name} is missing")
+        elif len(found := weights[name].shape) != len(wanted) or any(
+            w and w != f for w, f in zip(wanted, found)
+        ):
+            problems.append(f"{name} has shape {found}, not {tuple(w or '*' for w in wanted)}")
+        else:
+            return found
+        return tuple(w or 0 for w in wanted)
+
+    def norm(name: str, width: int) -> None:
+        size(f"{name}.norm_weight", width)
+        size(f"{name}.norm_bias", width)
+
+    def stack(name: str, width: int, layers: int) -> int:
+        for i in range(layers - 1):
+            out, _ = size(f"{name}.{i}.gate", None, width)
+            size(f"{name}.{i}.value", out, width)
+            size(f"{name}.{i}.value_bias", out)
+            norm(f"{name}.{i}", out)
+            width = out
+        out, _ = size(f"{name}.{layers - 1}.weight", None, width)
+        size(f"{name}.{layers - 1}.bias", out)
+        return out
+
+    rows, width = size("numeric_emb", None, None)
+    if rows % (shape.n_bins + 1):
+        problems.append(f"numeric_emb has {rows} rows, no multiple of {shape.n_bins + 1}")
+    dim = rows // (shape.n_bins + 1) * width
+    dim += sum(size(f"cat_emb.{c}", None, None)[1] for c in shape.categories)
+    if shape.embedding_dim:
+        projected = 0
+        for source in ("product", "user"):
+            projected, _ = size(f"{source}_proj.weight", projected or None, shape.embedding_dim)
+            size(f"{source}_proj.bias", projected)
+            norm(f"{source}_proj", projected)
+        dim += 2 * projected + 2
+    for i in range(shape.cross_layers):
+        experts, rank, _ = size(f"cross.{i}.down", None, None, dim)
+        size(f"cross.{i}.up", experts, dim, rank)
+        size(f"cross.{i}.gate", experts, dim)
+        size(f"cross.{i}.bias", dim)
+    deep = stack("deep", dim, shape.deep_layers)
+    head = stack("head", dim + deep, shape.head_layers)
+    size("logit.weight", 1, head)
+    size("logit.bias", 1)
+    if problems:
+        raise ValueError("weights do not fit the model: " + "; ".join(problems))
 
 
 def erf(x: np.ndarray) -> np.ndarray:
@@ -213,11 +310,14 @@ def attach_projection(
     weights: Weights,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hash_columns: Sequence[str] | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus ``<source>_proj`` and ``has_<source>`` looked up by id.
 
     An unknown id gets what a zero vector projects to and flag 0, as it would without
-    projecting ahead.
+    projecting ahead.  ``projected`` should be stored, or it is computed for its keys and
+    again for the join.  ``count_on`` is a cheap frame with the keys of ``df``.
     """
     layer = f"{source}_proj"
     width, dim = weights[f"{layer}.weight"].shape
@@ -227,7 +327,16 @@ def attach_projection(
     table = projected.select(*keys, F.struct("proj", "has_emb").alias("_found"))
     small = fits_broadcast(projected.select(*keys), 8 * width + 64, broadcast_bytes)
     return (
-        lookup_join(df, table, keys, "_found", small=small)
+        lookup_join(
+            df,
+            table,
+            keys,
+            "_found",
+            small=small,
+            row_bytes=8 * width + 64,
+            hash_columns=hash_columns,
+            count_on=count_on,
+        )
         .withColumns(
             {
                 layer: F.coalesce(F.col("_found.proj"), default),
@@ -260,6 +369,7 @@ def score_rows(
         raise ValueError(f"unknown inputs {inputs!r}")
     if inputs == "projected" and shape.embedding_dim == 0:
         raise ValueError("the model was made without text embeddings; use inputs='none'")
+    check_weights(weights, shape)
     clamp = inputs == "raw" if clamp is None else clamp
     prepared = {k: v.astype(dtype) for k, v in weights.items()}
     if inputs == "raw":

@@ -1,10 +1,9 @@
 """Left lookups that survive hot keys.
 
-A lookup is a left join against a table that holds one row per key.  Adaptive execution can
-split a hot partition of a plain sort-merge join, but not when the right side arrives
-straight from an aggregation on the join key, which is exactly what a deduplicated lookup
-table does.  So rows with a hot key are served from a broadcast of the few hot entries and
-spread evenly over the shuffle that finds the others.
+A lookup is a left join against a table that holds one row per key.  Its values may be wide,
+so they are neither sorted nor aggregated: repeated keys are found by counting the keys
+alone, and only their rows are reduced.  Rows with a hot key are served from a broadcast of
+the few hot entries and spread evenly over the shuffle that finds the others.
 """
 
 from __future__ import annotations
@@ -19,8 +18,6 @@ from pyspark.sql import types as T
 
 # A lookup table up to this size is sent to every executor instead of being shuffled.
 BROADCAST_BYTES = 64 << 20
-# At most this many hot entries are broadcast, whatever the number of shuffle partitions.
-MAX_HOT_KEYS = 4096
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
@@ -34,22 +31,39 @@ def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
 
 
 def narrow_columns(df: DataFrame) -> list[str]:
-    """Columns worth hashing to tell rows apart: all but arrays and maps."""
+    """Columns that are cheap to hash for spreading rows: all but arrays and maps."""
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType))]
 
 
+def one_row_per_key(table: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``table`` with the smallest value of each key; rows of a key that occurs once pass as they are."""
+    keys = list(keys)
+    repeated = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select(*keys)
+    if repeated.isEmpty():
+        return table.select(*keys, value)
+    reduced = table.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.min(value).alias(value))
+    return table.join(repeated, keys, "left_anti").select(*keys, value).unionByName(reduced)
+
+
 def fits_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has at most ``limit / row_bytes`` rows; counts no further than that."""
-    cap = max(limit // max(row_bytes, 1), 1)
-    return df.limit(cap + 1).count() <= cap
+    """Whether ``df``, a stored table, has at most ``limit / row_bytes`` rows."""
+    return df.count() <= limit // max(row_bytes, 1)
 
 
 def _stand_in(row_hash: Column, kind: T.DataType) -> Column | None:
     """A key of type ``kind`` made from a row hash, or ``None`` if there is no simple one."""
     if isinstance(kind, T.LongType):
         return row_hash
-    if isinstance(kind, T.IntegerType):
-        return F.pmod(row_hash, F.lit(2**31 - 1).cast("long")).cast("int")
+    if isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
+        most = {T.IntegerType: 2**31 - 1, T.ShortType: 2**15 - 1, T.ByteType: 2**7 - 1}[type(kind)]
+        return F.pmod(row_hash, F.lit(most).cast("long")).cast(kind)
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.pmod(row_hash, F.lit(1_000_000).cast("long")).cast("int"))
+    if isinstance(kind, T.DecimalType):
+        digits = kind.precision - kind.scale
+        return F.pmod(row_hash, F.lit(10 ** min(digits, 18)).cast("long")).cast(kind) if digits else None
+    if isinstance(kind, T.BinaryType):
+        return F.encode(row_hash.cast("string"), "UTF-8")
     if isinstance(kind, T.StringType):
         return row_hash.cast("string")
     return None
@@ -62,32 +76,34 @@ def lookup_join(
     value: str,
     *,
     small: bool,
+    unique: bool = False,
     parts: int | None = None,
+    row_bytes: int = 64,
     hash_columns: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` plus column ``value`` of ``right``, null where the key is unknown.
 
     Every left row comes out exactly once: a key that occurs more than once in ``right`` is
-    reduced to its smallest value (partial aggregation, no ranking window).  ``small`` says
-    that the caller has checked the size of ``right``.  Key counts are taken from ``count_on``,
-    which has the keys of ``left`` but may be cheaper to compute, or else from ``left``.
+    reduced to its smallest value, unless the caller knows that keys are ``unique``.  ``small``
+    says that the caller has checked the size of ``right``, whose rows take ``row_bytes``.  Key
+    counts are taken from ``count_on``, which has the keys of ``left`` but may be cheaper to
+    compute, or else from ``left``; a stored table is cheapest.
     """
     keys, names = list(keys), left.columns
     right = right.select(*keys, value).dropna(subset=keys)
-    unique = right.groupBy(*keys).agg(F.min(value).alias(value))
+    if not unique:
+        right = one_row_per_key(right, keys, value)
     if small:
-        return left.join(F.broadcast(unique), keys, "left").select(*names, value)
+        return left.join(F.broadcast(right), keys, "left").select(*names, value)
 
     if parts is None:
+        # a hot key exceeds a shuffle partition; fewer than `parts` keys can, so their entries
+        # stay below BROADCAST_BYTES
         shuffle_parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parts = min(shuffle_parts, MAX_HOT_KEYS)
+        parts = max(1, min(shuffle_parts, BROADCAST_BYTES // max(row_bytes, 1)))
     hot = hot_keys((count_on or left).select(*keys).dropna(), keys, parts)
-    hot_values = (
-        right.join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.min(value).alias("_hot_value"))
-    )
+    hot_values = right.join(F.broadcast(hot), keys, "left_semi").withColumnRenamed(value, "_hot_value")
     hot = hot.join(hot_values, keys, "left").withColumn("_hot", F.lit(True))
 
     # The rest goes through the shuffle.  Rows that need nothing from there, because their key
@@ -105,7 +121,7 @@ def lookup_join(
     probing = (
         left.join(F.broadcast(hot), keys, "left").withColumn("_open", is_open).withColumns(probes)
     )
-    entries = unique.select(*[F.col(k).alias(f"_entry_{k}") for k in keys], F.col(value).alias("_cold_value"))
+    entries = right.select(*[F.col(k).alias(f"_entry_{k}") for k in keys], F.col(value).alias("_cold_value"))
     matches = reduce(and_, [F.col(f"_probe_{k}") == F.col(f"_entry_{k}") for k in keys])
     found = probing.join(entries, matches & F.col("_open"), "left")
     return found.select(*names, F.coalesce("_hot_value", "_cold_value").alias(value))

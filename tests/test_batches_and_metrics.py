@@ -109,6 +109,26 @@ def test_score_parity(spark, other, expected):
     assert (got["n_matched"], got["n_unmatched"], got["passed"]) == expected
 
 
+def test_parity_of_repeated_and_null_ids(spark):
+    rows = [(1, float(i)) for i in range(300)] + [(None, 2.0), (None, 3.0)]
+    got = score_parity(scores(spark, rows), scores(spark, [(1, 5.0)] * 300 + [(None, 2.5)] * 2), ["id"]).head()
+    assert (got["n_matched"], got["n_unmatched"], got["n_repeated"]) == (2, 0, 2)
+    assert got["max_abs_diff"] == 294.0 and not got["passed"]
+    same = scores(spark, [(1, 4.0)] * 300 + [(None, 2.0)])
+    assert score_parity(same, same, ["id"]).head()["passed"]
+    fewer = scores(spark, [(1, 4.0)] * 299 + [(None, 2.0)])
+    assert not score_parity(same, fewer, ["id"]).head()["passed"]
+
+
+def test_rows_that_differ_in_an_array_keep_their_batch(spark):
+    rows = spark.range(4000).selectExpr("1 as k", "array(id, id * 2) as v", "map('a', id) as m")
+
+    def batches_of(df):
+        return {tuple(r["v"]): r["batch_id"] for r in training_batches(df, 100, seed=3).collect()}
+
+    assert batches_of(rows.repartition(3)) == batches_of(rows.repartition(7))
+
+
 def test_parity_of_nothing_fails(spark):
     empty = scores(spark, [])
     assert score_parity(empty, empty, ["id"]).head()["passed"] is False

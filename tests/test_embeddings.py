@@ -28,15 +28,16 @@ def test_vector_rules(spark):
     df = spark.createDataFrame(
         [(None,), ([1.0, None, 3.0],), ([float("nan"), 0.0],), ([0.0, 0.0],)], "v array<float>"
     )
-    got = [r[0] for r in df.select(clean_vector(F.col("v"), 2)).collect()]
+    got = [r[0] for r in df.select(clean_vector(F.col("v"), 2, cut=True)).collect()]
     assert got == [[0.0, 0.0], [1.0, 0.0], [0.0, 0.0], [0.0, 0.0]]
-    flags = [r[0] for r in df.select(has_embedding(clean_vector(F.col("v"), 2))).collect()]
+    flags = [r[0] for r in df.select(has_embedding(clean_vector(F.col("v"), 2, cut=True))).collect()]
     assert flags == [0.0, 1.0, 0.0, 0.0]
 
 
-def test_short_vector_is_an_error(spark):
-    df = spark.createDataFrame([([1.0],)], "v array<float>")
-    with pytest.raises(Exception, match="fewer than 2 elements"):
+@pytest.mark.parametrize("vector", [[1.0], [1.0, 2.0, 3.0], []])
+def test_vector_of_another_length_is_an_error(spark, vector):
+    df = spark.createDataFrame([(vector,)], "v array<float>")
+    with pytest.raises(Exception, match="should have 2 elements"):
         df.select(vector_or_zeros(F.col("v"), 2)).collect()
 
 
@@ -283,3 +284,54 @@ def test_restless_history_is_cut_to_one_version_per_day(spark):
     assert emb.prune_history(history, pairs, SPEC).count() <= 6
     got = sorted(r["user_emb"][0] for r in emb.user_embeddings_at_day(history, pairs, SPEC).collect())
     assert got == [1440.0 * d for d in range(1, 6)]
+
+
+def rows_scanned(df):
+    """Rows that the scans of an executed query put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    text, found = [plan], 0
+    while text:
+        node = text.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            text.append(node.executedPlan())
+        elif node.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage")):
+            text.append(node.plan())
+        children = node.children()
+        text += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_history_bounds_reach_the_scan(spark, tmp_path):
+    start = datetime.datetime(2020, 1, 1, tzinfo=datetime.timezone.utc)
+    history = spark.range(20_000).select(
+        F.concat(F.lit("b"), F.col("id") % 50).alias("unified_buyer_id"),
+        F.lit("ORDER").alias("interaction_type"),
+        (F.lit(start) + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("valid_from"),
+        (F.lit(start) + F.make_dt_interval(hours=(F.col("id") + 30).cast("int"))).alias("valid_to"),
+        F.array(F.lit(1.0), F.lit(2.0)).cast("array<float>").alias(
+            "user_average_product_search_document_embedding"
+        ),
+    )
+    ordered = history.repartitionByRange(20, "valid_from").sortWithinPartitions("valid_from")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")  # has statistics
+    ordered.write.parquet(f"{tmp_path}/t")
+    spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    pairs = spark.createDataFrame([("b1", date(2020, 3, 1)), ("b2", date(2020, 3, 3))], "unified_buyer_id string, event_timestamp_day date")
+    pruned = emb.prune_history(spark.read.parquet(f"{tmp_path}/t"), pairs, SPEC).select("valid_from")
+    assert 0 < rows_scanned(pruned) <= 4000
+    none = emb.prune_history(spark.read.parquet(f"{tmp_path}/t"), pairs.limit(0), SPEC)
+    assert none.count() == 0
+
+
+def test_lookup_plans(spark, tmp_path):
+    """Vectors of keys that occur once are neither sorted by value nor gathered in one task."""
+    vector = F.array(F.col("id").cast("float"), F.lit(2.0).cast("float"))
+    spark.range(2000).select(F.col("id").alias("k"), vector.alias("v")).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    found = emb.lookup_vectors(spark.range(5000).withColumnRenamed("id", "k"), table, ["k"], "v", 2, "out", broadcast_bytes=0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "LocalLimit" not in plan
+    assert found.where("out[1] = 2").count() == 2000
