@@ -7,10 +7,11 @@ NaN, duplicate ids, lookups that miss, and versions that begin during a day.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
-from rankframe.operators.scoring import ModelShape
-from rankframe.spec import FeatureSpec, PreprocessConfig, SampleConfig
+from rankframe.spec import FeatureSpec, ModelShape, PreprocessConfig, SampleConfig
 
 INTERACTIONS_SQL = """
 select 'c' || cast(o_custkey as string) as unified_buyer_id,
@@ -162,12 +163,8 @@ SCORING = PreprocessConfig(
     id_hash={"shop_id": (50, 2)},
     dim_overrides={c: 2 for c in SPEC.categorical},
     hash_algo="md5",
-    num_emb_dim=NUM_EMB_DIM,
     pretrained_emb_dim=64,
-    projected_emb_dim=PROJECTED_DIM,
     num_cross_layers=CROSS_LAYERS,
-    num_experts=EXPERTS,
-    expert_rank=RANK,
     deep_dims=DEEP_DIMS,
     head_dims=HEAD_DIMS,
 )
@@ -234,11 +231,5 @@ def weight_table(
 
 
 def model_shape(with_embeddings: bool = True) -> ModelShape:
-    return ModelShape(
-        categories=CATEGORY_ORDER,
-        n_bins=SCORING.n_bins,
-        cross_layers=CROSS_LAYERS,
-        deep_layers=len(DEEP_DIMS),
-        head_layers=len(HEAD_DIMS),
-        embedding_dim=SPEC.embedding_dim if with_embeddings else 0,
-    )
+    cfg = replace(SCORING, use_pretrained_embeddings=with_embeddings)
+    return cfg.model_shape(CATEGORY_ORDER)

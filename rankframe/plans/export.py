@@ -14,22 +14,20 @@ from rankframe.sources.catalog import TableCatalog
 from rankframe.sources.splits import read_split, write_split
 from rankframe.spec import FeatureSpec, SampleConfig
 
-SPLIT_NAMES = {"base_train": "base_train", "finetune": "finetune"}
-
-
 def export_embeddings(
     split: DataFrame,
     products: DataFrame,
     history: DataFrame,
     spec: FeatureSpec,
     root: str,
+    name: str,
     *,
     hash_algo: str = "xxhash64",
     expand: bool = False,
 ) -> dict[str, str]:
-    """Write the product and point-in-time user embeddings of the ids in ``split``.
+    """Write the product and point-in-time user embeddings of the ids in split ``name``.
 
-    The two writes are independent jobs, submitted together so that one fills the gaps the
+    They lie beside the split, so exports of several splits into one root stay apart.  The two writes are independent jobs, submitted together so that one fills the gaps the
     other leaves on the cluster.  The staged ids are released however the writes end.
     """
     spark = split.sparkSession
@@ -42,8 +40,8 @@ def export_embeddings(
         }
         write = inheritable_thread_target(spark)(write_split)
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            jobs = {name: pool.submit(write, df, root, name) for name, df in tables.items()}
-            return {name: job.result() for name, job in jobs.items()}
+            jobs = {kind: pool.submit(write, df, root, f"{name}_{kind}") for kind, df in tables.items()}
+            return {kind: job.result() for kind, job in jobs.items()}
 
 
 def export_split(
@@ -58,15 +56,15 @@ def export_split(
 ) -> dict[str, str]:
     """Sampled split first, then embeddings for the ids that the sampling left."""
     rows = split_rows(catalog.read(spark, "interactions"), cfg, spec, mode)
-    name = SPLIT_NAMES[mode]
     # sampling leaves a few rows of every source file
-    paths = {name: write_split(rows, root, name, even_files=True)}
+    paths = {mode: write_split(rows, root, mode, even_files=True)}
     paths |= export_embeddings(
-        read_split(spark, root, name),
+        read_split(spark, root, mode),
         catalog.read(spark, "product_embeddings"),
         catalog.read(spark, "embedding_history"),
         spec,
         root,
+        mode,
         hash_algo=cfg.hash_algo,
         expand=expand,
     )

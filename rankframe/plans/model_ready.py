@@ -17,17 +17,17 @@ def prepared_split(spark: SparkSession, root: str, split: str, spec: FeatureSpec
 
 
 def embedding_tables(
-    spark: SparkSession, root: str, spec: FeatureSpec
+    spark: SparkSession, root: str, spec: FeatureSpec, split: str = "base_train"
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Exported product and user embeddings; ``None`` for one that was not exported."""
+    """Product and user embeddings exported with ``split``; ``None`` for one that was not."""
 
-    def packed(split: str, key: str, vector: str) -> DataFrame | None:
-        table = read_optional_split(spark, root, split)
+    def packed(kind: str, key: str, vector: str) -> DataFrame | None:
+        table = read_optional_split(spark, root, f"{split}_{kind}")
         if table is None or vector in table.columns:
             return table
         wide = pack_columns(table.columns, [f"{vector}_"], spec.embedding_dim)
         if wide is None:
-            raise ValueError(f"{split} has neither {vector} nor all of its {vector}_<i> columns")
+            raise ValueError(f"{split}_{kind} has neither {vector} nor all of its {vector}_<i> columns")
         return table.select(key, wide.alias(vector))
 
     return (
@@ -65,7 +65,7 @@ def base_training_table(
     """Fit on the base split and encode it."""
     prepared = prepared_split(spark, root, split, spec)
     state = fit(prepared, spec, cfg)
-    return model_ready(prepared, state, spec, *embedding_tables(spark, root, spec)), state
+    return model_ready(prepared, state, spec, *embedding_tables(spark, root, spec, split)), state
 
 
 def finetune_table(
@@ -77,4 +77,4 @@ def finetune_table(
 ) -> DataFrame:
     """Encode a new day with a restored state; nothing is refitted."""
     prepared = prepared_split(spark, root, split, spec)
-    return model_ready(prepared, state, spec, *embedding_tables(spark, root, spec))
+    return model_ready(prepared, state, spec, *embedding_tables(spark, root, spec, split))

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from rankframe.spec import FeatureSpec, PreprocessConfig
+from rankframe.spec import FeatureSpec, ModelShape, PreprocessConfig
 
 BOUNDARY_SCHEMA = T.StructType(
     [
@@ -76,7 +76,7 @@ class PreprocessorState:
         """Write boundaries, vocabulary and a JSON document below ``path``."""
         root = path.rstrip("/")
         self.boundary_rows(spark).coalesce(1).write.mode("overwrite").parquet(f"{root}/boundaries")
-        self.vocabulary.write.mode("overwrite").parquet(f"{root}/vocabulary")
+        _write_vocabulary(self.vocabulary, f"{root}/vocabulary")
         _write_document(spark, f"{root}/meta", self._meta())
 
     @classmethod
@@ -85,7 +85,7 @@ class PreprocessorState:
         meta = _read_document(spark, f"{root}/meta")
         return cls._assemble(
             spark.read.parquet(f"{root}/boundaries"),
-            spark.read.parquet(f"{root}/vocabulary"),
+            _read_vocabulary(spark, f"{root}/vocabulary"),
             meta,
         )
 
@@ -119,6 +119,17 @@ class PreprocessorState:
         return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def _write_vocabulary(vocabulary: DataFrame, path: str) -> None:
+    """One folder per feature, so that using a feature reads no other."""
+    columns = vocabulary.select("feature", "value", "id")
+    columns.write.mode("overwrite").partitionBy("feature").parquet(path)
+
+
+def _read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    table = spark.read.schema("value string, id int, feature string").parquet(path)
+    return table.select("feature", "value", "id")
+
+
 def _write_document(spark: SparkSession, path: str, document: object) -> None:
     frame = spark.createDataFrame([(json.dumps(document, sort_keys=True),)], "value string")
     frame.coalesce(1).write.mode("overwrite").text(path)
@@ -142,9 +153,7 @@ def write_artifacts(
     state.boundary_rows(spark).coalesce(1).write.mode("overwrite").parquet(
         f"{root}/quantile_boundaries"
     )
-    state.vocabulary.select("feature", "value", "id").write.mode("overwrite").parquet(
-        f"{root}/cat_encoders"
-    )
+    _write_vocabulary(state.vocabulary, f"{root}/cat_encoders")
     documents = {
         "id_hash_config": {
             "columns": {k: list(v) for k, v in state.id_hash.items()},
@@ -153,7 +162,7 @@ def write_artifacts(
         "vocab_sizes": dict(state.vocab_sizes),
         "vocab_bytes": dict(state.vocab_bytes),
         "embedding_dims": dict(state.embedding_dims),
-        "model_config": cfg.model_shape(state.num_continuous, state.vocab_sizes),
+        "model_config": cfg.model_shape(state.vocab_sizes).document(),
         "feature_list": {
             "numeric_features": list(spec.numeric),
             "cat_features": list(spec.categorical),
@@ -164,19 +173,24 @@ def write_artifacts(
         _write_document(spark, f"{root}/{name}", document)
 
 
+def load_model_shape(spark: SparkSession, path: str) -> ModelShape:
+    """The shape of the model that the artifacts belong to."""
+    return ModelShape.from_document(_read_document(spark, f"{path.rstrip('/')}/model_config"))
+
+
 def load_artifacts(spark: SparkSession, path: str) -> PreprocessorState:
     """State for serving-side encoding, from what :func:`write_artifacts` wrote."""
     root = path.rstrip("/")
     boundaries = spark.read.parquet(f"{root}/quantile_boundaries")
     hashes = _read_document(spark, f"{root}/id_hash_config")
-    shape = _read_document(spark, f"{root}/model_config")
+    shape = load_model_shape(spark, root)
     sizes = _read_document(spark, f"{root}/vocab_sizes")
-    if sorted(sizes) != shape["cat_feature_order"]:
+    if sorted(sizes) != list(shape.categories):
         raise ValueError("vocab_sizes and model_config list different categories")
     numeric = [r["feature"] for r in boundaries.orderBy("pos").select("feature").collect()]
     return PreprocessorState._assemble(
         boundaries,
-        spark.read.parquet(f"{root}/cat_encoders"),
+        _read_vocabulary(spark, f"{root}/cat_encoders"),
         {
             "numeric": numeric,
             "vocab_sizes": sizes,
@@ -184,7 +198,7 @@ def load_artifacts(spark: SparkSession, path: str) -> PreprocessorState:
             "embedding_dims": _read_document(spark, f"{root}/embedding_dims"),
             "id_hash": hashes["columns"],
             "dim_overrides": {},
-            "n_bins": shape["n_quantile_bins"],
+            "n_bins": shape.n_bins,
             "hash_algo": hashes["algorithm"],
         },
     )

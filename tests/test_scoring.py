@@ -242,16 +242,35 @@ def test_projection_rows(spark):
         sc.project_embeddings(df, {}, "user", id_column="user_date_key", vector="v", dim=D)
 
 
-def test_weights_table_roundtrip_and_limit(spark, monkeypatch):
+def test_weights_table_roundtrip_and_limit(spark):
     w = make_weights()
     rows = [(k, list(v.shape), [float(x) for x in v.ravel()]) for k, v in w.items()]
     table = spark.createDataFrame(rows, "name string, shape array<int>, values array<double>")
     loaded = sc.load_weights(table, "float64")
     assert loaded.keys() == w.keys()
     assert all(np.array_equal(loaded[k], w[k]) for k in w)
-    monkeypatch.setattr(sc, "MAX_PARAMETERS", 100)
     with pytest.raises(ValueError, match="parameters"):
-        sc.load_weights(table)
+        sc.load_weights(table, max_parameters=100)
+
+
+def test_trained_names_are_understood(spark, encoded):
+    w = make_weights()
+    names = sc.trained_names(SHAPE)
+    assert set(names.values()) == set(w)
+    trained = {ours: theirs for theirs, ours in names.items()}
+    rows = [(trained[k], list(v.shape), [float(x) for x in v.ravel()]) for k, v in w.items()]
+    table = spark.createDataFrame(rows, "name string, shape array<int>, values array<double>")
+    loaded = sc.load_weights(table, "float64", names=names)
+    assert loaded.keys() == w.keys()
+    sc.check_weights(loaded, SHAPE)
+
+
+def test_weights_are_checked_before_any_job(encoded):
+    w = make_weights()
+    del w["cross.0.down"]
+    w["logit.bias"] = np.zeros(2)
+    with pytest.raises(ValueError, match="cross.0.down is missing; logit.bias has shape"):
+        sc.score_rows(encoded, w, SHAPE, keep=["id"])
 
 
 def test_empty_table(spark, encoded):

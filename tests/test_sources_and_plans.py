@@ -118,11 +118,11 @@ def test_embedding_tables_may_be_wide_or_absent(spark, exported, tmp_path):
     root = str(tmp_path)
     assert embedding_tables(spark, root, fx.SPEC) == (None, None)
     dim = fx.SPEC.embedding_dim
-    packed = read_split(spark, exported, "product_embeddings")
+    packed = read_split(spark, exported, "base_train_product_embeddings")
     wide = packed.select(
         "product_id", *[F.get("product_emb", F.lit(i)).alias(f"product_emb_{i}") for i in range(dim)]
     )
-    write_split(wide, root, "product_embeddings")
+    write_split(wide, root, "base_train_product_embeddings")
     products, users = embedding_tables(spark, root, fx.SPEC)
     assert users is None
     assert products.exceptAll(packed.select(products.columns)).isEmpty()

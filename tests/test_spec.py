@@ -9,6 +9,7 @@ from rankframe import (
     EMBEDDING_DIM,
     NUMERIC_FEATURES,
     FeatureSpec,
+    ModelShape,
     PreprocessConfig,
     SampleConfig,
     resolve_window,
@@ -67,8 +68,8 @@ def test_bad_values_are_refused():
 
 
 def test_model_shape_lists_categories_in_sorted_order():
-    shape = PreprocessConfig().model_shape(185, {"z": 3, "a": 4, "shop_id": 50_001})
-    assert shape["cat_feature_order"] == ["a", "shop_id", "z"]
-    assert shape["num_cat_features"] == 3
-    assert shape["pretrained_emb_dim"] == 768
-    assert PreprocessConfig(use_pretrained_embeddings=False).model_shape(1, {})["pretrained_emb_dim"] == 0
+    shape = PreprocessConfig().model_shape({"z": 3, "a": 4, "shop_id": 50_001})
+    assert shape.categories == ("a", "shop_id", "z")
+    assert shape.embedding_dim == 768
+    assert ModelShape.from_document(shape.document()) == shape
+    assert PreprocessConfig(use_pretrained_embeddings=False).model_shape({}).embedding_dim == 0
