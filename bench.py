@@ -1,4 +1,4 @@
-"""Timings of the headline queries.
+"""Timings of all queries over the fixture tables.
 
 Reads ``$BENCH_SF_DIR`` (default sf0.1), runs on ``local[$BENCH_CPUS]`` and prints one JSON
 line.  Every query runs twice and the second, warm run counts.  ``variants`` compares the
@@ -22,30 +22,6 @@ from rankframe.session import build_session, materialize
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-HEADLINE = (
-    "surface_window_all",
-    "positive_rate",
-    "negative_downsample",
-    "pointwise_base",
-    "pointwise_finetune",
-    "distinct_buyer_days",
-    "product_embeddings",
-    "user_embeddings_asof",
-    "embedding_export",
-    "embedding_lookup",
-    "clean_features",
-    "quantile_boundaries",
-    "vocabulary",
-    "quantile_bins",
-    "category_ids",
-    "full_transform",
-    "model_ready",
-    "training_batches",
-    "focal_loss",
-    "score_parity",
-    "preproject_products",
-    "score_rows",
-)
 
 
 def run(df) -> None:
@@ -72,16 +48,14 @@ def variants(spark) -> dict[str, float]:
     )
     wide_bounds = (bounds * 24)[:185]
     wide = packed.select(F.slice(F.flatten(F.array_repeat("num", 24)), 1, 185).alias("num"))
-    wide = materialize(wide.limit(100_000).repartition(int(CPUS)))
+    wide = materialize(wide.repartition(int(CPUS)))
     key = concat_key(F.col("unified_buyer_id"), F.col("product_id"), F.col("event_timestamp_day"))
     exact = F.array(*[F.lit(f) for f in fractions])
     jobs = {
         "quantiles_counting": lambda: quantile_boundaries(rows, names, 64).collect(),
         "quantiles_percentile": lambda: rows.agg(*[F.percentile(n, exact) for n in names]).collect(),
-        "bins_8_native": lambda: run(packed.select(quantile_bins(F.col("num"), bounds, "native"))),
-        "bins_8_arrow": lambda: run(packed.select(quantile_bins(F.col("num"), bounds, "arrow"))),
-        "bins_185_native": lambda: run(wide.select(quantile_bins(F.col("num"), wide_bounds, "native"))),
-        "bins_185_arrow": lambda: run(wide.select(quantile_bins(F.col("num"), wide_bounds, "arrow"))),
+        "bins_8": lambda: run(packed.select(quantile_bins(F.col("num"), bounds))),
+        "bins_185": lambda: run(wide.select(quantile_bins(F.col("num"), wide_bounds))),
         "hash_xxhash64": lambda: run(rows.select(hash_mod(key, 1_000_000, "xxhash64"))),
         "hash_md5": lambda: run(rows.select(hash_mod(key, 1_000_000, "md5"))),
     }
@@ -100,8 +74,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    known = queries()
-    seconds = {name: timed(lambda n=name: run(known[n](spark, SF_DIR))) for name in HEADLINE}
+    seconds = {name: timed(lambda q=query: run(q(spark, SF_DIR))) for name, query in queries().items()}
     compared = {} if os.environ.get("BENCH_SKIP_VARIANTS") else variants(spark)
     print(
         json.dumps(

@@ -414,6 +414,13 @@ def oracle_sql() -> dict[str, str]:
         f"else 0.75 * power({sigmoid}, 2) end::double * {bce})"
     )
     penalty = "0.01::double * avg(score * score)"
+    category_ids = f"""with {BASE}, {_vocab('split')} select {SHOWN},
+        {', '.join(f'{_code(c)} as {c}_id' for c in SPEC.categorical)} from split r"""
+    embedding_lookup = f"""with {BASE}, {EMBEDDED}, {_lookups('split')}
+        select {SHOWN}, user_date_key, {_sums('pvec', 'product')}, {_sums('uvec', 'user')},
+        {_flag('pvec')} as has_product, {_flag('uvec')} as has_user from looked_up"""
+    model_columns = f"{SHOWN}, {_cat_columns()}, {_sums('list_concat(pvec, uvec)', 'emb')}"
+    month_export = PRODUCT_EXPORT.replace("from split", "from month_split")
     return {
         "split_scan_summary": f"""with {BASE} select count(*) as n_rows,
             {len(SPEC.split_columns) + 2} as n_cols,
@@ -447,20 +454,22 @@ def oracle_sql() -> dict[str, str]:
             select 'product' as source, product_id as id, {_sums('vec', 'emb')} from product_export
             union all
             select 'user' as source, user_date_key as id, {_sums('vec', 'emb')} from user_export""",
-        "embedding_lookup": f"""with {BASE}, {EMBEDDED}, {_lookups('split')}
-            select {SHOWN}, user_date_key, {_sums('pvec', 'product')}, {_sums('uvec', 'user')},
-            {_flag('pvec')} as has_product, {_flag('uvec')} as has_user from looked_up""",
+        "embedding_lookup": embedding_lookup,
+        "embedding_lookup_shuffled": embedding_lookup,
         "clean_features": f"""with {BASE}, {_prepared()} select {SHOWN},
             {', '.join(f'{c}::double as {c}' for c in SPEC.numeric)}, {', '.join(SPEC.categorical)},
             target_is_native_order::double as target_is_native_order from prepared""",
         "quantile_boundaries": f"""with {BASE}, {_prepared()}, {_bounds(N_BINS)}
             select feature, pos::int as pos, bound::double as bound from bounds""",
         "vocabulary": f"with {BASE}, {_prepared()}, {_vocab('prepared')} select * from vocab",
+        "vocabulary_in_ranges": f"""with {INTERACTIONS} select 'triple' as feature, value,
+            (row_number() over (order by value))::int as id from (select distinct
+              concat_ws('|', unified_buyer_id, product_id, event_timestamp_day) as value from interactions)""",
         "vocab_sizes": f"""with {BASE}, {_vocab('split')} select feature, count(*) + 1 as vocab_size,
             least(50, greatest(1, (count(*) + 1) // 2))::int as emb_dim from vocab group by feature""",
         "quantile_bins": f"with {FITTED} select {SHOWN}, {BIN_COLUMNS} from prepared r, bound_lists",
-        "category_ids": f"""with {BASE}, {_vocab('split')} select {SHOWN},
-            {', '.join(f'{_code(c)} as {c}_id' for c in SPEC.categorical)} from split r""",
+        "category_ids": category_ids,
+        "category_ids_shuffled": category_ids,
         "hashed_ids": f"""with {INTERACTIONS} select {SHOWN}, {_shop_code(50)} as shop_code
             from interactions""",
         "full_transform": f"""with {FITTED} {encoded_all},
@@ -474,25 +483,40 @@ def oracle_sql() -> dict[str, str]:
         "model_ready": f"""with {FITTED}, {EMBEDDED}, {_lookups('prepared')}
             select {SHOWN}, {_cat_columns()}, target_is_native_order::double as target,
             {_sums('list_concat(pvec, uvec)', 'emb')} from looked_up r""",
+        "wide_embeddings_packed": f"""with {BASE}, {PRODUCTS}, best as (select product_id,
+              min(product_search_document_embedding) as vec from products group by 1),
+            wide as (select s.*, coalesce(vec, {ZEROS}) as v from split s left join best using (product_id)),
+            packed as (select *, list_concat(v, list_transform(list_reverse(v), lambda x: x * 2)) as emb
+              from wide)
+            select {SHOWN}, len(emb)::int as width, {_sums('emb', 'emb')} from packed""",
+        "two_exports_one_root": f"""with {FITTED}, {EMBEDDED}, {_lookups('prepared')},
+            month_split as (with {MONTH} select * from split), {_prepared('month_split', 'month_rows')},
+            month_looked as (with {month_export}, {_user_export('month_split')}, {_lookups('month_rows')}
+              select * from looked_up)
+            select 'base_train' as split, {model_columns} from looked_up r
+            union all select 'finetune' as split, {model_columns} from month_looked r""",
         "training_batches": f"""with {BASE}, numbered as (select {KEYS}, price,
               row_number() over (order by {order}) - 1 as pos from split)
             select {SHOWN}, price, pos, pos // {BATCH_ROWS} as batch_id from numbered""",
-        "shuffled_batches": f"""with {BASE}, total as (select count(*) as n from split)
+        "shuffled_batches": f"""with {BASE}, total as (select count(*) as n,
+              sum(coalesce({bucket(TRIPLE, 1_000_000)}, 0) + target_is_native_order)::bigint as row_sum from split)
             select b as batch_id, least(n - b * {BATCH_ROWS}, {BATCH_ROWS}) as n_rows,
-            b * {BATCH_ROWS} as first_pos, least(n, (b + 1) * {BATCH_ROWS}) - 1 as last_pos
+            b * {BATCH_ROWS} as first_pos, least(n, (b + 1) * {BATCH_ROWS}) - 1 as last_pos, row_sum
             from total, range((n + {BATCH_ROWS - 1}) // {BATCH_ROWS}) t(b)""",
         "focal_loss": f"""with {INTERACTIONS}, scored as (select (quantity - 25.0) / 8.0 as score,
               case when is_native_order then 1 else 0 end as target from interactions)
             select count(*) as n_rows, round({focal}, 9) as focal_loss,
             round({penalty}, 9) as logit_penalty, round({focal} + {penalty}, 9) as total_loss,
             round(avg({bce}) / 2, 9) as half_bce from scored""",
-        "score_parity": """with a as (select o_orderkey, o_totalprice / 100000 as score from orders),
+        "score_parity": """with a as (select o_orderkey, o_totalprice / 100000 as low,
+              case when o_orderkey % 7 = 0 then 1 else 0 end as more from orders),
             b as (select l_orderkey as o_orderkey, max(l_extendedprice) / 100000 as score
               from lineitem group by 1)
             select count_if(a.o_orderkey is not null and b.o_orderkey is not null)::bigint as n_matched,
             count_if(a.o_orderkey is null or b.o_orderkey is null)::bigint as n_unmatched,
-            round(max(abs(a.score - b.score)), 9) as max_abs_diff,
-            round(avg(abs(a.score - b.score)), 9) as mean_abs_diff, false as passed
+            count_if(more = 1)::bigint as n_repeated,
+            round(max(greatest(low + more - score, score - low)), 9) as max_abs_diff,
+            round(avg(abs((low + low + more) / 2 - score)), 9) as mean_abs_diff, false as passed
             from a full join b using (o_orderkey)""",
         "preproject_products": _projection_query(
             f"{PRODUCTS}, product_vectors as (select product_id, product_search_document_embedding"
@@ -506,5 +530,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "score_rows": _score_query(raw=True),
         "score_projected": _score_query(raw=False),
+        "scoring_paths_agree": f"""with {BASE}, ids as (select {KEYS}, count(*) as n from split group by all)
+            select count(*)::bigint as n_matched, 0::bigint as n_unmatched,
+            count_if(n > 1)::bigint as n_repeated, true as passed from ids""",
         "score_without_embeddings": _score_query(raw=False, with_embeddings=False),
     }

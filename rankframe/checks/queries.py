@@ -10,23 +10,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankframe import fixtures as fx
-from rankframe.functions.hashing import hashed_id, user_date_key
+from rankframe.functions.hashing import concat_key, hash_mod, hashed_id, user_date_key
 from rankframe.functions.vectors import has_embedding
 from rankframe.operators import batches, embeddings, encode, identity, metrics, sampling, scoring
 from rankframe.operators.quantiles import quantile_boundaries
+from rankframe.operators.skew import narrow_columns
 from rankframe.operators.vocabulary import (
-    category_sizes,
     distinct_categories,
     number_categories,
     vocabulary_sizes,
 )
 from rankframe.plans.export import export_split
-from rankframe.plans.model_ready import base_training_table, embedding_tables, model_ready
+from rankframe.plans.model_ready import (
+    base_training_table,
+    embedding_tables,
+    finetune_table,
+    model_ready,
+)
 from rankframe.plans.pointwise import split_rows
 from rankframe.session import materialize, scratch_path
 from rankframe.sources.catalog import TableCatalog
 from rankframe.sources.splits import read_split, write_projected, write_split
-from rankframe.sources.state import PreprocessorState, load_artifacts, write_artifacts
+from rankframe.sources.state import (
+    PreprocessorState,
+    load_artifacts,
+    load_model_shape,
+    write_artifacts,
+)
+from rankframe.spec import ModelShape, PreprocessConfig
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -211,7 +222,11 @@ def embedding_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _embedding_lookup(**options) -> Query:
+    return lambda spark, sf_dir: _looked_up(spark, sf_dir, **options)
+
+
+def _looked_up(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     split = stored_base(spark, sf_dir).select(*KEYS, SPEC.buyer_hash)
     pairs = identity.distinct_buyer_days(split, SPEC)
     products = fx.product_embedding_table(spark, sf_dir).withColumnRenamed(
@@ -220,7 +235,7 @@ def embedding_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = embeddings.user_embeddings_at_day(
         fx.embedding_history(spark, sf_dir), pairs, SPEC, hash_algo="md5"
     )
-    found = embeddings.attach_embeddings(split, SPEC, products, materialize(users))
+    found = embeddings.attach_embeddings(split, SPEC, materialize(products), materialize(users), **options)
     dim = SPEC.embedding_dim
     product, user = F.slice("emb", 1, dim), F.slice("emb", dim + 1, dim)
     return found.select(
@@ -254,9 +269,16 @@ def fitted_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    distinct = distinct_categories(prepared_base(spark, sf_dir), SPEC.categorical)
-    largest = category_sizes(distinct).agg(F.max("n_values")).head()[0] or 0
-    return number_categories(distinct, largest)
+    return number_categories(distinct_categories(prepared_base(spark, sf_dir), SPEC.categorical))
+
+
+def vocabulary_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interaction keys as a category: many values, numbered in many ranges."""
+    rows = fx.interactions(spark, sf_dir).select(
+        F.concat_ws("|", SPEC.buyer, SPEC.product, SPEC.day).alias("triple")
+    )
+    distinct = distinct_categories(rows, ["triple"])
+    return number_categories(distinct, value_bytes=1 << 14)
 
 
 def vocab_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +300,14 @@ def category_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(*KEYS, *[f"{c}_id" for c in state.categories])
 
 
+def category_ids_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every vocabulary too large to be broadcast."""
+    split = stored_base(spark, sf_dir)
+    state = encode.fit(split, SPEC, fx.ENCODING)
+    coded = encode.category_ids(split, state, {c: c for c in state.categories}, broadcast_bytes=0)
+    return coded.select(*KEYS, *[f"{c}_id" for c in state.categories])
+
+
 def hashed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     buckets, _ = fx.ENCODING.id_hash[SPEC.shop]
     return fx.interactions(spark, sf_dir).select(
@@ -330,6 +360,39 @@ def finetune_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- assembled tables --------------------------------------------------------------------------
 
 
+def wide_embeddings_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split that carries its embeddings as wide columns, packed while it is encoded."""
+    split = stored_base(spark, sf_dir)
+    vectors = fx.product_embedding_table(spark, sf_dir)
+    vector = "product_search_document_embedding"
+    best = embeddings.unique_vectors(vectors, [SPEC.product], vector)
+    dim = SPEC.embedding_dim
+    wide = split.join(best, SPEC.product, "left").select(
+        *split.columns,
+        *[F.get(vector, F.lit(i)).alias(f"product_emb_{i}") for i in range(dim)],
+        *[(F.get(vector, F.lit(dim - 1 - i)) * 2).alias(f"user_emb_{i}") for i in range(dim)],
+    )
+    rows = encode.prepare(wide, SPEC)
+    state = encode.fit(rows, SPEC, fx.ENCODING)
+    coded = encode.encode(rows, state, SPEC)
+    return coded.select(*KEYS, F.size("emb").alias("width"), *vector_sums(F.col("emb"), "emb"))
+
+
+def two_exports_one_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base split and a later month exported into one root; both tables built afterwards."""
+    root, catalog = scratch_path(spark), fixture_catalog(spark, sf_dir)
+    export_split(spark, catalog, fx.WHOLE_RANGE, SPEC, "base_train", root)
+    export_split(spark, catalog, fx.MONTH, SPEC, "finetune", root)
+    base, state = base_training_table(spark, root, SPEC, fx.ENCODING)
+    month = finetune_table(spark, root, SPEC, state)
+
+    def columns(table: DataFrame, name: str) -> DataFrame:
+        cats = spread("cat", state.encoded_order, "cat_", "int")
+        return table.select(F.lit(name).alias("split"), *KEYS, *cats, *vector_sums(F.col("emb"), "emb"))
+
+    return columns(base, "base_train").unionByName(columns(month, "finetune"))
+
+
 def model_ready_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark)
     export_split(spark, fixture_catalog(spark, sf_dir), fx.WHOLE_RANGE, SPEC, "base_train", root)
@@ -348,11 +411,16 @@ def training_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shuffled_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which row lands where is arbitrary, so batches are described by size and positions."""
+    """Which row lands where is arbitrary, so batches are described by size and positions, and
+    all rows together by a sum that changes if any is lost, doubled or altered."""
     rows = base_split(spark, sf_dir).select(*KEYS, "price", SPEC.target)
+    batched = batches.training_batches(rows, BATCH_ROWS, seed=42)
+    key = concat_key(F.col(SPEC.buyer), F.col(SPEC.product), F.col(SPEC.day))
+    own = F.coalesce(hash_mod(key, 1_000_000, "md5"), F.lit(0)) + F.col(SPEC.target)
+    everything = batched.agg(F.sum(own)).scalar()
     return (
-        batches.training_batches(rows, BATCH_ROWS, seed=42)
-        .groupBy("batch_id")
+        batched.withColumn("row_sum", everything)
+        .groupBy("batch_id", "row_sum")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.min("pos").alias("first_pos"),
@@ -383,10 +451,15 @@ def focal_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order totals against the sums of their lines: not equal, and some orders have no line."""
+    """Order totals against their dearest lines: not equal, some orders have no line; every
+    seventh order occurs twice, with another total, on one side."""
     totals = fx.table(spark, sf_dir, "orders").select(
-        "o_orderkey", (F.col("o_totalprice") / 100000).alias("score")
-    )
+        F.col("o_orderkey"),
+        F.explode(
+            F.when(F.col("o_orderkey") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        ).alias("extra"),
+        "o_totalprice",
+    ).select("o_orderkey", (F.col("o_totalprice") / 100000 + F.col("extra")).alias("score"))
     sums = (
         fx.table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -395,6 +468,7 @@ def score_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.score_parity(totals, sums, ["o_orderkey"]).select(
         "n_matched",
         "n_unmatched",
+        "n_repeated",
         F.round("max_abs_diff", 9).alias("max_abs_diff"),
         F.round("mean_abs_diff", 9).alias("mean_abs_diff"),
         "passed",
@@ -458,15 +532,23 @@ def _weights(spark: SparkSession, state: PreprocessorState, with_embeddings: boo
     return scoring.load_weights(table, "float64")
 
 
+def _saved(
+    spark: SparkSession, state: PreprocessorState, cfg: PreprocessConfig
+) -> tuple[PreprocessorState, ModelShape]:
+    """State and model shape as a server gets them: from artifacts."""
+    root = scratch_path(spark)
+    write_artifacts(spark, state, cfg, SPEC, root)
+    return load_artifacts(spark, root), load_model_shape(spark, root)
+
+
 def _rounded_score(scored: DataFrame) -> DataFrame:
     return scored.select(*KEYS, (F.round("score", 6) + F.lit(0.0)).alias("score"))
 
 
 def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, state, _, _ = _scoring_input(spark, sf_dir)
-    scored = scoring.score_rows(
-        coded, _weights(spark, state), fx.model_shape(), keep=KEYS, dtype="float64"
-    )
+    _, shape = _saved(spark, state, fx.SCORING)
+    scored = scoring.score_rows(coded, _weights(spark, state), shape, keep=KEYS, dtype="float64")
     return _rounded_score(scored)
 
 
@@ -474,12 +556,32 @@ def score_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings projected ahead and looked up by id, as a server would."""
     coded, state, products, users = _scoring_input(spark, sf_dir)
     weights = _weights(spark, state)
+    return _rounded_score(_scored_from_projections(coded, products, users, weights))
+
+
+def scoring_paths_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores from raw vectors against scores from projections, for weights whose category
+    rows need no limiting; ids repeat on both sides alike."""
+    coded, state, products, users = _scoring_input(spark, sf_dir)
+    weights = scoring.limit_norms(_weights(spark, state))
+    raw = scoring.score_rows(coded, weights, fx.model_shape(), keep=KEYS, clamp=False, dtype="float64")
+    ahead = _scored_from_projections(coded, products, users, weights)
+    return metrics.score_parity(raw, ahead, KEYS, atol=1e-9).select(
+        "n_matched", "n_unmatched", "n_repeated", "passed"
+    )
+
+
+def _scored_from_projections(
+    coded: DataFrame, products: DataFrame, users: DataFrame, weights: scoring.Weights
+) -> DataFrame:
+    own = narrow_columns(coded)
     coded = coded.withColumns(
         {
             "_product_row": F.coalesce(F.col(SPEC.product), F.lit(0).cast("long")),
             embeddings.USER_KEY: user_date_key(F.col(SPEC.buyer_hash), F.col(SPEC.day)),
         }
     )
+    counted = coded
     for source, table, key, vector in (
         (
             "product",
@@ -498,11 +600,12 @@ def score_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
             dim=SPEC.embedding_dim,
             dtype="float64",
         )
-        coded = scoring.attach_projection(coded, projected, [key], source, weights)
-    scored = scoring.score_rows(
+        coded = scoring.attach_projection(
+            coded, materialize(projected), [key], source, weights, hash_columns=own, count_on=counted
+        )
+    return scoring.score_rows(
         coded, weights, fx.model_shape(), keep=KEYS, inputs="projected", dtype="float64"
     )
-    return _rounded_score(scored)
 
 
 def score_without_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,19 +639,24 @@ def queries() -> dict[str, Query]:
         "product_embeddings": product_embeddings,
         "user_embeddings_asof": user_embeddings_asof,
         "embedding_export": embedding_export,
-        "embedding_lookup": embedding_lookup,
+        "embedding_lookup": _embedding_lookup(),
+        "embedding_lookup_shuffled": _embedding_lookup(broadcast_bytes=0),
         "clean_features": clean_features,
         "quantile_boundaries": fitted_boundaries,
         "vocabulary": vocabulary,
+        "vocabulary_in_ranges": vocabulary_in_ranges,
         "vocab_sizes": vocab_sizes,
         "quantile_bins": quantile_bins,
         "category_ids": category_ids,
+        "category_ids_shuffled": category_ids_shuffled,
         "hashed_ids": hashed_ids,
         "full_transform": full_transform,
         "serving_transform": serving_transform,
         "train_serve_parity": train_serve_parity,
         "finetune_encode": finetune_encode,
         "model_ready": model_ready_rows,
+        "wide_embeddings_packed": wide_embeddings_packed,
+        "two_exports_one_root": two_exports_one_root,
         "training_batches": training_batches,
         "shuffled_batches": shuffled_batches,
         "focal_loss": focal_loss,
@@ -557,6 +665,7 @@ def queries() -> dict[str, Query]:
         "preproject_users": preproject_users,
         "score_rows": score_rows,
         "score_projected": score_projected,
+        "scoring_paths_agree": scoring_paths_agree,
         "score_without_embeddings": score_without_embeddings,
     }
     return {name: _shown(query) for name, query in found.items()}

@@ -9,9 +9,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import SF_DIR
+from rankframe import checks
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = checks.queries()
+ORACLES = checks.oracle_sql()
 
 
 def plain(value):
@@ -45,6 +46,11 @@ def test_query_matches_its_sql(spark, duck, name):
     assert found == expected
 
 
+def test_all_are_registered():
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert entry_points.oracle_sql().keys() <= entry_points.queries().keys()
+
+
 def test_entry_runs(spark):
     frame = entry_points.entry(spark)
     assert frame.columns[-2:] == ["target_is_native_order", "ubi_hash"]
