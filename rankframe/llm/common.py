@@ -40,7 +40,7 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPLIT), "")
 
 
-def numbered(df: DataFrame, key: str, order: str, slot: str, rows_per_bucket: int = 50_000) -> DataFrame:
+def numbered(df: DataFrame, key: str, order: str, slot: str, rows_per_bucket: int = 5_000) -> DataFrame:
     """Add ``slot``: a gapless number from 0 within each ``key``.
 
     A key's rows are dealt into hash buckets of bounded size; bucket counts give each
