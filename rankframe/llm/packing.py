@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -21,7 +20,9 @@ from rankframe.llm.tokens import Vocabulary, encoder
 class PackingConfig:
     """``tiers``: context sizes, each twice the one before. ``end_id`` closes a document.
     ``block_tokens``: ids that a task holds while it packs. ``step_tokens``: tokens of a
-    training step. ``tails_together``: how many partitions' leftovers are packed together."""
+    training step. ``tails_together``: how many partitions' leftovers are packed together.
+    ``broadcast_rows``: window counts (of a partition and tier) up to this number are
+    broadcast, more are joined by shuffle."""
 
     vocabulary: Vocabulary = field(default_factory=Vocabulary.public)
     tiers: tuple[int, ...] = (256, 512, 1024, 2048)
@@ -29,9 +30,11 @@ class PackingConfig:
     block_tokens: int = 4_000_000
     step_tokens: int = 1 << 20
     tails_together: int = 64
+    broadcast_rows: int = 500_000
 
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, tier_rank long, part long, ids binary"
+#: ``ids``: of the piece, 32 bits each, little-endian. ``short``: the window is packed again.
+PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, tier int, tier_rank long, part long, short boolean, ids binary"
 
 
 @dataclass(slots=True)
@@ -131,18 +134,22 @@ class _Writer:
         self.part, self.next_id = part, first_id
         self.ranks: Counter[int] = Counter()
         self.rows: list[tuple] = []
+        self.held = 0
 
-    def add(self, tier: int, window: list[_Segment], keep_ids: bool = False) -> None:
+    def add(self, tier: int, window: list[_Segment], short: bool = False) -> None:
         offset = 0
         for s in window:
-            raw = s.ids.tobytes()
-            self.rows.append((s.doc_id, s.start, len(s.ids), zlib.crc32(raw), s.doc_tokens, self.next_id, offset, tier, self.ranks[tier], self.part, raw if keep_ids else None))
+            self.rows.append((s.doc_id, s.start, len(s.ids), s.doc_tokens, self.next_id, offset, tier, self.ranks[tier], self.part, short, s.ids.tobytes()))
             offset += len(s.ids)
+        self.held += offset
         self.ranks[tier] += 1
         self.next_id += 1
 
+    def full(self) -> bool:
+        return self.held >= 2_000_000 or len(self.rows) >= 20_000
+
     def flush(self) -> list[tuple]:
-        rows, self.rows = self.rows, []
+        rows, self.rows, self.held = self.rows, [], 0
         return rows
 
 
@@ -160,6 +167,8 @@ def _pack_partition(batches: Iterable[pa.RecordBatch], config: PackingConfig, sc
             while len(rest.ids) >= top:
                 whole, rest = rest.cut(top)
                 writer.add(top, [whole])
+                if writer.full():
+                    yield out(writer.flush())
             pool.add(_Segment(doc_id, rest.start, rest.ids.copy(), len(ids)))
             held += len(rest.ids)
             if held >= config.block_tokens:
@@ -167,14 +176,16 @@ def _pack_partition(batches: Iterable[pa.RecordBatch], config: PackingConfig, sc
                 for tier, window in pack_windows(pool, config.tiers):
                     if sum(len(s.ids) for s in window) == tier:
                         writer.add(tier, window)
+                        if writer.full():
+                            yield out(writer.flush())
                     else:  # waits for the next block
                         for s in window:
                             pool.add(s)
                             held += len(s.ids)
-            if len(writer.rows) >= 20_000:
-                yield out(writer.flush())
     for tier, window in pack_windows(pool, config.tiers):
-        writer.add(tier, window, keep_ids=sum(len(s.ids) for s in window) < tier)
+        writer.add(tier, window, short=sum(len(s.ids) for s in window) < tier)
+        if writer.full():
+            yield out(writer.flush())
     if writer.rows:
         yield out(writer.flush())
 
@@ -200,14 +211,15 @@ def _pack_tails(rows: pd.DataFrame, config: PackingConfig) -> pd.DataFrame:
 
 
 def pack_documents(documents: DataFrame, config: PackingConfig | None = None) -> DataFrame:
-    """Pack ``documents(doc_id, text)`` into sequences; one row per piece of a document.
+    """Pack ``documents(doc_id, text)`` into sequences; one row per piece of a document
+    with its ``ids`` (32 bits each, little-endian) and their ``ids_crc32``.
 
     A document is its ids and ``end_id``. Full windows of the longest tier are cut from it
     at once; what is left is routed to the smallest tier that holds it. Each partition
     packs its tiers in blocks of bounded size, longest first, and fills gaps from shorter
     tiers (whole pieces by best fit, else a cut). The short last window of a partition
-    goes on, with its ids, to a second packing over many partitions. So no text is
-    shuffled, and less than one window per ``tails_together`` partitions is padded.
+    goes on to a second packing over many partitions. So but for these windows no text or
+    id is shuffled, and less than one window per ``tails_together`` partitions is padded.
 
     ``step_group`` deals the windows of each tier round-robin to as many groups as there
     are ``step_tokens`` in the corpus, so groups differ by at most one window per tier.
@@ -224,21 +236,23 @@ def pack_documents(documents: DataFrame, config: PackingConfig | None = None) ->
     schema = to_arrow_schema(StructType.fromDDL(PIECES))
     packed = stored(source.mapInArrow(lambda it: _pack_partition(it, config, schema), PIECES), "pieces")
     tails = (
-        packed.where("ids is not null")
+        packed.where("short")
         .groupBy(F.floor(F.col("part") / config.tails_together))
         .applyInPandas(lambda rows: _pack_tails(rows, config), PIECES)
     )
-    pieces = packed.where("ids is null").unionByName(stored(tails, "tails")).drop("ids")
+    pieces = packed.where("not short").unionByName(stored(tails, "tails"))
 
     counts = pieces.where("offset = 0").groupBy("tier", "part").agg(F.count(F.lit(1)).alias("_windows"))
     before = Window.partitionBy("tier").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = stored(counts.withColumn("_before", F.coalesce(F.sum("_windows").over(before), F.lit(0))), "window-counts")
     tokens = counts.agg(F.sum(F.col("tier") * F.col("_windows"))).first()[0] or 0
+    if counts.count() <= config.broadcast_rows:  # else the pieces would be shuffled with their ids
+        counts = F.broadcast(counts)
     groups = max(1, -(-tokens // config.step_tokens))
     return (
         pieces.join(counts.drop("_windows"), ["tier", "part"])
         .select(
-            "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier",
-            ((F.col("_before") + F.col("tier_rank")) % groups).cast("long").alias("step_group"),
+            "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier",
+            ((F.col("_before") + F.col("tier_rank")) % groups).cast("long").alias("step_group"), "ids",
         )
     )

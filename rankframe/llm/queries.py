@@ -12,7 +12,7 @@ from rankframe.llm.common import read_table, scratch
 
 
 def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+    return packing.pack_documents(read_table(spark, sf_dir, "documents")).drop("ids")
 
 
 def op2_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,19 @@ def test_many_partitions_share_one_padded_sequence(spark, exact):
     assert len({r.tier for r in rows}) > 1  # several context sizes are in use
 
 
+def test_pieces_hold_all_ids(spark, exact):
+    """Texts come back from the pieces, also of repeated and null document ids."""
+    texts = ["one two three " * n for n in (1, 40, 700, 2500)] + [None, "", "漢字 🙂"]
+    df = spark.createDataFrame([(d, t) for d in (None, 7) for t in texts], "doc_id long, text string").repartition(3)
+    found = Counter()
+    for r in packing.pack_documents(df, packing.PackingConfig(block_tokens=3000)).collect():
+        ids = np.frombuffer(r.ids, "<u4")
+        assert len(ids) == r.length and zlib.crc32(r.ids) == r.ids_crc32
+        found.update((r.doc_id, r.doc_tokens, r.start + i, int(x)) for i, x in enumerate(ids))
+    expected = Counter((d, len(ids), i, x) for d in (None, 7) for t in texts for ids in [exact(t or "") + [1]] for i, x in enumerate(ids))
+    assert found == expected
+
+
 def test_gaps_take_whole_pieces_first():
     pool = packing._Pool()
     for n in (7, 3, 2, 1):
