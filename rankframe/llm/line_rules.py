@@ -60,32 +60,34 @@ def repeated_words(words: Column) -> Column:
     return let(hashes, count)
 
 
-def line_facts(documents: DataFrame, rules: LineRules) -> DataFrame:
-    """One row per document: its own figures, and key and words of each of its lines.
+def _line(x: Column, host: Column) -> Column:
+    """A line's key hashes the host and the line in lower case with single spaces."""
+    return let(words_of(F.lower(x)), lambda w: F.struct(F.xxhash64(host, F.array_join(w, " ")).alias("key"), F.size(w).alias("words")))
 
-    A line's key hashes the host and the line in lower case with single spaces.
-    """
+
+def line_facts(documents: DataFrame, rules: LineRules) -> DataFrame:
+    """One row per document: its text, its own figures, and key and words of each of its
+    lines that has a word."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     host = F.coalesce(F.col(rules.host).cast("string"), F.lit(""))
     split = documents.select(F.col("doc_id").cast("long").alias("doc_id"), host.alias("host"), text.alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(HAS_WORD))
 
-    def line(x: Column, host: Column) -> Column:
-        return let(words_of(F.lower(x)), lambda w: F.struct(F.xxhash64(host, F.array_join(w, " ")).alias("key"), F.size(w).alias("words")))
-
     duplicated = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
     own = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
     facts = split.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
+        "host",
+        "text",
         F.xxhash64("text").alias("content"),
         own.alias("own"),
         F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         duplicated.alias("n_dup_lines"),
-        F.transform(lines, lambda x: line(x, F.col("host"))).alias("lines"),
+        F.transform(lines, lambda x: _line(x, F.col("host"))).alias("lines"),
     )
-    return facts.select("row", "doc_id", "content", "own.n_words", "word_chars", "n_symbols", "n_dup_lines", "own.n_repeat_words", "lines")
+    return facts.select("row", "doc_id", "host", "text", "content", "own.n_words", "word_chars", "n_symbols", "n_dup_lines", "own.n_repeat_words", "lines")
 
 
 def frequent_lines(facts: DataFrame, max_documents: int) -> DataFrame:
@@ -95,14 +97,19 @@ def frequent_lines(facts: DataFrame, max_documents: int) -> DataFrame:
     return held.groupBy("key").count().where(F.col("count") > max_documents).select("key")
 
 
-def judge_documents(documents: DataFrame, rules: LineRules | None = None) -> DataFrame:
-    """Judge ``documents(doc_id, text, <host>)``; one row per input row.
+def _without(text: Column, host: Column, keys: Column) -> Column:
+    """``text`` without the lines of these keys; its other lines are as they were."""
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~x.rlike(HAS_WORD) | ~F.array_contains(keys, _line(x, host)["key"])), "\n")
 
+
+def clean_documents(documents: DataFrame, rules: LineRules | None = None) -> DataFrame:
+    """Clean and judge ``documents(doc_id, text, <host>)``; one row per input row.
+
+    ``text``: without the lines that too many documents of the host share.
     ``base_failed``: fewer than ``min_words`` words, or too many of them in repeated
-    three-word windows.  ``kept``: not ``base_failed``, and after removing the lines that
-    too many documents of the host share, enough of the words are left.
+    three-word windows.  ``kept``: not ``base_failed``, and enough of the words are left.
 
-    A null or empty text has no words and fails. A null host is a host of its own. Repeated
+    A null or empty text has no words, fails and is returned empty. A null host is a host of its own. Repeated
     rows are judged each on its own and count once as holders of their lines. Without rows
     the result is empty. Other columns are ignored.
     """
@@ -111,21 +118,30 @@ def judge_documents(documents: DataFrame, rules: LineRules | None = None) -> Dat
     frequent = stored(frequent_lines(facts, rules.max_documents), "frequent-lines")
     if frequent.count() <= rules.broadcast_rows:  # 8 bytes each
         frequent = F.broadcast(frequent)
-    held = facts.where("n_words > 0").select("row", F.explode("lines").alias("line")).select("row", "line.key", "line.words")
-    removed = held.join(frequent, "key").groupBy("row").agg(F.sum("words").alias("removed_words"))
-    lost = F.coalesce("removed_words", F.lit(0).cast("long"))
+    held = facts.where("n_words > 0").select("row", F.explode(F.array_distinct("lines.key")).alias("key"))
+    removed = stored(held.join(frequent, "key").groupBy("row").agg(F.collect_list("key").alias("keys")), "removed-lines")
+    if (removed.agg(F.sum(F.size("keys"))).first()[0] or 0) <= rules.broadcast_rows:
+        removed = F.broadcast(removed)
+    lost = F.when(F.col("keys").isNull(), F.lit(0).cast("long")).otherwise(F.col("n_words") - F.size(words_of(F.col("cleaned"))))
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_pct * F.col("n_words"))
+    cleaned = F.when(F.col("keys").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("host"), F.col("keys")))
     return (
         facts.drop("lines", "content").join(removed, "row", "left")
+        .withColumn("cleaned", cleaned).withColumn("removed_words", lost)
         .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            "doc_id", F.col("cleaned").alias("text"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             failed.alias("base_failed"),
-            (~failed & (100 * lost <= rules.max_removed_pct * F.col("n_words"))).alias("kept"),
-            lost.alias("removed_words"),
+            (~failed & (100 * F.col("removed_words") <= rules.max_removed_pct * F.col("n_words"))).alias("kept"),
+            "removed_words",
         )
     )
 
 
+def judge_documents(documents: DataFrame, rules: LineRules | None = None) -> DataFrame:
+    """The figures of ``clean_documents`` without the texts they were counted on."""
+    return clean_documents(documents, rules).drop("text")
+
+
 #: The same in DuckDB, for the default rules.
 LINE_RULES_SQL = r"""
 WITH docs AS (

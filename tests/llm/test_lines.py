@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from rankframe.llm.line_rules import LineRules, judge_documents
+from rankframe.llm.line_rules import LineRules, clean_documents, judge_documents
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,3 +49,14 @@ def test_awkward_documents(awkward, nothing):
     rows = [(r.doc_id, r.text, r.source) for r in awkward.collect()]
     assert sorted((tuple(r) for r in judge_documents(awkward).collect()), key=str) == brute(rows, LineRules())
     assert judge_documents(nothing).count() == 0
+
+
+def test_frequent_lines_leave_the_text(spark):
+    for rules in (LineRules(), LineRules(broadcast_rows=0)):  # production limits
+        rows = [(i, f"first {i}\n\nShared  LINE of\tthe host\n last {i} \nshared line of the host\n", "h") for i in range(101)]
+        rows += [(1000 + i, f"first {i}\nshared line of the host", "g") for i in range(100)] + [(2000, None, "h"), (2001, "shared line of the host", "h")]
+        found = {r.doc_id: r for r in clean_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"), rules).collect()}
+        for i in range(101):
+            assert (found[i].text, found[i].removed_words) == (f"first {i}\n\n last {i} \n", 10)
+        assert all(found[d].text == text and found[d].removed_words == 0 for d, text, host in rows if host == "g")
+        assert (found[2000].text, found[2001].text, found[2001].removed_words) == ("", "", 5)
