@@ -20,6 +20,9 @@ SYMBOLS = "#*$%&|<>"
 @dataclass(frozen=True)
 class LineRules:
     """``max_documents``: a line in more different documents of one host is removed.
+    ``max_share_pct``: if given, the line must also be in more than this share of the
+    host's different documents, so that hosts of every size are treated alike and
+    ``max_documents`` is the floor.
     ``max_removed_pct``: a document that loses more of its words is depleted.
     ``broadcast_rows``: removed lines up to this number are broadcast, more are joined by
     shuffle."""
@@ -30,6 +33,7 @@ class LineRules:
     min_words: int = 50
     max_repeat_pct: int = 50
     broadcast_rows: int = 500_000
+    max_share_pct: int | None = None
 
 
 def _covered(hashes: Column, position_bits: int) -> Column:
@@ -90,11 +94,16 @@ def line_facts(documents: DataFrame, rules: LineRules) -> DataFrame:
     return facts.select("row", "doc_id", "host", "text", "content", "own.n_words", "word_chars", "n_symbols", "n_dup_lines", "own.n_repeat_words", "lines")
 
 
-def frequent_lines(facts: DataFrame, max_documents: int) -> DataFrame:
-    """Keys of lines in more than ``max_documents`` different documents of their host.
+def frequent_lines(facts: DataFrame, rules: LineRules) -> DataFrame:
+    """Keys of lines in more different documents of their host than the rules allow.
     Exact copies of a document count once."""
-    held = facts.select("content", F.explode(F.array_distinct("lines.key")).alias("key")).distinct()
-    return held.groupBy("key").count().where(F.col("count") > max_documents).select("key")
+    host = F.xxhash64("host").alias("host")
+    held = facts.select(host, "content", F.explode(F.array_distinct("lines.key")).alias("key")).distinct()
+    counted = held.groupBy("key").agg(F.count(F.lit(1)).alias("count"), F.min("host").alias("host")).where(F.col("count") > rules.max_documents)
+    if rules.max_share_pct is not None:
+        documents = facts.select(host, "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+        counted = counted.join(documents, "host").where(100 * F.col("count") > rules.max_share_pct * F.col("documents"))
+    return counted.select("key")
 
 
 def _without(text: Column, host: Column, keys: Column) -> Column:
@@ -115,7 +124,7 @@ def clean_documents(documents: DataFrame, rules: LineRules | None = None) -> Dat
     """
     rules = rules or LineRules()
     facts = stored(line_facts(documents, rules), "line-facts")
-    frequent = stored(frequent_lines(facts, rules.max_documents), "frequent-lines")
+    frequent = stored(frequent_lines(facts, rules), "frequent-lines")
     if frequent.count() <= rules.broadcast_rows:  # 8 bytes each
         frequent = F.broadcast(frequent)
     held = facts.where("n_words > 0").select("row", F.explode(F.array_distinct("lines.key")).alias("key"))

@@ -4,7 +4,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from rankframe.llm.line_rules import LineRules, clean_documents, judge_documents
+import duckdb
+import pandas as pd
+from rankframe.llm.line_rules import LINE_RULES_SQL, LineRules, clean_documents, judge_documents
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -60,3 +62,30 @@ def test_frequent_lines_leave_the_text(spark):
             assert (found[i].text, found[i].removed_words) == (f"first {i}\n\n last {i} \n", 10)
         assert all(found[d].text == text and found[d].removed_words == 0 for d, text, host in rows if host == "g")
         assert (found[2000].text, found[2001].text, found[2001].removed_words) == ("", "", 5)
+
+
+def test_removed_lines_match_the_sql(spark):
+    """A table on which the production limit removes lines, which the smallest tables lack."""
+    rng = random.Random(4)
+    line = lambda n: " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    often, seldom = line(40), line(20)
+    rows = [(i, f"{line(60)}\n{often}\n{often if i % 3 else seldom}", ("h", "g", None)[i % 3]) for i in range(310)]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "source"])
+    duck = duckdb.connect()
+    duck.register("documents", documents)
+    expected = sorted(duck.execute(LINE_RULES_SQL).fetchall())
+    found = judge_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(map(tuple, found)) == expected
+    assert {r.kept for r in found} == {True, False} and {r.removed_words for r in found} == {60, 80}
+
+
+def test_limit_as_share_of_the_host(spark):
+    sizes = {"small": 20, "large": 400}
+    rows = [(i, f"own {host} {i}" + "\nin a tenth" * (10 * i < n) + "\nin a half" * (2 * i < n), host) for host, n in sizes.items() for i in range(n)]
+    rows += [(i, "own small 0\nin a tenth\nin a half", "small") for i in range(500)]  # copies count once
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for floor, removed in ((0, {"small", "large"}), (10, {"large"})):
+        found = clean_documents(df, LineRules(max_documents=floor, max_share_pct=10)).collect()
+        assert {r.text.split()[1] for r in found if r.removed_words} == removed
+        assert all(r.removed_words in (0, 3) and ("in a half" in r.text) <= (r.text.split()[1] not in removed) for r in found)
+        assert any("in a tenth" in r.text for r in found if r.removed_words)
