@@ -48,8 +48,24 @@ def _covered(hashes: Column, position_bits: int) -> Column:
 
     packed = F.sort_array(F.transform(hashes, lambda x, i: x.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
     repeated = let(packed, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, k: equal(s, x, k - 1) | equal(s, x, k + 1)), place)))
+    return _words_from(repeated)
+
+
+def _covered_long(hashes: Column) -> Column:
+    """The same for a text of any length: windows are ordered by their full hashes."""
+
+    def equal(s: Column, x: Column, k: Column) -> Column:
+        return F.coalesce(x["hash"] == F.get(s, k)["hash"], F.lit(False))
+
+    ordered = F.sort_array(F.transform(hashes, lambda x, i: F.struct(x.alias("hash"), i.alias("place"))))
+    repeated = let(ordered, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, k: equal(s, x, k - 1) | equal(s, x, k + 1)), lambda x: x["place"])))
+    return _words_from(repeated)
+
+
+def _words_from(starts: Column) -> Column:
+    """How many words lie in three-word windows that start at these sorted places."""
     gaps = lambda p: F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
-    return let(repeated, lambda p: F.aggregate(gaps(p), F.lit(0).cast("long"), lambda a, x: a + x))
+    return let(starts, lambda p: F.aggregate(gaps(p), F.lit(0).cast("long"), lambda a, x: a + x))
 
 
 def repeated_words(words: Column) -> Column:
@@ -59,7 +75,7 @@ def repeated_words(words: Column) -> Column:
 
     def count(h: Column) -> Column:
         none = F.size(F.array_distinct(h)) == F.size(h)
-        return F.when(none, F.lit(0).cast("long")).when(F.size(h) < (1 << 20), _covered(h, 20)).otherwise(_covered(h, 31))
+        return F.when(none, F.lit(0).cast("long")).when(F.size(h) < (1 << 20), _covered(h, 20)).otherwise(_covered_long(h))
 
     return let(hashes, count)
 

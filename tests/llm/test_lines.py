@@ -6,7 +6,9 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pandas as pd
-from rankframe.llm.line_rules import LINE_RULES_SQL, LineRules, clean_documents, judge_documents
+from pyspark.sql import functions as F
+from rankframe.llm.common import let
+from rankframe.llm.line_rules import LINE_RULES_SQL, LineRules, clean_documents, judge_documents, repeated_words
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -89,3 +91,13 @@ def test_limit_as_share_of_the_host(spark):
         assert {r.text.split()[1] for r in found if r.removed_words} == removed
         assert all(r.removed_words in (0, 3) and ("in a half" in r.text) <= (r.text.split()[1] not in removed) for r in found)
         assert any("in a tenth" in r.text for r in found if r.removed_words)
+
+
+def test_long_text_with_near_equal_hashes(spark):
+    """Between two equal windows lies another whose hash has the same first 33 bits."""
+    hashed = spark.range(1 << 19).select(F.concat(F.lit("a"), "id").alias("w")).select("w", F.shiftright(F.xxhash64("w", F.lit("b"), F.lit("c")), 31).alias("high"))
+    pair = hashed.groupBy("high").agg(F.sort_array(F.collect_list("w")).alias("w")).where("size(w) > 1").orderBy("high").first().w
+    filler = [f"x{i}" for i in range(1 << 20)]
+    words = [pair[0], "b", "c", "y1", "y2", pair[1], "b", "c", "y3", "y4", pair[0], "b", "c", *filler]
+    found = spark.createDataFrame([(" ".join(words),)], "text string").select(let(F.split("text", " "), repeated_words).alias("n"))
+    assert found.first().n == 6
