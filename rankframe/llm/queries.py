@@ -16,7 +16,7 @@ def op1_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_set_relation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), count_links=True).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
