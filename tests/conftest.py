@@ -32,6 +32,11 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
 @pytest.fixture(scope="session")
 def duck():
     connection = duckdb.connect()

@@ -8,7 +8,6 @@ import math
 import pytest
 
 import __spark_entry__ as entry_points
-from conftest import SF_DIR
 from rankframe import checks
 
 QUERIES = checks.queries()
@@ -35,8 +34,8 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_its_sql(spark, duck, name):
-    result = QUERIES[name](spark, SF_DIR)
+def test_query_matches_its_sql(spark, duck, sf_dir, name):
+    result = QUERIES[name](spark, sf_dir)
     found = rows(result.columns, result.collect())
     answer = duck.execute(ORACLES[name])
     columns = [c[0] for c in answer.description]

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR
 from rankframe import PreprocessConfig, fixtures as fx
 from rankframe.checks.queries import fixture_catalog
 from rankframe.plans import (
@@ -71,10 +70,10 @@ def test_projected_sink(spark, tmp_path):
     assert packed.columns == ["product_id", "proj", "has_emb"]
 
 
-def test_only_needed_columns_are_read(spark, tmp_path):
+def test_only_needed_columns_are_read(spark, tmp_path, sf_dir):
     from rankframe.operators.identity import distinct_products
 
-    write_split(fx.interactions(spark, SF_DIR), str(tmp_path), "s")
+    write_split(fx.interactions(spark, sf_dir), str(tmp_path), "s")
     split = read_split(spark, str(tmp_path), "s")
     from rankframe.plans import explain_text
 
@@ -93,9 +92,9 @@ def test_materialize_keeps_schema_and_uses_the_named_folder(spark):
 
 
 @pytest.fixture(scope="module")
-def exported(spark, tmp_path_factory):
+def exported(spark, tmp_path_factory, sf_dir):
     root = str(tmp_path_factory.mktemp("export"))
-    catalog = fixture_catalog(spark, SF_DIR)
+    catalog = fixture_catalog(spark, sf_dir)
     paths = export_split(spark, catalog, fx.WHOLE_RANGE, fx.SPEC, "base_train", root)
     assert set(paths) == {"base_train", "product_embeddings", "user_embeddings"}
     export_split(spark, catalog, fx.MONTH, fx.SPEC, "finetune", root)
@@ -150,8 +149,8 @@ def test_artifact_files(spark, exported, tmp_path):
         write_artifacts(spark, unfitted, PreprocessConfig(), fx.SPEC, str(path))
 
 
-def test_dry_run_is_text_only(spark):
-    text = plan_split(spark, fixture_catalog(spark, SF_DIR), fx.WHOLE_RANGE, fx.SPEC, "base_train")
+def test_dry_run_is_text_only(spark, sf_dir):
+    text = plan_split(spark, fixture_catalog(spark, sf_dir), fx.WHOLE_RANGE, fx.SPEC, "base_train")
     assert "Physical Plan" in text
 
 
