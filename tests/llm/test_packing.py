@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from plain_versions import check_pieces
 from rankframe.llm import lengths, packing
 from rankframe.llm.tokens import Vocabulary, encoder
 from tokenizers import Tokenizer
@@ -27,34 +28,6 @@ def test_both_encoders_agree(exact):
         assert encode(text).tolist() == exact(text)
 
 
-def check_pieces(rows, ids_of, tiers, documents):
-    """Every id in exactly one piece, offsets without gaps, at most one padded sequence."""
-    by_sequence, by_document = defaultdict(list), defaultdict(list)
-    for r in rows:
-        by_sequence[r.sequence_id].append(r)
-        by_document[r.doc_id].append(r)
-    for doc_id, copies in documents.items():
-        expected = Counter()
-        for text in copies:
-            expected[tuple(ids_of(text) + [1])] += 1
-        starts = Counter((r.start, r.doc_tokens) for r in by_document[doc_id])
-        assert sum(r.length for r in by_document[doc_id]) == sum(len(k) * n for k, n in expected.items())
-        for ids, n in expected.items():
-            array = np.array(ids, "<u4")
-            fits = [r for r in by_document[doc_id] if r.doc_tokens == len(ids) and zlib.crc32(array[r.start : r.start + r.length].tobytes()) == r.ids_crc32]
-            assert sum(r.length for r in fits) == n * len(ids)
-        assert sum(starts.values()) == len(by_document[doc_id])
-    short = 0
-    for pieces in by_sequence.values():
-        at = 0
-        for r in sorted(pieces, key=lambda r: r.offset):
-            assert r.offset == at and r.length > 0
-            at += r.length
-        assert at <= tiers[-1] and len({r.tier for r in pieces}) == 1
-        short += at not in tiers
-    return short
-
-
 def test_pieces_of_awkward_documents(awkward, exact):
     documents = defaultdict(list)
     for r in awkward.collect():

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from test_jaccard import brute
-from test_packing import check_pieces
+from plain_versions import brute, check_pieces
 
 import corpus_pipeline
 from rankframe.llm import language, queries
