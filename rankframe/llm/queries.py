@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankframe.llm import decontaminate, jaccard, language, lengths, line_rules, packing, secrets, sharding, url_filter, warc
+from rankframe.llm import bit_planes, decontaminate, filter_audit, jaccard, language, lengths, line_rules, packing, secrets, sharding, simhash, url_filter, warc
 from rankframe.llm.common import read_table, scratch
 
 
@@ -55,9 +55,26 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_documents(read_table(spark, sf_dir, "documents")).drop("text")
 
 
+def op11_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_planes.cluster_vectors(read_table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hierarchical_packing, op2_set_relation_join, op3_label_propagation, op4_content_archive, op5_length_histogram, op6_trigram_secrets, op7_language_ftrl, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency)}
+    return {f.__name__: f for f in (op1_hierarchical_packing, op2_set_relation_join, op3_label_propagation, op4_content_archive, op5_length_histogram, op6_trigram_secrets, op7_language_ftrl, op8_boosted_urls, op9_benchmark_leaks, op10_line_frequency, op11_bit_plane_clusters, op12_deletion_variants, op13_filter_potential)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_content_archive": warc.WARC_SQL, "op10_line_frequency": line_rules.LINE_RULES_SQL}
+    return {
+        "op4_content_archive": warc.WARC_SQL,
+        "op10_line_frequency": line_rules.LINE_RULES_SQL,
+        "op11_bit_plane_clusters": bit_planes.clusters_sql(),
+        "op13_filter_potential": filter_audit.AUDIT_SQL,
+    }
