@@ -148,7 +148,9 @@ def connecting_edges(prints: DataFrame, config: SimhashConfig | None = None) ->
     a side at most. No list is gathered.
     """
     c = config or SimhashConfig()
-    entries = prints.select("fp", F.lit(0).cast("long").alias("path"), F.col("fp").alias("rest"), F.lit(0).alias("left_out"), F.lit(0).alias("bits"))
+    # every row becomes 66, so the tasks are not left to the size of the narrow rows
+    dealt = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    entries = dealt.select("fp", F.lit(0).cast("long").alias("path"), F.col("fp").alias("rest"), F.lit(0).alias("left_out"), F.lit(0).alias("bits"))
     edges = []
     for width in (64, 32, 16):
         signed = _signed(entries, width)
