@@ -7,7 +7,7 @@ sorted list, vocabularies by rank, positions by row number, the network as list
 from __future__ import annotations
 
 from rankframe import fixtures as fx
-from rankframe.checks.queries import BATCH_ROWS, N_BINS, USER_SAMPLE_PCT, WINDOW
+from rankframe.checks.queries import BATCH_ROWS, MANY_CATEGORIES, N_BINS, USER_SAMPLE_PCT, WINDOW
 from rankframe.spec import BUYER_HASH_MODULUS, MISSING_CATEGORY, resolve_window
 
 _TABLES = {n: n for n in ("lineitem", "orders", "part", "customer", "embeddings")}
@@ -114,10 +114,10 @@ def _bin(column: str) -> str:
     return f"(len(list_filter(bl_{column}, lambda b: b < {column})) + 1)::int"
 
 
-def _vocab(source: str, name: str = "vocab") -> str:
+def _vocab(source: str, name: str = "vocab", columns: tuple[str, ...] = SPEC.categorical) -> str:
     values = " union ".join(
         f"select '{c}' as feature, {c} as value from {source} where {c} is not null"
-        for c in SPEC.categorical
+        for c in columns
     )
     return f"""{name} as (select feature, value,
   (row_number() over (partition by feature order by value))::int as id from ({values}))"""
@@ -416,6 +416,10 @@ def oracle_sql() -> dict[str, str]:
     penalty = "0.01::double * avg(score * score)"
     category_ids = f"""with {BASE}, {_vocab('split')} select {SHOWN},
         {', '.join(f'{_code(c)} as {c}_id' for c in SPEC.categorical)} from split r"""
+    category_ids_many = f"""with {BASE}, many as (select *, product_id::varchar as product_text,
+        unified_buyer_id as buyer_text, concat_ws('|', brand, segment) as pair_text from split),
+        {_vocab('many', columns=MANY_CATEGORIES)} select {SHOWN},
+        {', '.join(f'{_code(c)} as {c}_id' for c in MANY_CATEGORIES)} from many r"""
     embedding_lookup = f"""with {BASE}, {EMBEDDED}, {_lookups('split')}
         select {SHOWN}, user_date_key, {_sums('pvec', 'product')}, {_sums('uvec', 'user')},
         {_flag('pvec')} as has_product, {_flag('uvec')} as has_user from looked_up"""
@@ -470,6 +474,7 @@ def oracle_sql() -> dict[str, str]:
         "quantile_bins": f"with {FITTED} select {SHOWN}, {BIN_COLUMNS} from prepared r, bound_lists",
         "category_ids": category_ids,
         "category_ids_shuffled": category_ids,
+        "category_ids_many": category_ids_many,
         "hashed_ids": f"""with {INTERACTIONS} select {SHOWN}, {_shop_code(50)} as shop_code
             from interactions""",
         "full_transform": f"""with {FITTED} {encoded_all},

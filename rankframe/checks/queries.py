@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,7 @@ WINDOW = (date(1996, 6, 1), date(2001, 6, 1))
 USER_SAMPLE_PCT = 30
 BATCH_ROWS = 256
 N_BINS = fx.ENCODING.n_bins
+MANY_CATEGORIES = (*SPEC.categorical, "product_text", "buyer_text", "pair_text")
 
 
 # --- shared pieces ---------------------------------------------------------------------------
@@ -308,6 +310,18 @@ def category_ids_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(*KEYS, *[f"{c}_id" for c in state.categories])
 
 
+def category_ids_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine vocabularies, two with many values, all too large to be broadcast."""
+    split = stored_base(spark, sf_dir).withColumns(
+        {"product_text": F.col(SPEC.product).cast("string"), "buyer_text": F.col(SPEC.buyer)}
+    )
+    split = materialize(split.withColumn("pair_text", F.concat_ws("|", "brand", "segment")))
+    spec = replace(SPEC, categorical=MANY_CATEGORIES)
+    state = encode.fit(split, spec, fx.ENCODING)
+    coded = encode.category_ids(split, state, {c: c for c in state.categories}, broadcast_bytes=0)
+    return coded.select(*KEYS, *[f"{c}_id" for c in MANY_CATEGORIES])
+
+
 def hashed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     buckets, _ = fx.ENCODING.id_hash[SPEC.shop]
     return fx.interactions(spark, sf_dir).select(
@@ -649,6 +663,7 @@ def queries() -> dict[str, Query]:
         "quantile_bins": quantile_bins,
         "category_ids": category_ids,
         "category_ids_shuffled": category_ids_shuffled,
+        "category_ids_many": category_ids_many,
         "hashed_ids": hashed_ids,
         "full_transform": full_transform,
         "serving_transform": serving_transform,

@@ -122,9 +122,10 @@ def category_ids(
     ``columns`` maps a fitted feature to the column of ``df`` with its values; the code column
     is called ``<that column>_id``.  These are hash joins against the vocabulary.  Sizes are
     known from the fit: the smallest features are broadcast while their sum stays below
-    ``broadcast_bytes``, the others, and any of unknown size, take the skew-safe lookup.  Row
-    counts of a stream are not known ahead; there the rows of a value are dealt over ``SALTS``
-    copies of its entry.
+    ``broadcast_bytes``.  A single other one, of known size or not, takes the skew-safe lookup;
+    of several, the codes are found for each distinct tuple of values, and rows are joined
+    once with the codes of their tuple.  Row counts of a stream are not known ahead; there the
+    rows of a value are dealt over ``SALTS`` copies of its entry.
     """
     rows = df
     free = broadcast_bytes
@@ -133,28 +134,104 @@ def category_ids(
         for f in columns
         if f in state.vocab_bytes
     }
-    order = sorted(columns, key=lambda f: (f not in sizes, sizes.get(f, 0)))
-    for feature in order:
+    large = []
+    for feature in sorted(columns, key=lambda f: (f not in sizes, sizes.get(f, 0))):
         column = columns[feature]
         out, probe = f"{column}_id", f"_value_of_{column}"
         known = state.vocabulary.filter(F.col("feature") == feature).select(
             F.col("value").alias(probe), F.col("id").alias(out)
         )
-        df = df.withColumn(probe, F.col(column).cast("string"))
+        probing = df.withColumn(probe, F.col(column).cast("string"))
         if feature in sizes and sizes[feature] <= free:
             free -= sizes[feature]
-            df = df.join(F.broadcast(known), probe, "left")
+            df = probing.join(F.broadcast(known), probe, "left")
         elif df.isStreaming:
             copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
             salt = F.pmod(F.xxhash64(*narrow_columns(df)), F.lit(SALTS)).cast("int")
-            df = df.withColumn("_salt", salt).join(copies, [probe, "_salt"], "left").drop("_salt")
+            df = probing.withColumn("_salt", salt).join(copies, [probe, "_salt"], "left").drop("_salt")
         else:
-            counted = rows.select(F.col(column).cast("string").alias(probe))
-            df = lookup_join(df, known, [probe], out, small=False, unique=True, count_on=counted)
+            large.append(feature)
+            continue
         df = df.withColumn(out, F.coalesce(F.col(out), F.lit(0))).drop(probe)
+    if len(large) == 1:
+        column = columns[large[0]]
+        known = state.vocabulary.filter(F.col("feature") == large[0]).select(
+            F.col("value").alias("_value"), F.col("id").alias(f"{column}_id")
+        )
+        value = F.col(column).cast("string").alias("_value")
+        df = lookup_join(
+            df.withColumn("_value", value),
+            known,
+            ["_value"],
+            f"{column}_id",
+            small=False,
+            unique=True,
+            count_on=rows.select(value),
+        ).drop("_value")
+        return df.withColumn(f"{column}_id", F.coalesce(F.col(f"{column}_id"), F.lit(0)))
+    if large:
+        return codes_by_tuple(df, rows, state, {f: columns[f] for f in large}, free)
     return df
 
 
+def codes_by_tuple(
+    df: DataFrame,
+    rows: DataFrame,
+    state: PreprocessorState,
+    columns: Mapping[str, str],
+    broadcast_bytes: int,
+) -> DataFrame:
+    """The code columns of several features, for one shuffle of ``df`` however many they are.
+
+    What is looked up are the distinct tuples of values in ``rows``, which are narrow: each
+    gives one entry per feature, all entries go through one skew-safe join with the vocabulary
+    partitioned by (feature, value), and their codes come together as one array per tuple.
+    Rows are then joined with the array of their tuple: through a broadcast if the tuples fit
+    ``broadcast_bytes``, else by a shuffle in which rows of hot tuples are spread.  A row is
+    found by its own values, so no row number has to be the same on every attempt of a task.
+    """
+    features = list(columns)
+    probes = [f"_value_{i}" for i in range(len(features))]
+    values = [F.col(columns[f]).cast("string").alias(p) for f, p in zip(features, probes)]
+
+    def key(parts: Sequence[Column]) -> Column:
+        # lengths keep neighbours apart: no two tuples have one text
+        told = [F.concat(F.char_length(v).cast("string"), F.lit(":"), v) for v in parts]
+        return F.concat(*[F.coalesce(t, F.lit("-")) for t in told])
+
+    tuples = materialize(rows.select(*values).groupBy(*probes).agg(F.count(F.lit(1)).alias("_rows")))
+    tuples = tuples.withColumn("_tuple", key([F.col(p) for p in probes]))
+    entries = tuples.select("_tuple", F.posexplode(F.array(*probes)).alias("_place", "_value"))
+    place = F.coalesce(*[F.when(F.col("feature") == f, F.lit(i)) for i, f in enumerate(features)])
+    known = state.vocabulary.filter(F.col("feature").isin(features)).select(
+        place.alias("_place"), F.col("value").alias("_value"), F.col("id").alias("_id")
+    )
+    found = lookup_join(
+        entries.filter(F.col("_value").isNotNull()), known, ["_place", "_value"], "_id", small=False, unique=True
+    )
+    codes = [F.coalesce(F.max(F.when(F.col("_place") == i, F.col("_id"))), F.lit(0)) for i in range(len(features))]
+    by_tuple = found.groupBy("_tuple").agg(F.array(*codes).alias("_codes"))
+
+    entry_bytes = F.octet_length("_tuple") + ENTRY_BYTES + 8 * len(features)
+    size = tuples.agg(F.sum(entry_bytes)).first()[0] or 0
+    coded = lookup_join(
+        df.withColumn("_tuple", key(values)),
+        by_tuple,
+        ["_tuple"],
+        "_codes",
+        small=size <= broadcast_bytes,
+        unique=True,
+        row_bytes=ENTRY_BYTES + 32 * len(features),
+        count_on=tuples,
+        weight="_rows",
+    )
+    ids = [
+        F.coalesce(F.get("_codes", F.lit(i)), F.lit(0)).alias(f"{columns[f]}_id")
+        for i, f in enumerate(features)
+    ]
+    return coded.select(*df.columns, *ids)
+
+
 def encode(
     df: DataFrame,
     state: PreprocessorState,

@@ -20,13 +20,14 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
-    """Keys holding more than 1/``parts`` of the rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], parts: int, weight: str | None = None) -> DataFrame:
+    """Keys holding more than 1/``parts`` of the rows, each counted ``weight`` times if given.
 
     Fewer than ``parts`` keys can, whatever the data, so the result may be broadcast.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.groupBy(*keys).agg(rows.alias("_rows"))
+    total = df.agg(rows).scalar()
     return counts.filter(F.col("_rows") * F.lit(parts).cast("long") > total).select(*keys)
 
 
@@ -81,6 +82,7 @@ def lookup_join(
     row_bytes: int = 64,
     hash_columns: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """``left`` plus column ``value`` of ``right``, null where the key is unknown.
 
@@ -88,7 +90,8 @@ def lookup_join(
     reduced to its smallest value, unless the caller knows that keys are ``unique``.  ``small``
     says that the caller has checked the size of ``right``, whose rows take ``row_bytes``.  Key
     counts are taken from ``count_on``, which has the keys of ``left`` but may be cheaper to
-    compute, or else from ``left``; a stored table is cheapest.
+    compute, or else from ``left``; a stored table is cheapest.  Where its rows stand for
+    several of ``left`` each, ``weight`` names the column that says for how many.
     """
     keys, names = list(keys), left.columns
     right = right.select(*keys, value).dropna(subset=keys)
@@ -102,7 +105,8 @@ def lookup_join(
         # stay below BROADCAST_BYTES
         shuffle_parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         parts = max(1, min(shuffle_parts, BROADCAST_BYTES // max(row_bytes, 1)))
-    hot = hot_keys((count_on or left).select(*keys).dropna(), keys, parts)
+    counted = (count_on or left).select(*keys, *([weight] if weight else [])).dropna(subset=keys)
+    hot = hot_keys(counted, keys, parts, weight)
     hot_values = right.join(F.broadcast(hot), keys, "left_semi").withColumnRenamed(value, "_hot_value")
     hot = hot.join(hot_values, keys, "left").withColumn("_hot", F.lit(True))
 

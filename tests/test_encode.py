@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import dataclasses
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from rankframe.functions.binning import quantile_bins
 from rankframe.operators import encode as enc
 from rankframe.operators import vocabulary as voc
 from rankframe.operators.quantiles import quantile_boundaries
+from rankframe.plans import explain_text
 from rankframe.sources.state import PreprocessorState, load_artifacts, write_artifacts
 from rankframe.streaming import encode_arriving_rows
 
@@ -185,6 +189,56 @@ def test_large_vocabularies_take_the_shuffled_lookup(frame, state):
     )
 
 
+SIX = FeatureSpec(numeric=("n0",), categorical=tuple(f"c{i}" for i in range(6)), embedding_dim=2)
+
+
+@pytest.fixture(scope="module")
+def six(spark, tmp_path_factory):
+    """Rows with a wide array and six features: a tuple that holds a third of the rows, nulls,
+    values that could be confused when put together, and values that only some rows fit on."""
+    rng = np.random.default_rng(8)
+    texts = ["a", "b", "a:b", "1:a", "-", "", "Ä漢", "x" * 300, None]
+    rows = [
+        (float(i), [float(i)] * 20, *(["hot"] * 6 if i % 3 == 0 else [texts[k] for k in rng.integers(0, 9, 6)]), i)
+        for i in range(900)
+    ]
+    schema = "n0 double, wide array<double>, " + ", ".join(f"c{i} string" for i in range(6)) + ", row int"
+    path = str(tmp_path_factory.mktemp("six"))
+    spark.createDataFrame(rows, schema).repartition(4).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_many_large_vocabularies_take_one_wide_shuffle(spark, six):
+    state = enc.fit(six.filter("row < 600"), SIX, PreprocessConfig(n_bins=2))
+    columns = {c: c for c in SIX.categorical}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        coded = enc.category_ids(six, state, columns, broadcast_bytes=0)
+        exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", explain_text(coded))
+        assert sum("wide#" in columns_of for columns_of in exchanged) == 1
+        found = {r["row"]: tuple(r[f"{c}_id"] for c in SIX.categorical) for r in coded.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    broadcast = enc.category_ids(six, state, columns)
+    assert coded.columns[: len(six.columns)] == six.columns
+    assert found == {r["row"]: tuple(r[f"{c}_id"] for c in SIX.categorical) for r in broadcast.collect()}
+    assert len(found) == 900
+
+
+def test_few_tuples_are_broadcast(six):
+    """Vocabularies beyond the limit, but so few tuples that the rows need no shuffle at all."""
+    state = enc.fit(six, SIX, PreprocessConfig(n_bins=2))
+    unknown = dataclasses.replace(state, vocab_bytes={})  # sizes not known: none is broadcast
+    few = six.filter("c0 = 'hot'")
+    columns = {c: c for c in SIX.categorical}
+    coded = enc.category_ids(few, unknown, columns)
+    exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", explain_text(coded))
+    assert not any("wide#" in columns_of for columns_of in exchanged)
+    expected = enc.category_ids(few, state, columns)
+    assert sorted(coded.select(*[f"{c}_id" for c in columns]).collect()) == sorted(expected.select(*[f"{c}_id" for c in columns]).collect())
+    assert enc.category_ids(few.limit(0), unknown, columns).count() == 0
+
+
 def test_encoded_layout(frame, state):
     rows = enc.prepare(frame, SPEC)
     coded = enc.encode(rows, state, SPEC)
