@@ -460,6 +460,7 @@ def oracle_sql() -> dict[str, str]:
             select 'user' as source, user_date_key as id, {_sums('vec', 'emb')} from user_export""",
         "embedding_lookup": embedding_lookup,
         "embedding_lookup_shuffled": embedding_lookup,
+        "embedding_lookup_bucketed": embedding_lookup,
         "clean_features": f"""with {BASE}, {_prepared()} select {SHOWN},
             {', '.join(f'{c}::double as {c}' for c in SPEC.numeric)}, {', '.join(SPEC.categorical)},
             target_is_native_order::double as target_is_native_order from prepared""",

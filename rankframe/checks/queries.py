@@ -30,6 +30,7 @@ from rankframe.plans.model_ready import (
 )
 from rankframe.plans.pointwise import split_rows
 from rankframe.session import materialize, scratch_path
+from rankframe.sources.buckets import BucketedTable, append_buckets, write_buckets
 from rankframe.sources.catalog import TableCatalog
 from rankframe.sources.splits import read_split, write_projected, write_split
 from rankframe.sources.state import (
@@ -228,7 +229,18 @@ def _embedding_lookup(**options) -> Query:
     return lambda spark, sf_dir: _looked_up(spark, sf_dir, **options)
 
 
-def _looked_up(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def _in_buckets(table: DataFrame, name: str, key: str, vector: str) -> BucketedTable:
+    """Stored in two writes: keys with an even hash, then, as another day's, the others."""
+    table = table.withColumn(key, F.col(key).cast("long"))
+    first = F.pmod(F.xxhash64(key), F.lit(2)) == 0
+    path = scratch_path(table.sparkSession)
+    name = f"{name}_{path.rpartition('-')[2]}"
+    stored = write_buckets(table.where(first), name, [key], vector, 8, path=path)
+    append_buckets(table.where(~first), stored)
+    return stored
+
+
+def _looked_up(spark: SparkSession, sf_dir: str, bucketed: bool = False, **options) -> DataFrame:
     split = stored_base(spark, sf_dir).select(*KEYS, SPEC.buyer_hash)
     pairs = identity.distinct_buyer_days(split, SPEC)
     products = fx.product_embedding_table(spark, sf_dir).withColumnRenamed(
@@ -237,7 +249,11 @@ def _looked_up(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     users = embeddings.user_embeddings_at_day(
         fx.embedding_history(spark, sf_dir), pairs, SPEC, hash_algo="md5"
     )
-    found = embeddings.attach_embeddings(split, SPEC, materialize(products), materialize(users), **options)
+    products, users = materialize(products), materialize(users)
+    if bucketed:
+        products = _in_buckets(products, "products", SPEC.product, embeddings.PRODUCT_VECTOR)
+        users = _in_buckets(users, "users", embeddings.USER_KEY, embeddings.USER_VECTOR)
+    found = embeddings.attach_embeddings(split, SPEC, products, users, **options)
     dim = SPEC.embedding_dim
     product, user = F.slice("emb", 1, dim), F.slice("emb", dim + 1, dim)
     return found.select(
@@ -655,6 +671,7 @@ def queries() -> dict[str, Query]:
         "embedding_export": embedding_export,
         "embedding_lookup": _embedding_lookup(),
         "embedding_lookup_shuffled": _embedding_lookup(broadcast_bytes=0),
+        "embedding_lookup_bucketed": _embedding_lookup(bucketed=True),
         "clean_features": clean_features,
         "quantile_boundaries": fitted_boundaries,
         "vocabulary": vocabulary,

@@ -18,6 +18,7 @@ from rankframe.operators.skew import (
     narrow_columns,
     one_row_per_key,
 )
+from rankframe.sources.buckets import BucketedTable
 from rankframe.spec import FeatureSpec
 
 PRODUCT_VECTOR = "product_emb"
@@ -148,32 +149,48 @@ def lookup_vectors(
     broadcast_bytes: int = BROADCAST_BYTES,
     hash_columns: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``df`` plus vector ``out``: the vector of each row's key, zeros where it is unknown.
 
     One output row per input row, also when the table holds a key more than once or is empty.
-    The table should be stored: its keys are counted before its vectors are read.
+    The table should be stored: its keys are counted before its vectors are read.  With
+    ``buckets`` it is stored in so many hash buckets of ``keys``, one row per key: nothing is
+    counted then, and only ``df`` is shuffled.
     """
     cleaned = table.select(*keys, clean_vector(F.col(vector), dim).alias(out))
-    small = fits_broadcast(table.select(*keys), 4 * dim + 64, broadcast_bytes)
+    small = buckets is None and fits_broadcast(table.select(*keys), 4 * dim + 64, broadcast_bytes)
     joined = lookup_join(
         df,
         cleaned,
         keys,
         out,
         small=small,
+        unique=buckets is not None,
         row_bytes=4 * dim + 64,
         hash_columns=hash_columns,
         count_on=count_on,
+        buckets=buckets,
     )
     return joined.withColumn(out, F.coalesce(F.col(out), zero_vector(dim)))
 
 
+def _opened(
+    df: DataFrame, table: DataFrame | BucketedTable | None, keys: Sequence[str]
+) -> tuple[int | None, DataFrame | None]:
+    """The number of buckets, if the table has them, and its rows."""
+    if not isinstance(table, BucketedTable):
+        return None, table
+    if table.keys != tuple(keys):
+        raise ValueError(f"{table.name} is bucketed by {table.keys}, not by {tuple(keys)}")
+    return table.buckets, table.read(df.sparkSession)
+
+
 def attach_embeddings(
     df: DataFrame,
     spec: FeatureSpec,
-    products: DataFrame | None,
-    users: DataFrame | None,
+    products: DataFrame | BucketedTable | None,
+    users: DataFrame | BucketedTable | None,
     *,
     out: str = "emb",
     user_keys: Sequence[str] = (USER_KEY,),
@@ -186,11 +203,14 @@ def attach_embeddings(
 
     ``user_keys`` are the join columns of the user table: the packed (buyer, day) key, or the
     buyer and day columns themselves, which rules out hash collisions.  ``count_on`` may be a
-    cheaper frame with the same id columns to find hot keys in.
+    cheaper frame with the same id columns to find hot keys in.  Either table may be stored in
+    buckets, by product id as a long and by ``user_keys``; its vectors are then not shuffled.
     """
     if products is None and users is None:
         return df
     names = df.columns
+    product_buckets, products = _opened(df, products, [spec.product])
+    user_buckets, users = _opened(df, users, user_keys)
     product_key = "_product_key"
     by_user_key = tuple(user_keys) == (USER_KEY,)
 
@@ -221,6 +241,7 @@ def attach_embeddings(
             broadcast_bytes=broadcast_bytes,
             hash_columns=own,
             count_on=counted,
+            buckets=product_buckets,
         )
         parts.append(F.col("_product_part"))
     if users is not None:
@@ -234,6 +255,7 @@ def attach_embeddings(
             broadcast_bytes=broadcast_bytes,
             hash_columns=own,
             count_on=counted,
+            buckets=user_buckets,
         )
         parts.append(F.col("_user_part"))
     return df.select(*names, F.concat(*parts).alias(out))

@@ -83,6 +83,7 @@ def lookup_join(
     hash_columns: Sequence[str] | None = None,
     count_on: DataFrame | None = None,
     weight: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``left`` plus column ``value`` of ``right``, null where the key is unknown.
 
@@ -91,7 +92,9 @@ def lookup_join(
     says that the caller has checked the size of ``right``, whose rows take ``row_bytes``.  Key
     counts are taken from ``count_on``, which has the keys of ``left`` but may be cheaper to
     compute, or else from ``left``; a stored table is cheapest.  Where its rows stand for
-    several of ``left`` each, ``weight`` names the column that says for how many.
+    several of ``left`` each, ``weight`` names the column that says for how many.  ``buckets``
+    says that ``right`` is stored in so many hash buckets of ``keys``, in this order: ``left``
+    is then sent to these, and ``right`` is not shuffled.
     """
     keys, names = list(keys), left.columns
     right = right.select(*keys, value).dropna(subset=keys)
@@ -125,6 +128,11 @@ def lookup_join(
     probing = (
         left.join(F.broadcast(hot), keys, "left").withColumn("_open", is_open).withColumns(probes)
     )
+    if buckets is not None:
+        for k in keys:
+            if left.schema[k].dataType != right.schema[k].dataType:
+                raise ValueError(f"{k} must be {right.schema[k].dataType.simpleString()}, as it is stored")
+        probing = probing.repartition(buckets, *[f"_probe_{k}" for k in keys])
     entries = right.select(*[F.col(k).alias(f"_entry_{k}") for k in keys], F.col(value).alias("_cold_value"))
     matches = reduce(and_, [F.col(f"_probe_{k}") == F.col(f"_entry_{k}") for k in keys])
     found = probing.join(entries, matches & F.col("_open"), "left")

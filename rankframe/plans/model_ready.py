@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankframe.functions.vectors import pack_columns
 from rankframe.operators.embeddings import PRODUCT_VECTOR, USER_KEY, USER_VECTOR, attach_embeddings
 from rankframe.operators.encode import encode, fit, prepare
+from rankframe.sources.buckets import BucketedTable, write_buckets
 from rankframe.sources.splits import read_optional_split, read_split
 from rankframe.sources.state import PreprocessorState
 from rankframe.spec import FeatureSpec, PreprocessConfig
@@ -36,12 +38,35 @@ def embedding_tables(
     )
 
 
+def bucketed_embeddings(
+    spark: SparkSession,
+    root: str,
+    spec: FeatureSpec,
+    names: tuple[str, str],
+    buckets: int,
+    split: str = "base_train",
+) -> tuple[BucketedTable | None, BucketedTable | None]:
+    """The embeddings exported with ``split``, stored in buckets under these two table names, so
+    that later splits are looked up in them without moving a vector."""
+    products, users = embedding_tables(spark, root, spec, split)
+
+    def stored(table: DataFrame | None, name: str, key: str, vector: str) -> BucketedTable | None:
+        if table is None:
+            return None
+        return write_buckets(table.withColumn(key, F.col(key).cast("long")), name, [key], vector, buckets)
+
+    return (
+        stored(products, names[0], spec.product, PRODUCT_VECTOR),
+        stored(users, names[1], USER_KEY, USER_VECTOR),
+    )
+
+
 def model_ready(
     prepared: DataFrame,
     state: PreprocessorState,
     spec: FeatureSpec,
-    products: DataFrame | None,
-    users: DataFrame | None,
+    products: DataFrame | BucketedTable | None,
+    users: DataFrame | BucketedTable | None,
     *,
     with_bins: bool = False,
 ) -> DataFrame:
@@ -74,7 +99,10 @@ def finetune_table(
     spec: FeatureSpec,
     state: PreprocessorState,
     split: str = "finetune",
+    tables: tuple[DataFrame | BucketedTable | None, DataFrame | BucketedTable | None] | None = None,
 ) -> DataFrame:
-    """Encode a new day with a restored state; nothing is refitted."""
+    """Encode a new day with a restored state; nothing is refitted.  ``tables``: product and
+    user embeddings to use instead of those beside the split."""
     prepared = prepared_split(spark, root, split, spec)
-    return model_ready(prepared, state, spec, *embedding_tables(spark, root, spec, split))
+    tables = tables or embedding_tables(spark, root, spec, split)
+    return model_ready(prepared, state, spec, *tables)

@@ -1,5 +1,6 @@
 """Tables, splits and fitted state on storage."""
 
+from rankframe.sources.buckets import BucketedTable, append_buckets, open_buckets, write_buckets
 from rankframe.sources.catalog import TableCatalog
 from rankframe.sources.splits import (
     read_optional_split,
@@ -10,12 +11,16 @@ from rankframe.sources.splits import (
 from rankframe.sources.state import PreprocessorState, load_artifacts, write_artifacts
 
 __all__ = [
+    "BucketedTable",
     "PreprocessorState",
     "TableCatalog",
+    "append_buckets",
     "load_artifacts",
+    "open_buckets",
     "read_optional_split",
     "read_split",
     "write_artifacts",
+    "write_buckets",
     "write_projected",
     "write_split",
 ]
