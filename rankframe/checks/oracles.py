@@ -414,6 +414,8 @@ def oracle_sql() -> dict[str, str]:
         f"else 0.75 * power({sigmoid}, 2) end::double * {bce})"
     )
     penalty = "0.01::double * avg(score * score)"
+    negative_downsample = f"""with {INTERACTIONS}, {_sampled(ON_SURFACE['all'])}
+        select {SHOWN}, is_native_order, price from kept"""
     category_ids = f"""with {BASE}, {_vocab('split')} select {SHOWN},
         {', '.join(f'{_code(c)} as {c}_id' for c in SPEC.categorical)} from split r"""
     category_ids_many = f"""with {BASE}, many as (select *, product_id::varchar as product_text,
@@ -442,9 +444,10 @@ def oracle_sql() -> dict[str, str]:
             where {bucket('unified_buyer_id', 100)} < {USER_SAMPLE_PCT}""",
         "positive_rate": f"""with {INTERACTIONS}, {_sampled(ON_SURFACE['all'])}
             select pos_rate, {_threshold(20)} as threshold from stats""",
-        "negative_downsample": f"""with {INTERACTIONS}, {_sampled(ON_SURFACE['all'])}
-            select {SHOWN}, is_native_order, price from kept""",
+        "negative_downsample": negative_downsample,
+        "one_scan_downsample": negative_downsample,
         "pointwise_base": f"with {BASE} {SHOWN_SPLIT}",
+        "one_scan_split": f"with {BASE} {SHOWN_SPLIT}",
         "pointwise_finetune": f"with {MONTH} {SHOWN_SPLIT}",
         "distinct_products": f"""with {BASE} select distinct product_id from split
             where product_id is not null""",

@@ -49,6 +49,7 @@ WINDOW = (date(1996, 6, 1), date(2001, 6, 1))
 USER_SAMPLE_PCT = 30
 BATCH_ROWS = 256
 N_BINS = fx.ENCODING.n_bins
+ONE_SCAN_SHARE = 0.5
 MANY_CATEGORIES = (*SPEC.categorical, "product_text", "buyer_text", "pair_text")
 
 
@@ -181,6 +182,23 @@ def negative_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(*KEYS, SPEC.label, "price")
 
 
+def one_scan_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positives are a hundredth here, so a third of the negatives is more than stays."""
+    rows = fx.interactions(spark, sf_dir).filter(sampling.on_surface("all"))
+    kept = sampling.downsample_in_one_scan(
+        rows.select(*KEYS, SPEC.label, "price"), fx.WHOLE_RANGE, SPEC, thin_share=ONE_SCAN_SHARE
+    )
+    return kept.select(*KEYS, SPEC.label, "price")
+
+
+def one_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base split as an export writes it that reads the source once."""
+    root = scratch_path(spark)
+    cfg = replace(fx.WHOLE_RANGE, thin_share=ONE_SCAN_SHARE)
+    export_split(spark, fixture_catalog(spark, sf_dir), cfg, SPEC, "base_train", root)
+    return read_split(spark, root, "base_train")
+
+
 # --- ids and embeddings ----------------------------------------------------------------------
 
 
@@ -662,6 +680,8 @@ def queries() -> dict[str, Query]:
         "user_sample": user_sample,
         "positive_rate": positive_rate,
         "negative_downsample": negative_downsample,
+        "one_scan_downsample": one_scan_downsample,
+        "one_scan_split": one_scan_split,
         "pointwise_base": base_split,
         "pointwise_finetune": month_split,
         "distinct_products": distinct_products,

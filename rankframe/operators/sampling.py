@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+import warnings
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rankframe.functions.cleaning import label_target
 from rankframe.functions.hashing import concat_key, hash_mod
+from rankframe.session import materialize
 from rankframe.spec import SAMPLE_RESOLUTION, SURFACES, FeatureSpec, SampleConfig
 
 
@@ -82,6 +85,54 @@ def downsample_negatives(
     threshold = rate.select(
         negative_threshold(F.col("pos_rate"), cfg.negative_scale).alias("threshold")
     ).scalar()
+    return _kept(rows, triple_hash(cfg, spec), threshold, spec)
+
+
+def triple_hash(cfg: SampleConfig, spec: FeatureSpec) -> Column:
+    """What decides whether a negative stays: a hash of (buyer, product, day)."""
     triple = concat_key(F.col(spec.buyer), F.col(spec.product), F.col(spec.day).cast("date"))
-    keep_negative = hash_mod(triple, SAMPLE_RESOLUTION, cfg.hash_algo) <= threshold
-    return rows.filter(F.col(spec.label) | keep_negative)
+    return hash_mod(triple, SAMPLE_RESOLUTION, cfg.hash_algo)
+
+
+def _kept(rows: DataFrame, own: Column, threshold: Column, spec: FeatureSpec) -> DataFrame:
+    return rows.filter(F.col(spec.label) | (own <= threshold))
+
+
+def downsample_in_one_scan(
+    rows: DataFrame, cfg: SampleConfig, spec: FeatureSpec, thin_share: float
+) -> DataFrame:
+    """The rows of :func:`downsample_negatives`, reading ``rows`` once instead of twice.
+
+    One pass writes the positives and the negatives whose hash lies in the lowest
+    ``thin_share`` of its range, and counts all rows on the way; the exact threshold, known
+    then, filters what was written.  So ``thin_share`` is what the pass may write of the
+    negatives, not what stays.  If the threshold turns out to lie beyond it, a warning says so
+    and ``rows`` are read again.
+
+    The counts are taken in the tasks that write, each of which counts once however often it
+    is tried, so ``rows`` should need no shuffle; the source's columns that are not wanted
+    should be gone.
+    """
+    if not 0.0 < thin_share <= 1.0:
+        raise ValueError("thin_share must be above 0 and at most 1")
+    bound = math.floor(SAMPLE_RESOLUTION * thin_share)
+    seen = Observation()
+    counted = rows.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(spec.label)).alias("positives"),
+    ).withColumn("_own_hash", triple_hash(cfg, spec))
+    thinned = materialize(_kept(counted, F.col("_own_hash"), F.lit(bound), spec))
+    counts = seen.get
+    rate = F.lit(counts["positives"] / counts["rows"] if counts["rows"] else None).cast("double")
+    exact = negative_threshold(rate, cfg.negative_scale).alias("threshold")
+    threshold = rows.sparkSession.range(1).select(exact).head()["threshold"]
+    literal = F.lit(threshold).cast("long")
+    if threshold is not None and threshold > bound:
+        warnings.warn(
+            f"thin_share {thin_share} holds hashes up to {bound}, the threshold is {threshold}: "
+            "the source is read a second time",
+            stacklevel=2,
+        )
+        return _kept(rows, triple_hash(cfg, spec), literal, spec)
+    return _kept(thinned, F.col("_own_hash"), literal, spec).drop("_own_hash")

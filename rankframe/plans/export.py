@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rankframe.operators.embeddings import product_embeddings, user_embeddings_at_day
 from rankframe.operators.identity import staged_ids
-from rankframe.plans.pointwise import explain_text, split_rows
+from rankframe.plans.pointwise import explain_text, split_rows, thinned_split_rows
 from rankframe.sources.catalog import TableCatalog
 from rankframe.sources.splits import read_split, write_split
 from rankframe.spec import FeatureSpec, SampleConfig
@@ -54,8 +54,13 @@ def export_split(
     *,
     expand: bool = False,
 ) -> dict[str, str]:
-    """Sampled split first, then embeddings for the ids that the sampling left."""
-    rows = split_rows(catalog.read(spark, "interactions"), cfg, spec, mode)
+    """Sampled split first, then embeddings for the ids that the sampling left.
+
+    With ``cfg.thin_share`` the interactions are read once, else twice, the first time without
+    features.
+    """
+    select = split_rows if cfg.thin_share is None else thinned_split_rows
+    rows = select(catalog.read(spark, "interactions"), cfg, spec, mode)
     # sampling leaves a few rows of every source file
     paths = {mode: write_split(rows, root, mode, even_files=True)}
     paths |= export_embeddings(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rankframe.functions.cleaning import label_target
 from rankframe.functions.hashing import buyer_hash
-from rankframe.operators.sampling import downsample_negatives, eligible_rows
+from rankframe.operators.sampling import downsample_in_one_scan, downsample_negatives, eligible_rows
 from rankframe.spec import FeatureSpec, SampleConfig, resolve_window
 
 
@@ -24,6 +24,10 @@ def pointwise_rows(
     few columns it needs.
     """
     kept = downsample_negatives(eligible_rows(source, cfg, spec, start, stop), cfg, spec)
+    return _split_columns(kept, cfg, spec)
+
+
+def _split_columns(kept: DataFrame, cfg: SampleConfig, spec: FeatureSpec) -> DataFrame:
     return kept.select(
         *spec.split_columns,
         label_target(F.col(spec.label)).alias(spec.target),
@@ -36,6 +40,16 @@ def split_rows(source: DataFrame, cfg: SampleConfig, spec: FeatureSpec, mode: st
     return pointwise_rows(source, cfg, spec, *resolve_window(cfg, mode))
 
 
+def thinned_split_rows(
+    source: DataFrame, cfg: SampleConfig, spec: FeatureSpec, mode: str
+) -> DataFrame:
+    """The rows of :func:`split_rows` from one pass over the source, which runs here."""
+    eligible = eligible_rows(source, cfg, spec, *resolve_window(cfg, mode))
+    used = dict.fromkeys([*spec.split_columns, *spec.keys, spec.label])
+    kept = downsample_in_one_scan(eligible.select(*used), cfg, spec, cfg.thin_share or 1.0)
+    return _split_columns(kept, cfg, spec)
+
+
 def explain_text(df: DataFrame, mode: str = "formatted") -> str:
     """The plan as text, without running it."""
     text = io.StringIO()

@@ -53,7 +53,11 @@ class FeatureSpec:
 
 @dataclass(frozen=True)
 class SampleConfig:
-    """Which rows go into a split."""
+    """Which rows go into a split.
+
+    ``thin_share``: if given, an export reads the source once, and its first pass writes at most
+    this share of the negatives; take a few times the share that should stay.
+    """
 
     surface: str = "all"
     negative_scale: int = 20
@@ -64,8 +68,11 @@ class SampleConfig:
     base_window_days: int = 30
     finetune_window_days: int = 1
     hash_algo: str = "xxhash64"
+    thin_share: float | None = None
 
     def __post_init__(self) -> None:
+        if self.thin_share is not None and not 0.0 < self.thin_share <= 1.0:
+            raise ValueError("thin_share must be above 0 and at most 1")
         if self.surface not in SURFACES:
             raise ValueError(f"surface must be one of {SURFACES}, got {self.surface!r}")
         if self.negative_scale < 0:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import warnings
 from datetime import date
 
 import pytest
@@ -161,3 +162,56 @@ def test_dry_run_runs_no_job_and_pushes_the_window(spark, tmp_path):
     # the statistic reads neither features nor ids
     statistic = plan.split("===== Subqueries =====")[1]
     assert "product_id" not in [line for line in statistic.splitlines() if "ReadSchema" in line][0]
+
+
+def rows_read(spark):
+    """Rows that tasks have read from storage so far."""
+    context = spark.sparkContext
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    none = context._gateway.new_array(context._jvm.double, 0)
+    stages = context._jsc.sc().statusStore().stageList(None, False, False, none, None)
+    return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+
+@pytest.fixture(scope="module")
+def stored_source(spark, tmp_path_factory):
+    rows = [(f"b{i % 97}", i, i % 50 == 0 if i % 7 else (True if i % 100 == 0 else None)) for i in range(6000)]
+    path = str(tmp_path_factory.mktemp("one-scan"))
+    source(spark, rows).repartition(6).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_one_scan_keeps_the_same_rows_and_reads_once(spark, stored_source):
+    cfg = SampleConfig(negative_scale=3)
+    expected = sorted(map(str, sampling.downsample_negatives(stored_source, cfg, SPEC).collect()))
+    for share, times in ((0.2, 1), (0.001, 2)):
+        before = rows_read(spark)
+        with warnings.catch_warnings(record=True) as said:
+            warnings.simplefilter("always")
+            kept = sampling.downsample_in_one_scan(stored_source, cfg, SPEC, share)
+            found = sorted(map(str, kept.collect()))
+        assert found == expected and 0 < len(found) < 6000
+        assert any("second time" in str(w.message) for w in said) == (times == 2)
+        # beside the source, only what the pass has written is read
+        assert 6000 * times <= rows_read(spark) - before < 6000 * times + 1800
+
+
+def test_one_scan_of_edge_cases(spark):
+    cases = [
+        [],
+        [("a", i, True) for i in range(5)],
+        [("a", i, False) for i in range(50)],
+        [("a", 1, True), ("a", 2, False), ("a", None, False), ("a", 3, None)],
+    ]
+    for rows in cases:
+        df = source(spark, rows)
+        for share in (0.0001, 1.0):
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                kept = sampling.downsample_in_one_scan(df, SampleConfig(), SPEC, share)
+            assert sorted(map(str, kept.collect())) == sorted(map(str, sampling.downsample_negatives(df, SampleConfig(), SPEC).collect()))
+    with pytest.raises(ValueError):
+        sampling.downsample_in_one_scan(df, SampleConfig(), SPEC, 0.0)
+    with pytest.raises(ValueError):
+        SampleConfig(thin_share=2.0)
+
