@@ -414,6 +414,8 @@ def oracle_sql() -> dict[str, str]:
         f"else 0.75 * power({sigmoid}, 2) end::double * {bce})"
     )
     penalty = "0.01::double * avg(score * score)"
+    user_embeddings_asof = f"""with {INTERACTIONS}, {HISTORY}, {_user_export('interactions')}
+        select user_date_key, {_sums('vec', 'emb')} from user_export"""
     negative_downsample = f"""with {INTERACTIONS}, {_sampled(ON_SURFACE['all'])}
         select {SHOWN}, is_native_order, price from kept"""
     category_ids = f"""with {BASE}, {_vocab('split')} select {SHOWN},
@@ -455,8 +457,8 @@ def oracle_sql() -> dict[str, str]:
             select distinct unified_buyer_id, event_timestamp_day from split""",
         "product_embeddings": f"""with {BASE}, {PRODUCTS}, {PRODUCT_EXPORT}
             select product_id, {_sums('vec', 'emb')} from product_export""",
-        "user_embeddings_asof": f"""with {INTERACTIONS}, {HISTORY}, {_user_export('interactions')}
-            select user_date_key, {_sums('vec', 'emb')} from user_export""",
+        "user_embeddings_asof": user_embeddings_asof,
+        "user_embeddings_in_blocks": user_embeddings_asof,
         "embedding_export": f"""with {BASE}, {EMBEDDED}
             select 'product' as source, product_id as id, {_sums('vec', 'emb')} from product_export
             union all

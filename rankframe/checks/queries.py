@@ -216,14 +216,18 @@ def product_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select(SPEC.product, *vector_sums(F.col(embeddings.PRODUCT_VECTOR), "emb"))
 
 
-def user_embeddings_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = identity.distinct_buyer_days(fx.interactions(spark, sf_dir), SPEC)
-    table = embeddings.user_embeddings_at_day(
-        fx.embedding_history(spark, sf_dir), pairs, SPEC, hash_algo="md5"
-    )
-    return table.select(
-        embeddings.USER_KEY, *vector_sums(F.col(embeddings.USER_VECTOR), "emb")
-    )
+def _embeddings_asof(block_days: int | None = None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pairs = identity.distinct_buyer_days(fx.interactions(spark, sf_dir), SPEC)
+        history = fx.embedding_history(spark, sf_dir)
+        table = embeddings.user_embeddings_at_day(
+            history, pairs, SPEC, hash_algo="md5", block_days=block_days
+        )
+        return table.select(
+            embeddings.USER_KEY, *vector_sums(F.col(embeddings.USER_VECTOR), "emb")
+        )
+
+    return run
 
 
 def embedding_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -687,7 +691,8 @@ def queries() -> dict[str, Query]:
         "distinct_products": distinct_products,
         "distinct_buyer_days": distinct_buyer_days,
         "product_embeddings": product_embeddings,
-        "user_embeddings_asof": user_embeddings_asof,
+        "user_embeddings_asof": _embeddings_asof(),
+        "user_embeddings_in_blocks": _embeddings_asof(block_days=30),
         "embedding_export": embedding_export,
         "embedding_lookup": _embedding_lookup(),
         "embedding_lookup_shuffled": _embedding_lookup(broadcast_bytes=0),

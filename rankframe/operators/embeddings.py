@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,6 +106,7 @@ def user_embeddings_at_day(
     *,
     hash_algo: str = "xxhash64",
     expand: bool = False,
+    block_days: int | None = None,
 ) -> DataFrame:
     """The version of each buyer's embedding that was valid at the midnight of each day.
 
@@ -111,6 +114,10 @@ def user_embeddings_at_day(
     Overlapping versions all match; a pair without a match is dropped.  ``pairs`` must be
     distinct, and stored or staged, as they are read twice.  The join is an equi-join on the buyer with the interval as extra condition,
     so both sides are shuffled by buyer only and adaptive execution splits hot buyers.
+
+    There, all days of a buyer meet all of the buyer's versions. Where histories are long, give
+    ``block_days``: days and versions then meet in blocks of so many days, see
+    :func:`versions_by_block`.
     """
     kind = history.schema["valid_from"].dataType
     # a pair with a null matches nothing
@@ -119,13 +126,11 @@ def user_embeddings_at_day(
         F.col(spec.buyer).alias("_buyer"), "valid_from", "valid_to", vector
     )
     midnight = _midnight(F.col(spec.day), kind)
-    matched = pairs.join(
-        versions,
-        (F.col(spec.buyer) == F.col("_buyer"))
-        & (F.col("valid_from") <= midnight)
-        & (F.col("valid_to").isNull() | (F.col("valid_to") > midnight)),
-        "inner",
-    )
+    valid = (F.col("valid_from") <= midnight) & (F.col("valid_to").isNull() | (F.col("valid_to") > midnight))
+    if block_days is None:
+        matched = pairs.join(versions, (F.col(spec.buyer) == F.col("_buyer")) & valid, "inner")
+    else:
+        matched = versions_by_block(pairs, versions, valid, spec, kind, block_days)
     key = user_date_key(buyer_hash(F.col(spec.buyer), hash_algo), F.col(spec.day))
     packed = vector_or_zeros(F.col(vector), spec.embedding_dim)
     return matched.select(
@@ -133,6 +138,41 @@ def user_embeddings_at_day(
     )
 
 
+def versions_by_block(
+    pairs: DataFrame, versions: DataFrame, valid: Column, spec: FeatureSpec, kind: T.DataType, block_days: int
+) -> DataFrame:
+    """``pairs`` joined with the ``versions`` that are ``valid`` on their day, block by block.
+
+    Time is cut into blocks of ``block_days`` days.  The different validity intervals of a
+    buyer, without their vectors, are repeated for every block they reach, and meet the days
+    in an equi-join on (buyer, block); so a key holds at most ``block_days`` days, and the
+    intervals over them.  The matches then fetch their vectors by (buyer, interval), each of
+    which the history holds once, or as often as it has versions for it: every pair of a day
+    and a version that overlaps it is found once.
+    """
+    if block_days < 1:
+        raise ValueError("block_days must be positive")
+    first, last = day_range(pairs, spec).head()
+    if first is None:
+        return pairs.join(versions, F.lit(False))
+    interval = ["_buyer", "valid_from", "valid_to"]
+
+    def block(day: Column) -> Column:
+        return F.floor(F.unix_date(day) / block_days)
+
+    # clipped to the days asked for, so that an open interval ends with them
+    began = F.greatest(F.col("valid_from").cast("date"), F.lit(first).cast("date"))
+    ended = F.least(F.coalesce(F.col("valid_to").cast("date"), F.lit(last).cast("date")), F.lit(last).cast("date"))
+    spans = versions.select(*interval).distinct().filter(began <= ended)
+    reached = spans.withColumn("_block", F.explode(F.sequence(block(began), block(ended))))
+    days = pairs.withColumn("_day_block", block(F.col(spec.day).cast("date")))
+    meets = (F.col(spec.buyer) == F.col("_buyer")) & (F.col("_day_block") == F.col("_block")) & valid
+    matched = days.join(reached, meets).select(*pairs.columns, *interval)
+    entries = versions.withColumnsRenamed({c: f"_of{c}" for c in interval})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in interval])
+    return matched.join(entries, same).drop(*[f"_of{c}" for c in interval])
+
+
 def unique_vectors(table: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
     """One vector per key: the smallest, which is the one a lookup finds."""
     return one_row_per_key(table, keys, vector)

@@ -12,6 +12,7 @@ from rankframe.functions.vectors import clean_vector, has_embedding, pack_column
 from rankframe.operators import embeddings as emb
 from rankframe.operators.identity import distinct_buyer_days, distinct_products, staged_ids
 from rankframe.operators.skew import hot_keys, lookup_join
+from rankframe.plans import explain_text
 
 SPEC = FeatureSpec(numeric=("x",), categorical=(), embedding_dim=2)
 HISTORY = (
@@ -78,8 +79,9 @@ def versions(spark, rows, kind="timestamp"):
     return df.withColumns({c: F.col(c).cast(kind) for c in ("valid_from", "valid_to")})
 
 
+@pytest.mark.parametrize("block_days", [None, 1, 3, 1000])
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
-def test_point_in_time_join(spark, kind):
+def test_point_in_time_join(spark, kind, block_days):
     history = versions(
         spark,
         [
@@ -101,7 +103,7 @@ def test_point_in_time_join(spark, kind):
         ("a", None),
     ]
     pairs = spark.createDataFrame(wanted, "unified_buyer_id string, event_timestamp_day date")
-    got = emb.user_embeddings_at_day(history, pairs, SPEC)
+    got = emb.user_embeddings_at_day(history, pairs, SPEC, block_days=block_days)
     names = pairs.withColumn(
         "user_date_key", user_date_key(buyer_hash(F.col("unified_buyer_id")), F.col("event_timestamp_day"))
     )
@@ -288,16 +290,21 @@ def test_restless_history_is_cut_to_one_version_per_day(spark):
 
 def rows_scanned(df):
     """Rows that the scans of an executed query put out."""
+    return rows_of(df, "Scan parquet")
+
+
+def rows_of(df, operator):
+    """Rows that the operators of this name put out when the query runs."""
     df.collect()
     plan = df._jdf.queryExecution().executedPlan()
     text, found = [plan], 0
     while text:
         node = text.pop()
-        if node.nodeName().startswith("Scan parquet"):
+        if node.nodeName().startswith(operator):
             found += node.metrics().apply("numOutputRows").value()
         if node.nodeName() == "AdaptiveSparkPlan":
             text.append(node.executedPlan())
-        elif node.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage")):
+        elif node.nodeName().startswith(("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage")):
             text.append(node.plan())
         children = node.children()
         text += [children.apply(i) for i in range(children.size())]
@@ -335,3 +342,47 @@ def test_lookup_plans(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "LocalLimit" not in plan
     assert found.where("out[1] = 2").count() == 2000
+
+
+def long_history(spark, n, copies=1):
+    """One buyer: a version for each of ``n`` days, ``copies`` times, and one that spans all."""
+    return spark.sql(
+        f"""select 'hot' as unified_buyer_id, 'ORDER' as interaction_type,
+           if(id = {n}, timestamp'2024-01-01', timestamp_seconds(1704067200 + id * 86400 - 3600)) as valid_from,
+           if(id = {n}, null, timestamp_seconds(1704067200 + id * 86400 + 82800)) as valid_to,
+           array(float(id + {n} * copy), 0f) as user_average_product_search_document_embedding
+           from range({n} + 1) cross join (select explode(sequence(0, {copies - 1})) as copy)"""
+    )
+
+
+def days_of_one_buyer(spark, n):
+    return spark.sql(
+        f"select 'hot' as unified_buyer_id, date_add(date'2024-01-01', cast(id as int)) as event_timestamp_day from range({n})"
+    )
+
+
+def test_blocks_find_what_the_plain_join_finds(spark):
+    history, pairs = long_history(spark, 40, copies=2), days_of_one_buyer(spark, 50)
+    key = lambda r: (r["user_date_key"], r["user_emb"])
+    expected = sorted(map(key, emb.user_embeddings_at_day(history, pairs, SPEC).collect()))
+    assert len(expected) == 2 * (40 + 50)
+    for block_days in (1, 7, 100):
+        found = emb.user_embeddings_at_day(history, pairs, SPEC, block_days=block_days)
+        assert sorted(map(key, found.collect())) == expected
+    assert emb.user_embeddings_at_day(history, pairs.limit(0), SPEC, block_days=7).count() == 0
+    assert emb.user_embeddings_at_day(history.limit(0), pairs, SPEC, block_days=7).count() == 0
+    with pytest.raises(ValueError):
+        emb.user_embeddings_at_day(history, pairs, SPEC, block_days=0)
+
+
+def test_block_join_keys_stay_small(spark):
+    """Twice the days and versions of one buyer give about twice the rows of the join's sides,
+    and no (buyer, block) holds more than its days and the versions over them."""
+    made = {}
+    for n in (60, 120):
+        history, pairs = long_history(spark, n), days_of_one_buyer(spark, n)
+        joined = emb.user_embeddings_at_day(history, pairs, SPEC, block_days=10)
+        assert "_day_block" in explain_text(joined) and "_block" in explain_text(joined)
+        made[n] = rows_of(joined, "Generate")
+    # a version a day, some reaching over the end of a block, and one over all blocks
+    assert 60 < made[60] <= 61 + 3 * 7 and made[120] <= 2 * made[60] + 2
