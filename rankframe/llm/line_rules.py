@@ -19,36 +19,39 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class LineRules:
-    """``max_documents``: a line in more different documents of one host is removed.
-    ``max_share_pct``: if given, the line must also be in more than this share of the
-    host's different documents, so that hosts of every size are treated alike and
-    ``max_documents`` is the floor.
+    """``max_share_pct``: a line in more than this share of a host's different documents is
+    removed, so that hosts of every size are treated alike; None stands for any share.
+    ``max_documents``: the floor, so many of them may always hold a line.
     ``max_removed_pct``: a document that loses more of its words is depleted.
     ``broadcast_rows``: removed lines up to this number are broadcast, more are joined by
     shuffle."""
 
     host: str = "source"
-    max_documents: int = 100
+    max_documents: int = 5
     max_removed_pct: int = 50
     min_words: int = 50
     max_repeat_pct: int = 50
     broadcast_rows: int = 500_000
-    max_share_pct: int | None = None
+    max_share_pct: int | None = 5
 
 
 def _covered(hashes: Column, position_bits: int) -> Column:
     """How many words lie in windows whose hash occurs twice.  Hash and position share a
-    long, so one primitive sort brings equal windows together; full hashes decide."""
+    long, so one primitive sort brings equal windows together, unless two windows agree in
+    the bits that are left of their hashes alone: then whole hashes are ordered."""
     low = (1 << position_bits) - 1
     place = lambda x: x.bitwiseAND(F.lit(low)).cast("int")
+    alike = lambda x, y: F.shiftright(x, position_bits) == F.shiftright(y, position_bits)
+    whole = lambda x, y: F.get(hashes, place(x)) == F.get(hashes, place(y))
 
-    def equal(s: Column, x: Column, k: Column) -> Column:
-        y = F.get(s, k)
-        return F.coalesce((F.shiftright(x, position_bits) == F.shiftright(y, position_bits)) & (F.get(hashes, place(x)) == F.get(hashes, place(y))), F.lit(False))
+    def count(s: Column) -> Column:
+        next_one = F.transform(s, lambda x, k: F.coalesce(alike(x, F.get(s, k + 1)) & ~whole(x, F.get(s, k + 1)), F.lit(False)))
+        beside = lambda x, k: F.coalesce(alike(x, F.get(s, k)) & whole(x, F.get(s, k)), F.lit(False))
+        starts = F.sort_array(F.transform(F.filter(s, lambda x, k: beside(x, k - 1) | beside(x, k + 1)), place))
+        return F.when(F.array_contains(next_one, True), _covered_long(hashes)).otherwise(let(starts, _words_from))
 
     packed = F.sort_array(F.transform(hashes, lambda x, i: x.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
-    repeated = let(packed, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, k: equal(s, x, k - 1) | equal(s, x, k + 1)), place)))
-    return _words_from(repeated)
+    return let(packed, count)
 
 
 def _covered_long(hashes: Column) -> Column:
@@ -70,12 +73,18 @@ def _words_from(starts: Column) -> Column:
 
 def repeated_words(words: Column) -> Column:
     """Words in three-word windows that occur twice or more."""
+    return repeats_by(words, 20)
+
+
+def repeats_by(words: Column, position_bits: int) -> Column:
+    """The same; windows are known by 64 bits, and positions take ``position_bits`` of a long
+    where the text is short enough for that."""
     starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0)))
     hashes = F.transform(starts, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
     def count(h: Column) -> Column:
         none = F.size(F.array_distinct(h)) == F.size(h)
-        return F.when(none, F.lit(0).cast("long")).when(F.size(h) < (1 << 20), _covered(h, 20)).otherwise(_covered_long(h))
+        return F.when(none, F.lit(0).cast("long")).when(F.size(h) < (1 << position_bits), _covered(h, position_bits)).otherwise(_covered_long(h))
 
     return let(hashes, count)
 
@@ -186,7 +195,10 @@ WITH docs AS (
 ), lines AS (
   SELECT doc_id, host, text, line, array_to_string(words, ' ') AS normal, len(words) AS n FROM split_lines WHERE len(words) > 0
 ), frequent AS (
-  SELECT host, normal FROM lines GROUP BY host, normal HAVING count(DISTINCT text) > 100
+  SELECT host, normal
+  FROM (SELECT host, normal, count(DISTINCT text) AS n FROM lines GROUP BY host, normal)
+  JOIN (SELECT host, count(DISTINCT text) AS documents FROM docs GROUP BY host) USING (host)
+  WHERE n > 5 AND 100 * n > 5 * documents
 ), by_document AS (
   SELECT l.doc_id, count(*) - count(DISTINCT l.line) AS n_dup_lines,
          sum(CASE WHEN f.normal IS NULL THEN 0 ELSE l.n END) AS removed_words
