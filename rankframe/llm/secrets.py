@@ -48,7 +48,7 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("bearer", r"(?ai:bearer)\x20+[A-Za-z0-9._~+/-]{20,}=*"),
     Rule("url_login", r"://[A-Za-z0-9._~-]+:[^\s:@/]{4,}@"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"),
 )
 
 _MOST = 64  # alternatives that are spelled out; beyond, a part demands nothing
@@ -128,14 +128,15 @@ def _key():
 
 def trigram_postings(documents: DataFrame, trigrams: list[str], block_documents: int = 1024) -> DataFrame:
     """``(block, trigram, docs)``: the documents of a block whose text, in lower case,
-    holds the trigram.  Blocks hash the id, so no posting list outgrows a block."""
+    holds the trigram.  Blocks hash the id and a posting names an id once, so no posting list
+    outgrows a block, however many rows have one id or none."""
     blocks = max(1, -(-documents.count() // block_documents))
     text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
     found = F.array_compact(F.array(*[F.when(F.contains(F.col("_text"), F.lit(g)), F.lit(g)) for g in trigrams]))
     held = documents.select(_key().alias("doc"), text.alias("_text")).select("doc", F.explode(found).alias("trigram"))
     return (
         held.groupBy(F.pmod(F.xxhash64("doc"), F.lit(blocks)).alias("block"), "trigram")
-        .agg(F.collect_list("doc").alias("docs"))
+        .agg(F.collect_set("doc").alias("docs"))
     )
 
 
