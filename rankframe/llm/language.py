@@ -22,13 +22,15 @@ MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    """``per_language``: labelled documents of each language, drawn by hash, that the
-    classifier is fitted on (about). ``features``: size of the hashed feature space.
+    """``per_language``: different labelled texts of each language, drawn by hash, that the
+    classifier is fitted on (about). ``languages``: so many are learned, those with the most
+    different texts. ``features``: size of the hashed feature space.
     ``alpha, beta, l1, l2``: FTRL-proximal. ``shards``: parts of the sample that learn
     side by side in each of ``rounds`` and are then averaged. One document in
     ``calibrate_every`` of the sample sets the temperature instead."""
 
     per_language: int = 2000
+    languages: int = 256
     features: int = 1 << 14
     orders: tuple[int, ...] = (1, 2, 3)
     alpha: float = 0.5
@@ -132,11 +134,11 @@ def _featurise(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordB
     config, idf, languages = shared.value
     for batch in batches:
         rows = []
-        for text, lang, shard, tune in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:])):
+        for text, lang, shard, tune, place in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:])):
             seen, counts = gram_counts(text.as_py(), config)
-            rows.append((seen.astype("<i4").tobytes(), tf_idf(seen, counts, idf).astype("<f4").tobytes(), languages.index(lang), shard, tune))
-        kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds], ["seen", "values", "label", "shard", "tune"])
+            rows.append((seen.astype("<i4").tobytes(), tf_idf(seen, counts, idf).astype("<f4").tobytes(), languages.index(lang), shard, tune, place))
+        kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds], ["seen", "values", "label", "shard", "tune", "place"])
 
 
 def _examples(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -148,9 +150,9 @@ def _learner(shared):
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         config, z, n = shared.value
         z, n = z.copy(), n.copy()
-        order = np.random.default_rng(len(rows)).permutation(len(rows))
-        ftrl_pass(_examples(rows.iloc[order]), z, n, config)
-        return pd.DataFrame({"rows": [len(rows)], "z": [z.astype("<f8").tobytes()], "n": [n.astype("<f8").tobytes()]})
+        # the stored hash, not the order of arrival, decides what is learned first
+        ftrl_pass(_examples(rows.sort_values(["place", "seen", "label"], kind="stable")), z, n, config)
+        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "rows": [len(rows)], "z": [z.astype("<f8").tobytes()], "n": [n.astype("<f8").tobytes()]})
 
     return learn
 
@@ -159,13 +161,17 @@ def fit_language_model(labelled: DataFrame, config: LanguageConfig | None = None
     """Fit on ``labelled(text, lang)``; None if no row has a lang and a text with a letter.
 
     Document frequencies come from every labelled text; the classifier learns from a
-    bounded sample of whole texts, drawn by a hash of the text for each language.
+    bounded sample of whole texts, drawn by a hash of the text for each language. Copies of a
+    text are drawn once. The fit depends on the rows alone, not on how they are partitioned.
+    Of more than ``languages`` values of lang, those with the fewest texts are not learned.
     """
     config, spark = config or LanguageConfig(), labelled.sparkSession
     rows = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string")).where(r"lang is not null and text rlike '\\p{L}'")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    different = rows.select("lang", F.xxhash64("text").alias("content")).distinct().groupBy("lang").count()
+    sizes = {r["lang"]: r["count"] for r in different.orderBy(F.desc("count"), "lang").limit(config.languages).collect()}
     if not sizes:
         return None
+    rows = rows.where(F.col("lang").isin(*sizes))
     languages = tuple(sorted(sizes))
     counted = rows.select("text").mapInArrow(lambda it: _document_frequency(it, config), "feature int, docs long")
     df = {r["feature"]: r["docs"] for r in counted.groupBy("feature").agg(F.sum("docs").alias("docs")).collect()}
@@ -176,28 +182,30 @@ def fit_language_model(labelled: DataFrame, config: LanguageConfig | None = None
 
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     limits = F.create_map(*[F.lit(x) for lang in languages for x in (lang, int(min(1.0, config.per_language / sizes[lang]) * (1 << 30)))])
-    sample = rows.where(draw < limits[F.col("lang")])
+    sample = rows.where(draw < limits[F.col("lang")]).distinct()
     part = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(config.shards)).cast("int")
     tune = F.pmod(F.xxhash64(F.lit(2), "text"), F.lit(config.calibrate_every)) == 0
     shared = spark.sparkContext.broadcast((config, idf, languages))
-    sample = sample.select("text", "lang", part.alias("shard"), tune.alias("tune"))
-    sample = stored(sample.mapInArrow(lambda it: _featurise(it, shared), "seen binary, values binary, label int, shard int, tune boolean"), "language-sample")
+    sample = sample.select("text", "lang", part.alias("shard"), tune.alias("tune"), F.xxhash64(F.lit(3), "text").alias("place"))
+    sample = stored(sample.mapInArrow(lambda it: _featurise(it, shared), "seen binary, values binary, label int, shard int, tune boolean, place long"), "language-sample")
 
     z, n = np.zeros((2, config.features + 1, len(languages)))
     learning = sample.where(~F.col("tune")) if not sample.where(~F.col("tune")).isEmpty() else sample
     for _ in range(config.rounds):
         state = spark.sparkContext.broadcast((config, z, n))
         # about per_language * languages / shards rows each
-        learnt = learning.groupBy("shard").applyInPandas(_learner(state), "rows long, z binary, n binary").collect()
+        learnt = learning.groupBy("shard").applyInPandas(_learner(state), "shard int, rows long, z binary, n binary").collect()
+        learnt.sort(key=lambda r: r["shard"])
         weight = sum(r["rows"] for r in learnt)
         z = sum(r["rows"] / weight * np.frombuffer(r["z"], "<f8") for r in learnt).reshape(z.shape)
         n = sum(r["rows"] / weight * np.frombuffer(r["n"], "<f8") for r in learnt).reshape(n.shape)
     w = ftrl_weights(z, n, config)
     model = LanguageModel(languages, idf, w[:-1], w[-1], 1.0)
 
-    held = sample.where("tune").select("seen", "values", "label")
-    held = (held if not held.isEmpty() else sample.select("seen", "values", "label")).mapInPandas(lambda it: _logits(it, model), "label int, logits array<double>").collect()
-    logits, labels = np.array([r["logits"] for r in held]), np.array([r["label"] for r in held])
+    held = sample.where("tune")
+    held = (held if not held.isEmpty() else sample).select("seen", "values", "label").mapInPandas(lambda it: _logits(it, model), "label int, logits array<double>")
+    found = sorted((r["label"], r["logits"]) for r in held.collect())
+    logits, labels = np.array([x for _, x in found]), np.array([label for label, _ in found])
     return LanguageModel(languages, idf, w[:-1], w[-1], best_temperature(logits, labels))
 
 

@@ -41,6 +41,26 @@ def test_awkward_languages(awkward, nothing, model):
     assert language.fit_language_model(awkward.where("lang = 'en'")).languages == ("en",)
 
 
+def test_fit_takes_copies_once_and_any_partitioning(spark, documents):
+    """A text repeated 3000 times is one example, and the model depends on the rows alone."""
+    rows = [(r.text, r.lang) for r in documents.where("lang is not null and text is not null").limit(150).collect()]
+    rows += [("the same words in every copy of this text", "en")] * 3000
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    config = language.LanguageConfig(per_language=40, features=1 << 10, rounds=2)
+    models = [language.fit_language_model(frame.repartition(n), config) for n in (3, 11)]
+    for a, b in [(models[0], models[1])]:
+        assert a.languages == b.languages and a.temperature == b.temperature
+        assert (a.weights == b.weights).all() and (a.bias == b.bias).all() and (a.idf == b.idf).all()
+    once = language.fit_language_model(frame.distinct(), config)
+    assert once.languages == models[0].languages and (once.idf != models[0].idf).any()
+
+
+def test_languages_are_bounded(spark):
+    rows = [(f"text number {i} of many", f"l{i % 7}") for i in range(70)] + [("a few more words", "l3"), ("other words still", "l5")]
+    model = language.fit_language_model(spark.createDataFrame(rows, "text string, lang string"), language.LanguageConfig(languages=2, features=1 << 8))
+    assert model.languages == ("l3", "l5")
+
+
 def test_ftrl_matches_its_definition():
     config = language.LanguageConfig(features=8)
     rng = np.random.default_rng(1)
