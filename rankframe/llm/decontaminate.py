@@ -7,7 +7,7 @@ import itertools
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankframe.llm.common import stored
+
 TERM = re.compile(r"\w+")
 SHINGLE = 5
 
@@ -45,6 +47,22 @@ def terms_of(text: str | None) -> list[str]:
     return TERM.findall(text.lower()) if text else []
 
 
+@dataclass(frozen=True)
+class ItemStatistics:
+    """Of all parts of all items: how many, their mean length, and the parts of each term."""
+
+    parts: int
+    mean: float
+    df: Mapping[str, int]
+
+
+def parts_of(text: str | None, c: LeakConfig) -> list[list[str]]:
+    """An item's terms, in even parts of at most ``max_item_words``."""
+    words = terms_of(text)
+    n = -(-len(words) // c.max_item_words)
+    return [words[len(words) * k // n : len(words) * (k + 1) // n] for k in range(n)]
+
+
 class ItemIndex:
     """Postings by term, items in order of number, with maxima per term and block.
 
@@ -52,14 +70,15 @@ class ItemIndex:
     all indexed terms of an item scores 1 on it.
     """
 
-    def __init__(self, items: list[tuple[int, str]], config: LeakConfig) -> None:
+    def __init__(self, items: list[tuple[int, str]], config: LeakConfig, statistics: ItemStatistics | None = None) -> None:
         self.config = config
-        parts = [(item, words[i : i + config.max_item_words]) for item, text in items if (words := terms_of(text)) for i in range(0, len(words), config.max_item_words)]
+        parts = [(item, words) for item, text in items for words in parts_of(text, config)]
         self.items = [item for item, _ in parts]
         self.words = [words for _, words in parts]
-        n, mean = len(parts), (sum(map(len, self.words)) / len(parts) if parts else 1)
         counts = [Counter(w) for w in self.words]
-        df = Counter(t for c in counts for t in c)
+        if statistics is None:
+            statistics = ItemStatistics(len(parts), sum(map(len, self.words)) / max(1, len(parts)), Counter(t for c in counts for t in c))
+        n, mean, df = statistics.parts, statistics.mean, statistics.df
         common = max(1, config.common_share * n)
         postings: dict[str, list[tuple[int, float]]] = {}
         for i, c in enumerate(counts):
@@ -74,7 +93,7 @@ class ItemIndex:
         term = np.repeat(np.arange(len(sizes)), sizes)
         self.ids = np.array([i for p in postings.values() for i, _ in p], np.int64)
         self.impacts = np.array([x for p in postings.values() for _, x in p])
-        self.n_blocks = -(-n // config.block)
+        self.n_blocks = -(-len(parts) // config.block)
         # stretches of one term and block, in the order of the postings
         stretch, first = np.unique(term * max(1, self.n_blocks) + self.ids // config.block, return_index=True)
         self.stretch_block = stretch % max(1, self.n_blocks)
@@ -119,13 +138,15 @@ class ItemIndex:
         for t in terms.tolist():
             lists = [(s, e) for k in range(self.term_ends[t], self.term_ends[t + 1]) if open_blocks[self.stretch_block[k]] for s, e in [(self.stretch_ends[k], self.stretch_ends[k + 1])]]
             if lists:
-                cursors.append([[p for s, e in lists for p in zip(self.ids[s:e].tolist(), self.impacts[s:e].tolist())], 0])
+                impacts = np.concatenate([self.impacts[s:e] for s, e in lists])
+                rest = np.maximum.accumulate(impacts[::-1])[::-1].tolist()  # the most from each posting on
+                cursors.append([[p for s, e in lists for p in zip(self.ids[s:e].tolist(), self.impacts[s:e].tolist())], 0, rest])
         found = []
         while cursors:
             cursors.sort(key=lambda c: c[0][c[1]][0])
             possible = 0.0
-            for postings, at in cursors:
-                possible += max(x for _, x in postings[at:])
+            for postings, at, rest in cursors:
+                possible += rest[at]
                 if possible >= least:
                     pivot = postings[at][0]
                     break
@@ -147,7 +168,8 @@ class ItemIndex:
         """Verified leaks in a whole text: item to (score, question and answer overlap).
 
         Passages are twice the longest item long and start every such length, so any
-        occurrence of an item lies in one of them.
+        occurrence of an item lies in one of them. An item of fewer words than a shingle is
+        compared with the passage's shingles of its own length: it has to occur as it is.
         """
         words = terms_of(text)
         if not words or not self.items:
@@ -159,8 +181,13 @@ class ItemIndex:
         pairs = [(k * len(self.most) + ids[place])[(k >= 0) & (k <= last)] for k in (place // step, place // step - 1)]
         passages, terms = np.divmod(np.unique(np.concatenate(pairs)), len(self.most))
         best: dict[int, tuple[float, float, float]] = {}
+        held: dict[tuple[int, int], set[tuple[str, ...]]] = {}
         for passage, part, score in self.retrieve(terms, passages):
-            near = shingles(words[passage * step : (passage + 2) * step])
+            size = min(SHINGLE, len(self.words[part]))
+            if (passage, size) not in held:
+                held = {k: v for k, v in held.items() if k[0] == passage}
+                held[passage, size] = shingles(words[passage * step : (passage + 2) * step], size)
+            near = held[passage, size]
             question = len(self.questions[part] & near) / len(self.questions[part])
             answer = len(self.answers[part] & near) / len(self.answers[part])
             if question >= c.question_alone or question >= c.question and answer >= c.answer:
@@ -169,9 +196,9 @@ class ItemIndex:
         return best
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    """Five-word shingles; fewer words are one shingle."""
-    return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+def shingles(words: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
+    """Shingles of so many words; fewer words are one shingle."""
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
 def _query(index, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,27 +215,56 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, config: LeakConfig |
     row per document row and item, with the best passage's score and overlaps.
 
     The index of the items is a broadcast of checked size; a benchmark with more text is
-    split by a hash of its items into several indexes, each with statistics of its own,
-    and every document queries all of them. Documents are never shuffled.
-
-    Null or empty texts and items without words give no rows, nor do empty tables. Repeated
-    items count once; repeated documents, and those with null ids, are reported each.
-    Other columns are ignored.
+    split by a hash of its items into several indexes, one of which is held at a time, and
+    every document queries all of them. Scores follow statistics of all items however they
+    are split. Documents are never shuffled.
+
+    Null or empty texts and items without words give no rows, nor do empty tables. An item
+    of one to four words is found where these words occur in a row. Repeated items count
+    once; repeated documents, and those with null ids, are reported each. Other columns are
+    ignored.
     """
-    spark = documents.sparkSession
+    config, spark = config or LeakConfig(), documents.sparkSession
     source = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    found = [source.mapInArrow(functools.partial(_query, index), schema) for index in _indexes(benchmark, config or LeakConfig())]
+    rounds, found = _rounds(benchmark, config), []
+    for load in rounds:
+        index = spark.sparkContext.broadcast(load())
+        found.append(source.mapInArrow(functools.partial(_query, index), schema))
+        if len(rounds) > 1:
+            found[-1] = stored(found[-1], "leaks")
+            index.destroy()
     return functools.reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
-def _indexes(benchmark: DataFrame, config: LeakConfig) -> list:
-    """Broadcast indexes of bounded size over all items."""
-    spark = benchmark.sparkSession
+def _terms(batches: Iterable[pa.RecordBatch], config: LeakConfig) -> Iterator[pa.RecordBatch]:
+    """A row for each part of an item, with its length, and for each different term of it."""
+    for batch in batches:
+        rows = [row for text in batch.column(0) for words in parts_of(text.as_py(), config) for row in [(None, len(words)), *((t, 0) for t in sorted(set(words)))]]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["term", "length"])
+
+
+def _rounds(benchmark: DataFrame, config: LeakConfig) -> list[Callable[[], ItemIndex]]:
+    """For every block of items of bounded size, what loads its index to the driver. Terms
+    are counted over all items, and a block gets the counts of its own terms."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
+    items = stored(items, "items")
     rounds = -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // config.index_bytes)
-    blocks = (items.where(F.pmod(F.xxhash64("item", "text"), F.lit(rounds)) == k) for k in range(rounds))
-    return [spark.sparkContext.broadcast(ItemIndex(sorted(map(tuple, block.collect()), key=str), config)) for block in blocks]
+    if not rounds:
+        return []
+    terms = lambda some: some.select("text").mapInArrow(functools.partial(_terms, config=config), "term string, length long")
+    counts = stored(terms(items).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length")), "item-terms")
+    parts, length = counts.where("term is null").select("df", "length").first() or (0, 0)
+    own = F.pmod(F.xxhash64("item", "text"), F.lit(rounds))
+
+    def load(k: int) -> ItemIndex:
+        block = items.where(own == k)
+        wanted = terms(block).where("term is not null").select("term").distinct()
+        df = {r["term"]: r["df"] for r in counts.join(wanted, "term").select("term", "df").collect()}
+        return ItemIndex(sorted(map(tuple, block.collect()), key=str), config, ItemStatistics(parts, length / max(1, parts), df))
+
+    return [functools.partial(load, k) for k in range(rounds)]
 
 
 def _without_leaks(index, text_column: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +275,11 @@ def _without_leaks(index, text_column: int, batches: Iterable[pa.RecordBatch]) -
 
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, config: LeakConfig | None = None) -> DataFrame:
     """``documents`` without the rows that hold a verified leak; columns are as given."""
-    for index in _indexes(benchmark, config or LeakConfig()):
+    rounds = _rounds(benchmark, config or LeakConfig())
+    for load in rounds:
+        index = documents.sparkSession.sparkContext.broadcast(load())
         documents = documents.mapInArrow(functools.partial(_without_leaks, index, documents.columns.index("text")), documents.schema)
+        if len(rounds) > 1:
+            documents = stored(documents, "without-leaks")
+            index.destroy()
     return documents

@@ -5,7 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
-from rankframe.llm.decontaminate import ItemIndex, LeakConfig, drop_leaks, find_leaks, shingles, terms_of
+from rankframe.llm.decontaminate import ItemIndex, LeakConfig, drop_leaks, find_leaks, parts_of, shingles, terms_of
 
 
 def items(seed, n=120):
@@ -82,3 +82,34 @@ def test_awkward_documents(spark, awkward, nothing):
     assert find_leaks(nothing, bench).count() == 0 and find_leaks(awkward, bench.limit(0)).count() == 0
     assert drop_leaks(awkward, bench.where("item_id = 3")).count() == awkward.count()
     assert shingles(["a"]) == {("a",)}
+
+
+def test_short_items_are_found_inside_long_texts(spark):
+    rng = random.Random(8)
+    filler = lambda n: " ".join(f"f{rng.randrange(900)}" for _ in range(n))
+    short = [(0, "Who wrote Hamlet?"), (1, "zebra"), (2, "blue green"), (3, "one small step here"), (4, "exactly five words are here")]
+    rows = short + [(10 + i, filler(30)) for i in range(20)]
+    docs = [(k, f"{filler(200)} {text.lower()} {filler(150)}") for k, (_, text) in enumerate(short)]
+    docs += [(20, f"{filler(100)} who has written hamlet {filler(90)}"), (21, f"green blue {filler(100)} step one small here"), (22, "zebra"), (23, filler(300))]
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (22, 1)]
+
+
+def test_scores_do_not_depend_on_how_items_are_split(spark):
+    rows = items(21, 200)
+    rng = random.Random(2)
+    docs = []
+    for k in range(120):
+        words = rng.choice(rows)[1].split()
+        cut = rng.randrange(len(words) // 2 + 1)
+        docs.append((k, " ".join(words[cut:]) + " " + " ".join(rng.choice(rows)[1].split()[:8])))
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string")
+    whole, split = (sorted(map(tuple, find_leaks(docs, bench, LeakConfig(index_bytes=size)).collect())) for size in (1 << 25, 3000))
+    assert [r[:2] for r in whole] == [r[:2] for r in split] and len(whole) > 100
+    assert np.allclose([r[2:] for r in whole], [r[2:] for r in split], rtol=1e-12)
+
+
+def test_long_items_have_no_short_part():
+    parts = parts_of(" ".join(f"t{i}" for i in range(257)), LeakConfig())
+    assert [len(p) for p in parts] == [128, 129] and sum(parts, []) == [f"t{i}" for i in range(257)]
+    assert parts_of("", LeakConfig()) == [] and parts_of(None, LeakConfig()) == []
