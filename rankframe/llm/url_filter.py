@@ -81,10 +81,11 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
 
 
 def suffixes(host: Column, path: Column) -> dict[str, Column]:
-    """What block rates are kept for: the last host label, the last two, and the first
-    path segment under the last label."""
-    last = F.substring_index(host, ".", -1)
-    return {"tld": last, "domain": F.substring_index(host, ".", -2), "section": F.concat_ws("/", last, F.substring_index(F.substring(path, 2, 1 << 30), "/", 1))}
+    """What block rates are kept for: the last host label, the last two, and the first path
+    segment. None of them names host and path together, as a rule does, so that what the
+    rules decide says something about other URLs."""
+    segment = F.substring_index(F.substring(path, 2, 1 << 30), "/", 1)
+    return {"tld": F.substring_index(host, ".", -1), "domain": F.substring_index(host, ".", -2), "segment": segment}
 
 
 @dataclass(frozen=True)
@@ -119,6 +120,22 @@ def _with_features(urls: DataFrame, rates: DataFrame, overall: float) -> DataFra
     return out
 
 
+def _without_own_label(rows: DataFrame, config: UrlModelConfig) -> DataFrame:
+    """Labelled URLs' features with the rates that the other URLs give their suffixes."""
+    for kind in suffixes(F.col("host"), F.col("path")):
+        rate, weight = F.col(f"f_{kind}_rate"), F.col(f"f_{kind}_weight")
+        total = rate * (weight + config.smoothing) - F.col("blocked")
+        rows = rows.withColumn(f"f_{kind}_rate", total / (weight - 1 + config.smoothing)).withColumn(f"f_{kind}_weight", weight - 1)
+    return rows
+
+
+def suffix_rates(labelled: DataFrame, overall: float, config: UrlModelConfig) -> DataFrame:
+    """``(kind, suffix, weight, rate)``: labelled URLs of a suffix, and their block rate."""
+    pairs = labelled.select("blocked", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), s.alias("suffix")) for k, s in suffixes(F.col("host"), F.col("path")).items()])).alias("s"))
+    sums = pairs.groupBy("s.kind", "s.suffix").agg(F.sum("blocked").alias("blocked"), F.count(F.lit(1)).cast("double").alias("weight"))
+    return sums.select("kind", "suffix", "weight", ((F.col("blocked") + config.smoothing * overall) / (F.col("weight") + config.smoothing)).alias("rate"))
+
+
 def fit_url_model(labelled: DataFrame, config: UrlModelConfig | None = None) -> UrlModel | None:
     """Fit on ``labelled(url, host, path, blocked 0/1)``; None unless both labels occur.
 
@@ -133,14 +150,8 @@ def fit_url_model(labelled: DataFrame, config: UrlModelConfig | None = None) ->
     overall, kinds = bounded.agg(F.avg("blocked"), F.count_distinct("blocked")).first()
     if kinds != 2:
         return None
-    pairs = bounded.select("blocked", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), s.alias("suffix")) for k, s in suffixes(F.col("host"), F.col("path")).items()])).alias("s"))
-    sums = pairs.groupBy("s.kind", "s.suffix").agg(F.sum("blocked").alias("blocked"), F.count(F.lit(1)).cast("double").alias("weight"))
-    rates = stored(sums.withColumn("rate", (F.col("blocked") + config.smoothing * overall) / (F.col("weight") + config.smoothing)), "url-suffixes")
-    rows = _with_features(bounded, rates, overall)
-    for kind in suffixes(F.col("host"), F.col("path")):
-        rate, weight = F.col(f"f_{kind}_rate"), F.col(f"f_{kind}_weight")
-        total = rate * (weight + config.smoothing) - F.col("blocked")
-        rows = rows.withColumn(f"f_{kind}_rate", total / (weight - 1 + config.smoothing)).withColumn(f"f_{kind}_weight", weight - 1)
+    rates = stored(suffix_rates(bounded, overall, config), "url-suffixes")
+    rows = _without_own_label(_with_features(bounded, rates, overall), config)
     columns = [c for c in rows.columns if c.startswith("f_")]
     vectors = stored(VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep").transform(rows).select("_features", "blocked"), "url-vectors")
     trees = GBTClassifier(featuresCol="_features", labelCol="blocked", maxIter=config.trees, maxDepth=config.depth, stepSize=config.step, seed=7)

@@ -130,3 +130,33 @@ def test_trees_find_held_out_labels(spark):
     judged = url_filter.judge_urls(spark.createDataFrame(rows[800:], "page_id long, url string, blocked int"), (), labelled).collect()
     truth = {r[0]: r[2] for r in rows}
     assert np.mean([(r.verdict == "block") == truth[r.page_id] for r in judged]) > 0.97
+
+
+def test_suffix_rates_leave_the_own_label_out(spark):
+    """Rates and features of labelled URLs against a plain count."""
+    rng, config = random.Random(15), url_filter.UrlModelConfig(smoothing=3.0)
+    urls = [f"https://{rng.choice(['', 'a.', '9-x.'])}{rng.choice(['p', 'q'])}.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['en', 'de', 'fr', ''])}{rng.choice(['/1', '/2/x?k=1&l', ''])}" for _ in range(120)]
+    rows = [(u, *host_and_path(u), float(rng.random() < 0.3)) for u in urls]
+    overall = sum(r[3] for r in rows) / len(rows)
+    frame = spark.createDataFrame(rows, "url string, host string, path string, blocked double")
+    rates = url_filter.suffix_rates(frame, overall, config)
+    found = url_filter._without_own_label(url_filter._with_features(frame, rates, overall), config).collect()
+    suffix = {"tld": lambda h, p: h.rpartition(".")[2], "domain": lambda h, p: ".".join(h.split(".")[-2:]), "segment": lambda h, p: p[1:].split("/")[0]}
+    for r in found:
+        for kind, of in suffix.items():
+            others = [b for _, h, p, b in rows if of(h, p) == of(r.host, r.path)]
+            total, n = sum(others) - r.blocked, len(others) - 1
+            assert r[f"f_{kind}_weight"] == n
+            assert abs(r[f"f_{kind}_rate"] - (total + 3.0 * overall) / (n + 3.0)) < 1e-9
+        letters = [r.host.count(c) / len(r.host) for c in set(r.host)]
+        query = r.url.partition("?")[2]
+        assert (r.f_length, r.f_depth, r.f_parameters) == (len(r.url), r.path.count("/"), len(query.split("&")) if query else 0)
+        assert abs(r.f_host_entropy + sum(x * np.log2(x) for x in letters)) < 1e-9
+        assert abs(r.f_digit_ratio - sum(c.isdigit() for c in r.url) / len(r.url)) < 1e-9
+
+
+def test_undecided_urls_are_told_apart(spark):
+    """On the given pages, where rules label: the model blocks some of the others, not all."""
+    found = url_filter.judge_urls(spark.read.parquet(f"{SF_DIR}/pages.parquet")).where("rule is null").collect()
+    assert len({round(r.block_probability, 9) for r in found}) > 1
+    assert {r.verdict for r in found} == {"allow", "block"}
