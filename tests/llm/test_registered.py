@@ -20,7 +20,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_its_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "labels"):
         duck.execute(f"create view {table} as select * from read_parquet('{SF_DIR}/{table}.parquet')")
     answer = duck.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in answer.description]
@@ -38,6 +38,12 @@ def test_every_query_covers_its_table(spark, name):
         assert sorted(r.page_id for r in rows.collect()) == sorted(r.page_id for r in pages.collect())
     elif name == "op5_length_histogram":
         assert sum(r.n_docs for r in rows.collect()) == documents.count()
+    elif name == "op11_bit_plane_clusters":
+        vectors = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("size(embedding) = 64")
+        assert sorted(r.vec_id for r in rows.collect()) == sorted(r.vec_id for r in vectors.collect())
+    elif name == "op13_filter_potential":
+        assert sum(r.kept + r.removed for r in rows.where("step = 1 and filter_order = 'ABCDE'").collect()) == documents.count()
+        assert rows.count() == 600 * documents.select("lang").distinct().count()
     elif name == "op9_benchmark_leaks":
         assert rows.count() > 0
     else:
