@@ -183,7 +183,7 @@ def negative_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_scan_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positives are a hundredth here, so a third of the negatives is more than stays."""
+    """Positives are a hundredth here, so half of the negatives is more than stays."""
     rows = fx.interactions(spark, sf_dir).filter(sampling.on_surface("all"))
     kept = sampling.downsample_in_one_scan(
         rows.select(*KEYS, SPEC.label, "price"), fx.WHOLE_RANGE, SPEC, thin_share=ONE_SCAN_SHARE
