@@ -2,6 +2,7 @@
 
 from rankframe.sources.buckets import BucketedTable, append_buckets, open_buckets, write_buckets
 from rankframe.sources.catalog import TableCatalog
+from rankframe.sources.days import WrittenDay, read_days, write_days, written_days
 from rankframe.sources.splits import (
     read_optional_split,
     read_split,
@@ -14,13 +15,17 @@ __all__ = [
     "BucketedTable",
     "PreprocessorState",
     "TableCatalog",
+    "WrittenDay",
     "append_buckets",
     "load_artifacts",
     "open_buckets",
+    "read_days",
     "read_optional_split",
     "read_split",
     "write_artifacts",
     "write_buckets",
+    "write_days",
     "write_projected",
     "write_split",
+    "written_days",
 ]

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from rankframe.sources import days as day_store
+from rankframe.sources import read_days, write_days, written_days
+
+DAYS = [date(2026, 3, d) for d in (1, 2, 3)]
+
+
+def rows(spark, day, values):
+    frame = spark.createDataFrame([(v,) for v in values], "v long")
+    return frame.select("v", F.lit(day).alias("day"))
+
+
+def stored(spark, root, days=None):
+    return sorted((r["day"].day, r["v"]) for r in read_days(spark, root, "s", days).collect())
+
+
+@pytest.fixture()
+def root(spark, tmp_path):
+    three = rows(spark, DAYS[0], [1, 1]).union(rows(spark, DAYS[1], [2])).union(rows(spark, DAYS[2], [3]))
+    write_days(three, str(tmp_path), "s", "day", DAYS)
+    return str(tmp_path)
+
+
+def test_a_rerun_replaces_its_day_alone(spark, root):
+    before = written_days(spark, root, "s")
+    write_days(rows(spark, DAYS[1], [5, 6, 7]), root, "s", "day", [DAYS[1]], even_files=True)
+    write_days(rows(spark, DAYS[1], [5, 6, 7]), root, "s", "day", [DAYS[1]])
+    assert stored(spark, root) == [(1, 1), (1, 1), (2, 5), (2, 6), (2, 7), (3, 3)]
+    after = written_days(spark, root, "s")
+    assert {d: f.rows for d, f in after.items()} == dict(zip(DAYS, (2, 3, 1)))
+    assert after[DAYS[0]] == before[DAYS[0]] and after[DAYS[1]].write != before[DAYS[1]].write
+    frame = read_days(spark, root, "s")
+    assert frame.dtypes == [("v", "bigint"), ("day", "date")]
+
+
+def test_only_the_wanted_days_are_read(spark, root):
+    frame = read_days(spark, root, "s", [DAYS[2], DAYS[0]])
+    assert {f.split("day=")[1][:10] for f in frame.inputFiles()} == {"2026-03-01", "2026-03-03"}
+    assert stored(spark, root, [DAYS[2], DAYS[0]]) == [(1, 1), (1, 1), (3, 3)]
+
+
+def test_a_write_that_dies_before_its_marker_is_refused(spark, root, monkeypatch):
+    def die(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(day_store, "_finish", die)
+    with pytest.raises(KeyboardInterrupt):
+        write_days(rows(spark, DAYS[1], [9]), root, "s", "day", [DAYS[1]])
+    monkeypatch.undo()
+    with pytest.raises(FileNotFoundError, match="2026-03-02"):
+        read_days(spark, root, "s", DAYS)
+    assert stored(spark, root) == [(1, 1), (1, 1), (3, 3)]  # the finished days
+    write_days(rows(spark, DAYS[1], [9]), root, "s", "day", [DAYS[1]])
+    assert stored(spark, root, DAYS) == [(1, 1), (1, 1), (2, 9), (3, 3)]
+
+
+def test_a_day_that_became_empty(spark, root):
+    write_days(rows(spark, DAYS[0], []), root, "s", "day", [DAYS[0]])
+    assert stored(spark, root) == [(2, 2), (3, 3)]
+    empty = read_days(spark, root, "s", [DAYS[0]])
+    assert empty.columns == ["v", "day"] and empty.isEmpty()
+
+
+def test_lost_and_foreign_files_are_noticed(spark, root):
+    rows(spark, DAYS[1], [8]).drop("day").write.mode("append").parquet(f"{root}/s/day=2026-03-02")
+    with pytest.raises(ValueError, match="2026-03-02.*1, 2"):
+        read_days(spark, root, "s")
+    assert stored(spark, root, [DAYS[0]]) == [(1, 1), (1, 1)]
+
+
+def test_nested_columns_and_nullability(spark, tmp_path):
+    shape = "struct(v, array(v) as list) as pair"
+    first = rows(spark, DAYS[0], [1]).selectExpr("day", shape)
+    second = rows(spark, DAYS[1], [2]).selectExpr("day", "struct(v, array(v, null) as list) as pair")
+    write_days(first, str(tmp_path), "s", "day", [DAYS[0]])
+    write_days(second, str(tmp_path), "s", "day", [DAYS[1]])
+    found = read_days(spark, str(tmp_path), "s").orderBy("day").collect()
+    assert [(r["day"], tuple(r["pair"])) for r in found] == [(DAYS[0], (1, [1])), (DAYS[1], (2, [2, None]))]
+
+
+def test_what_is_refused(spark, root):
+    stray = rows(spark, DAYS[0], [1]).union(rows(spark, DAYS[2], [4]))
+    with pytest.raises(Exception, match="2026-03-03"):
+        write_days(stray, root, "s", "day", [DAYS[0]])
+    assert stored(spark, root) == [(2, 2), (3, 3)]
+    null = rows(spark, DAYS[0], [1]).withColumn("day", F.lit(None).cast("date"))
+    with pytest.raises(Exception, match="not written: null"):
+        write_days(null, root, "s", "day", [DAYS[0]])
+    with pytest.raises(ValueError, match="must be a date"):
+        write_days(rows(spark, DAYS[0], [1]).withColumn("day", F.lit("x")), root, "s", "day", [DAYS[0]])
+    with pytest.raises(ValueError, match="no day"):
+        write_days(rows(spark, DAYS[0], [1]), root, "s", "day", [])
+    other = rows(spark, DAYS[0], [1]).withColumn("w", F.lit(1))
+    write_days(other, root, "s", "day", [DAYS[0]])
+    with pytest.raises(ValueError, match="differ in their columns"):
+        read_days(spark, root, "s")
+    with pytest.raises(FileNotFoundError, match="no finished day"):
+        read_days(spark, root, "absent")
