@@ -451,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
         "pointwise_base": f"with {BASE} {SHOWN_SPLIT}",
         "one_scan_split": f"with {BASE} {SHOWN_SPLIT}",
         "pointwise_finetune": f"with {MONTH} {SHOWN_SPLIT}",
+        "day_rerun": f"with {MONTH} {SHOWN_SPLIT}",
         "distinct_products": f"""with {BASE} select distinct product_id from split
             where product_id is not null""",
         "distinct_buyer_days": f"""with {BASE}
@@ -471,6 +472,10 @@ def oracle_sql() -> dict[str, str]:
             target_is_native_order::double as target_is_native_order from prepared""",
         "quantile_boundaries": f"""with {BASE}, {_prepared()}, {_bounds(N_BINS)}
             select feature, pos::int as pos, bound::double as bound from bounds""",
+        "boundaries_by_day_counts": f"""with {MONTH}, {_prepared()}, {_bounds(N_BINS)}
+            select feature, pos::int as pos, bound::double as bound from bounds""",
+        "window_fit_bins": f"""with {MONTH}, {_prepared()}, {_bounds(N_BINS)}, {_bound_lists()}
+            select {SHOWN}, {BIN_COLUMNS} from prepared r, bound_lists""",
         "vocabulary": f"with {BASE}, {_prepared()}, {_vocab('prepared')} select * from vocab",
         "vocabulary_in_ranges": f"""with {INTERACTIONS} select 'triple' as feature, value,
             (row_number() over (order by value))::int as id from (select distinct

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from rankframe.operators.vocabulary import (
     number_categories,
     vocabulary_sizes,
 )
+from rankframe.plans.day_fits import boundaries_of_days, count_days, fit_days
 from rankframe.plans.export import export_split
 from rankframe.plans.model_ready import (
     base_training_table,
@@ -32,6 +33,7 @@ from rankframe.plans.pointwise import split_rows
 from rankframe.session import materialize, scratch_path
 from rankframe.sources.buckets import BucketedTable, append_buckets, write_buckets
 from rankframe.sources.catalog import TableCatalog
+from rankframe.sources.days import read_days, write_days
 from rankframe.sources.splits import read_split, write_projected, write_split
 from rankframe.sources.state import (
     PreprocessorState,
@@ -39,7 +41,7 @@ from rankframe.sources.state import (
     load_model_shape,
     write_artifacts,
 )
-from rankframe.spec import ModelShape, PreprocessConfig
+from rankframe.spec import ModelShape, PreprocessConfig, resolve_window
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,13 +303,55 @@ def clean_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fitted_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = quantile_boundaries(prepared_base(spark, sf_dir), SPEC.numeric, N_BINS)
+def _bound_rows(bounds: DataFrame) -> DataFrame:
     return bounds.select("feature", F.posexplode("bounds").alias("pos", "bound")).select(
         "feature", (F.col("pos") + 1).alias("pos"), F.col("bound").cast("double").alias("bound")
     )
 
 
+def fitted_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bound_rows(quantile_boundaries(prepared_base(spark, sf_dir), SPEC.numeric, N_BINS))
+
+
+def month_days() -> list[date]:
+    start, stop = resolve_window(fx.MONTH, "finetune")
+    return [start + timedelta(days=i) for i in range((stop - start).days)]
+
+
+def _month_in_days(spark: SparkSession, sf_dir: str) -> str:
+    """The month in day folders: wrong prices at first, then its second half is run again.
+
+    The days are counted in between, so later fits find old and outdated counts.
+    """
+    root, days = scratch_path(spark), month_days()
+    write_split(month_split(spark, sf_dir), root, "all", even_files=True)
+    rows = read_split(spark, root, "all")
+    late = F.col(SPEC.day) >= F.lit(days[15])
+    wrong = F.when(late, F.col("price") * -3).otherwise(F.col("price"))
+    write_days(rows.withColumn("price", wrong), root, "month", SPEC.day, days, even_files=True)
+    count_days(spark, root, "month", days[:20], SPEC.numeric)
+    write_days(rows.filter(late), root, "month", SPEC.day, days[15:], even_files=True)
+    return root
+
+
+def day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = read_days(spark, _month_in_days(spark, sf_dir), "month", month_days())
+    return stored.select(*SPEC.split_columns, SPEC.target, "ubi_hash")
+
+
+def boundaries_by_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _month_in_days(spark, sf_dir)
+    return _bound_rows(boundaries_of_days(spark, root, "month", month_days(), SPEC.numeric, N_BINS))
+
+
+def window_fit_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month's rows in bins that are fitted on its days."""
+    root = _month_in_days(spark, sf_dir)
+    state = fit_days(spark, root, "month", month_days(), SPEC, fx.ENCODING)
+    rows = encode.prepare(read_days(spark, root, "month"), SPEC)
+    return _binned(rows, state)
+
+
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_categories(distinct_categories(prepared_base(spark, sf_dir), SPEC.categorical))
 
@@ -328,6 +372,10 @@ def vocab_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quantile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared_base(spark, sf_dir)
     state = encode.fit(rows, SPEC, fx.ENCODING)
+    return _binned(rows, state)
+
+
+def _binned(rows: DataFrame, state: PreprocessorState) -> DataFrame:
     coded = encode.encode(rows, state, SPEC, with_bins=True)
     return coded.select(*KEYS, *spread("bins", SPEC.numeric, "bin_", "int"))
 
@@ -698,7 +746,10 @@ def queries() -> dict[str, Query]:
         "embedding_lookup_shuffled": _embedding_lookup(broadcast_bytes=0),
         "embedding_lookup_bucketed": _embedding_lookup(bucketed=True),
         "clean_features": clean_features,
+        "day_rerun": day_rerun,
         "quantile_boundaries": fitted_boundaries,
+        "boundaries_by_day_counts": boundaries_by_day_counts,
+        "window_fit_bins": window_fit_bins,
         "vocabulary": vocabulary,
         "vocabulary_in_ranges": vocabulary_in_ranges,
         "vocab_sizes": vocab_sizes,

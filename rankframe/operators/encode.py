@@ -70,9 +70,13 @@ def fit_vocabulary(
     return numbered.select("feature", "value", "id"), sizes, octets
 
 
-def fit(df: DataFrame, spec: FeatureSpec, cfg: PreprocessConfig) -> PreprocessorState:
+def fit(
+    df: DataFrame, spec: FeatureSpec, cfg: PreprocessConfig, *, counts: DataFrame | None = None
+) -> PreprocessorState:
     """Quantile boundaries, vocabularies and embedding widths of a prepared split.
 
+    ``counts`` are bucket counts of the same rows, if they are stored already.
+
     Only per-feature results reach the driver: Q-1 numbers per numeric column and two counts
     per category.  The vocabulary is written out once and stays a table.
     """
@@ -82,7 +86,7 @@ def fit(df: DataFrame, spec: FeatureSpec, cfg: PreprocessConfig) -> Preprocessor
         raise ValueError("the frame has none of the numeric features")
 
     def boundaries() -> list:
-        return quantile_boundaries(df, numeric, cfg.n_bins).orderBy("pos").collect()
+        return quantile_boundaries(df, numeric, cfg.n_bins, counts=counts).orderBy("pos").collect()
 
     # the two halves share nothing, so one can use the tasks the other leaves idle
     with ThreadPoolExecutor(max_workers=2) as pool:

@@ -8,6 +8,9 @@ statistics are found in two counting passes, both with map-side partial sums:
 2. only values inside those buckets are counted per distinct value, and a running total
    inside each bucket finds the wanted values.
 
+The first pass can be done ahead, day by day: bucket counts of several days add up, so they
+are kept as a table (see ``plans.day_fits``) and only the second pass reads all days.
+
 A bucket covers 1/128 of a power of two and so can hold at most about 91 000 different
 32-bit floats, and a feature has at most about 71 000 buckets: no group grows with the data.
 The buckets sent to all executors number at most two per wanted rank.
@@ -51,22 +54,55 @@ def _wanted_ranks(total: Column, fractions: Sequence[float]) -> Column:
     return F.array_sort(F.array_union(below, above))
 
 
-def quantile_boundaries(df: DataFrame, columns: Sequence[str], n_bins: int) -> DataFrame:
+def _values(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """``(*keep, pos, value, bucket)``, one row per value."""
+    cleaned = F.array(*[clean_numeric(F.col(c)) for c in columns])
+    values = df.select(*keep, F.posexplode(cleaned).alias("pos", "value"))
+    return values.withColumn("bucket", _bucket(F.col("value")))
+
+
+def bucket_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, feature, bucket, n)``: the result of the first pass, which can be added up.
+
+    For each value of ``by`` at most about 71 000 rows per column, whatever the data.
+    """
+    columns = list(columns)
+    if taken := {"pos", "value", "bucket", "feature", "n"} & set(by):
+        raise ValueError(f"rename {sorted(taken)}")
+    counted = _values(df, columns, *by).groupBy(*by, "pos", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return counted.select(*by, F.get(names, F.col("pos")).alias("feature"), "bucket", "n")
+
+
+def quantile_boundaries(
+    df: DataFrame, columns: Sequence[str], n_bins: int, *, counts: DataFrame | None = None
+) -> DataFrame:
     """``(pos, feature, bounds)``: per column its Q-1 quantiles, linearly interpolated.
 
-    Values are cleaned and narrowed to 32-bit floats first, and so is the result.
+    Values are cleaned and narrowed to 32-bit floats first, and so is the result.  ``counts``
+    are :func:`bucket_counts` of the same rows, in any number of parts; with them ``df`` is
+    read once.
     """
     columns = list(columns)
     if not columns:
         raise ValueError("no numeric column to take quantiles of")
     fractions = interior_fractions(n_bins)
-    values = df.select(
-        F.posexplode(F.array(*[clean_numeric(F.col(c)) for c in columns])).alias("pos", "value")
-    ).select("pos", "value", _bucket(F.col("value")).alias("bucket"))
+    values = _values(df, columns)
 
     # every cleaned column has as many values as there are rows
-    rows = F.count(F.lit(1))
-    counted = df.agg(
+    if counts is None:
+        source, rows = df, F.count(F.lit(1))
+        filled = values.groupBy("pos", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        source = counts.filter(F.col("feature") == columns[0])
+        rows = F.coalesce(F.sum("n"), F.lit(0).cast("long"))
+        names = F.array(*[F.lit(c) for c in columns])
+        filled = (
+            counts.filter(F.col("feature").isin(columns))
+            .groupBy((F.array_position(names, F.col("feature")) - 1).cast("int").alias("pos"), "bucket")
+            .agg(F.sum("n").alias("n"))
+        )
+    counted = source.agg(
         F.struct(rows.alias("total"), _wanted_ranks(rows, fractions).alias("ranks"))
     ).scalar()
     total, ranks = counted["total"], counted["ranks"]
@@ -77,9 +113,7 @@ def quantile_boundaries(df: DataFrame, columns: Sequence[str], n_bins: int) -> D
     # pass 1: which buckets hold the wanted ranks
     upto = W.partitionBy("pos").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     wanted = (
-        values.groupBy("pos", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("stop", F.sum("n").over(upto))
+        filled.withColumn("stop", F.sum("n").over(upto))
         .withColumn("start", F.col("stop") - F.col("n"))
         .withColumn("ranks", ranks)
         .withColumn("inside", wanted_between(F.col("start"), F.col("stop")))
