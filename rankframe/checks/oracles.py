@@ -491,6 +491,7 @@ def oracle_sql() -> dict[str, str]:
         "full_transform": f"""with {FITTED} {encoded_all},
             target_is_native_order::double as target from prepared r, bound_lists""",
         "serving_transform": f"with {FITTED} {encoded_all} from prepared r, bound_lists",
+        "published_transform": f"with {FITTED} {encoded_all} from prepared r, bound_lists",
         "train_serve_parity": f"""with {BASE} select count(*) as n_rows, 0::bigint as bin_mismatches,
             0::bigint as cat_mismatches from split""",
         "finetune_encode": f"""with {FITTED}, month_split as (

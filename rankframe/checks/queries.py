@@ -39,8 +39,10 @@ from rankframe.sources.state import (
     PreprocessorState,
     load_artifacts,
     load_model_shape,
+    publish_artifacts,
     write_artifacts,
 )
+from rankframe.sources.versions import open_version
 from rankframe.spec import ModelShape, PreprocessConfig, resolve_window
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -440,6 +442,16 @@ def serving_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(*_encoded_columns(state))
 
 
+def published_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving from the current artifacts, after those of the month were published and replaced."""
+    root, rows = scratch_path(spark), prepared_base(spark, sf_dir)
+    for fitted_on in (encode.prepare(month_split(spark, sf_dir), SPEC), rows):
+        publish_artifacts(spark, encode.fit(fitted_on, SPEC, fx.ENCODING), fx.ENCODING, SPEC, root)
+    state = load_artifacts(spark, open_version(spark, root).path)
+    coded = encode.encode(rows, state, SPEC, mode="serving", with_bins=True)
+    return coded.select(*_encoded_columns(state))
+
+
 def train_serve_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared_base(spark, sf_dir)
     root = scratch_path(spark)
@@ -760,6 +772,7 @@ def queries() -> dict[str, Query]:
         "hashed_ids": hashed_ids,
         "full_transform": full_transform,
         "serving_transform": serving_transform,
+        "published_transform": published_transform,
         "train_serve_parity": train_serve_parity,
         "finetune_encode": finetune_encode,
         "model_ready": model_ready_rows,

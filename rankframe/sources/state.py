@@ -10,8 +10,18 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rankframe.sources.versions import Version, open_version, publish
 from rankframe.spec import FeatureSpec, ModelShape, PreprocessConfig
 
+STATE_TABLES = {"boundaries": "parquet", "vocabulary": "parquet", "meta": "text"}
+ARTIFACT_TABLES = {
+    "quantile_boundaries": "parquet",
+    "cat_encoders": "parquet",
+    **dict.fromkeys(
+        ("id_hash_config", "vocab_sizes", "vocab_bytes", "embedding_dims", "model_config", "feature_list"),
+        "text",
+    ),
+}
 BOUNDARY_SCHEMA = T.StructType(
     [
         T.StructField("pos", T.IntegerType()),
@@ -202,3 +212,26 @@ def load_artifacts(spark: SparkSession, path: str) -> PreprocessorState:
             "hash_algo": hashes["algorithm"],
         },
     )
+
+
+def publish_state(spark: SparkSession, state: PreprocessorState, root: str) -> Version:
+    """Save ``state`` as the new current version below ``root``."""
+    return publish(spark, root, lambda path: state.save(spark, path), STATE_TABLES)
+
+
+def published_state(spark: SparkSession, root: str, name: str | None = None) -> PreprocessorState:
+    """The current state below ``root``, or version ``name``, checked against its content sums."""
+    return PreprocessorState.load(spark, open_version(spark, root, name).path)
+
+
+def publish_artifacts(
+    spark: SparkSession, state: PreprocessorState, cfg: PreprocessConfig, spec: FeatureSpec, root: str
+) -> Version:
+    """Write all serving artifacts as the new current version below ``root``.
+
+    :func:`load_artifacts` and :func:`load_model_shape` of one version's path agree, whatever
+    is published meanwhile.
+    """
+    return publish(
+        spark, root, lambda path: write_artifacts(spark, state, cfg, spec, path), ARTIFACT_TABLES
+    )
