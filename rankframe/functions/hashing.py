@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rankframe.functions.fingerprint import farm_fingerprint
 from rankframe.spec import BUYER_HASH_MODULUS, DAY_KEY_SCALE
 
-ALGORITHMS = ("xxhash64", "md5")
+ALGORITHMS = ("xxhash64", "md5", "farm")
 
 # Hashed in place of a null id; the control character keeps it apart from real ids.
 NULL_ID_TOKEN = "\u0001null"
@@ -21,7 +22,9 @@ def hash_mod(value: Column, n: int, algo: str = "xxhash64") -> Column:
     """Bucket of ``value`` in ``[0, n)`` as a long.
 
     ``xxhash64`` is the fast default; ``md5`` uses the leading 60 bits of the digest and can
-    be reproduced by any SQL engine.  The value is hashed as a string, because the same id
+    be reproduced by any SQL engine; ``farm`` gives the buckets of a warehouse with that
+    fingerprint, so rows sampled here are those sampled there, at the price of passing the value
+    through Python in Arrow batches.  The value is hashed as a string, because the same id
     as int and as bigint would otherwise hash differently.
     """
     text = value.cast("string")
@@ -31,6 +34,8 @@ def hash_mod(value: Column, n: int, algo: str = "xxhash64") -> Column:
     if algo == "md5":
         leading = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
         return leading % F.lit(n).cast("long")
+    if algo == "farm":
+        return F.abs(farm_fingerprint(text) % F.lit(n).cast("long"))
     raise ValueError(f"algo must be one of {ALGORITHMS}, got {algo!r}")
 
 
