@@ -7,6 +7,7 @@ sorted list, vocabularies by rank, positions by row number, the network as list
 from __future__ import annotations
 
 from rankframe import fixtures as fx
+from rankframe.checks.farm_sql import fingerprint_bucket, fingerprint_ctes
 from rankframe.checks.queries import BATCH_ROWS, MANY_CATEGORIES, N_BINS, USER_SAMPLE_PCT, WINDOW
 from rankframe.spec import BUYER_HASH_MODULUS, MISSING_CATEGORY, resolve_window
 
@@ -418,6 +419,15 @@ def oracle_sql() -> dict[str, str]:
         select user_date_key, {_sums('vec', 'emb')} from user_export"""
     negative_downsample = f"""with {INTERACTIONS}, {_sampled(ON_SURFACE['all'])}
         select {SHOWN}, is_native_order, price from kept"""
+    warehouse_sample = f"""with {INTERACTIONS},
+        {fingerprint_ctes('by_user', 'interactions', 'unified_buyer_id')},
+        eligible as (select * exclude (fp), {fingerprint_bucket(BUYER_HASH_MODULUS)} as ubi_hash from by_user
+          where {_window(*resolve_window(fx.WHOLE_RANGE, 'base_train'))} and {ON_SURFACE['all']}
+          and {fingerprint_bucket(100)} < 60),
+        stats as (select avg(case when is_native_order then 1.0::double else 0.0::double end) as pos_rate
+          from eligible), {fingerprint_ctes('by_row', 'eligible', TRIPLE)}
+        select {SHOWN}, is_native_order, ubi_hash, coalesce({fingerprint_bucket(1_000_000)}, -1) as row_hash
+        from by_row, stats where is_native_order or {fingerprint_bucket(1_000_000)} <= {_threshold(20)}"""
     category_ids = f"""with {BASE}, {_vocab('split')} select {SHOWN},
         {', '.join(f'{_code(c)} as {c}_id' for c in SPEC.categorical)} from split r"""
     category_ids_many = f"""with {BASE}, many as (select *, product_id::varchar as product_text,
@@ -447,6 +457,7 @@ def oracle_sql() -> dict[str, str]:
         "positive_rate": f"""with {INTERACTIONS}, {_sampled(ON_SURFACE['all'])}
             select pos_rate, {_threshold(20)} as threshold from stats""",
         "negative_downsample": negative_downsample,
+        "warehouse_sample": warehouse_sample,
         "one_scan_downsample": negative_downsample,
         "pointwise_base": f"with {BASE} {SHOWN_SPLIT}",
         "one_scan_split": f"with {BASE} {SHOWN_SPLIT}",

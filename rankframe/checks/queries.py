@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankframe import fixtures as fx
-from rankframe.functions.hashing import concat_key, hash_mod, hashed_id, user_date_key
+from rankframe.functions.hashing import buyer_hash, concat_key, hash_mod, hashed_id, user_date_key
 from rankframe.functions.vectors import has_embedding
 from rankframe.operators import batches, embeddings, encode, identity, metrics, sampling, scoring
 from rankframe.operators.quantiles import quantile_boundaries
@@ -203,6 +203,20 @@ def one_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_split(spark, root, "base_train")
 
 
+def warehouse_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and negatives that a warehouse with FarmHash fingerprints would pick."""
+    cfg = replace(fx.WHOLE_RANGE, hash_algo="farm", user_sample_pct=60)
+    window = resolve_window(cfg, "base_train")
+    rows = sampling.eligible_rows(fx.interactions(spark, sf_dir), cfg, SPEC, *window)
+    kept = sampling.downsample_negatives(rows, cfg, SPEC)
+    return kept.select(
+        *KEYS,
+        SPEC.label,
+        buyer_hash(F.col(SPEC.buyer), "farm").alias("ubi_hash"),
+        sampling.triple_hash(cfg, SPEC).alias("row_hash"),
+    )
+
+
 # --- ids and embeddings ----------------------------------------------------------------------
 
 
@@ -744,6 +758,7 @@ def queries() -> dict[str, Query]:
         "user_sample": user_sample,
         "positive_rate": positive_rate,
         "negative_downsample": negative_downsample,
+        "warehouse_sample": warehouse_sample,
         "one_scan_downsample": one_scan_downsample,
         "one_scan_split": one_scan_split,
         "pointwise_base": base_split,
