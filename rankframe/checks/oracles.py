@@ -553,6 +553,13 @@ def oracle_sql() -> dict[str, str]:
             "product_id",
             "product_vectors",
         ),
+        "projections_in_increments": _projection_query(
+            f"{PRODUCTS}, product_vectors as (select product_id, min(product_search_document_embedding)"
+            " as vec from products where product_id is not null group by 1)",
+            "product",
+            "product_id",
+            "product_vectors",
+        ),
         "preproject_users": _projection_query(
             f"{BASE}, {HISTORY}, {_user_export('split')}", "user", "user_date_key", "user_export"
         ),

@@ -30,6 +30,7 @@ from rankframe.plans.model_ready import (
     model_ready,
 )
 from rankframe.plans.pointwise import split_rows
+from rankframe.plans.projections import read_projections, update_projections
 from rankframe.session import materialize, scratch_path
 from rankframe.sources.buckets import BucketedTable, append_buckets, write_buckets
 from rankframe.sources.catalog import TableCatalog
@@ -632,6 +633,25 @@ def preproject_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def projections_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products without every seventh id and with old vectors first, then the whole table."""
+    table = materialize(fx.product_embedding_table(spark, sf_dir))
+    vector, root = "product_search_document_embedding", scratch_path(spark)
+    weights = scoring.load_weights(fx.weight_table(spark, {}), "float64")
+    old = F.when(F.col(SPEC.product) % 5 == 0, F.reverse(vector)).otherwise(F.col(vector))
+    first = table.filter(F.col(SPEC.product) % 7 != 0).withColumn(vector, old)
+    for increment in (first, table):
+        update_projections(
+            increment, weights, "product", root,
+            id_column=SPEC.product, vector=vector, dim=SPEC.embedding_dim, dtype="float64",
+        )
+    return read_projections(spark, root, "product").select(
+        SPEC.product,
+        *[(F.round(F.get("proj", F.lit(i)), 6) + F.lit(0.0)).alias(f"proj_emb_{i}") for i in range(fx.PROJECTED_DIM)],
+        F.col("has_emb").cast("double").alias("has_emb"),
+    )
+
+
 def preproject_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = identity.distinct_buyer_days(base_split(spark, sf_dir), SPEC)
     table = embeddings.user_embeddings_at_day(
@@ -798,6 +818,7 @@ def queries() -> dict[str, Query]:
         "focal_loss": focal_loss,
         "score_parity": score_parity,
         "preproject_products": preproject_products,
+        "projections_in_increments": projections_in_increments,
         "preproject_users": preproject_users,
         "score_rows": score_rows,
         "score_projected": score_projected,
