@@ -378,7 +378,7 @@ def vocabulary_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.interactions(spark, sf_dir).select(
         F.concat_ws("|", SPEC.buyer, SPEC.product, SPEC.day).alias("triple")
     )
-    distinct = distinct_categories(rows, ["triple"])
+    distinct = materialize(distinct_categories(rows, ["triple"]))
     return number_categories(distinct, value_bytes=1 << 14)
 
 

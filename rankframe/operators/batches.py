@@ -24,14 +24,20 @@ def _hashed(df: DataFrame) -> list[Column]:
 
 
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "pos") -> DataFrame:
-    """Zero-based position of each row when sorted by ``order``.
+    """Zero-based position of each row when sorted by ``order``, by one range-partitioned sort.
 
-    One range-partitioned sort, written to the checkpoint folder so that the row numbers
-    inside the partitions are fixed; then the partition sizes, one row per partition, are
-    summed up and added.  Rows that tie on every column take the positions in any order; the
-    source partition number as last sort key lets a mass of copies spread over tasks.
+    Rows that tie on every column take the positions in any order; the source partition number
+    as last sort key lets a mass of copies spread over tasks.
+    """
+    return number_ordered(df.orderBy(*order, F.xxhash64(*_hashed(df)), F.spark_partition_id()), out)
+
+
+def number_ordered(ordered: DataFrame, out: str = "pos") -> DataFrame:
+    """Zero-based position of each row of a frame that is sorted, within and across partitions.
+
+    Written to the checkpoint folder so that the row numbers inside the partitions are fixed;
+    then the partition sizes, one row per partition, are summed up and added.
     """
-    ordered = df.orderBy(*order, F.xxhash64(*_hashed(df)), F.spark_partition_id())
     numbered = materialize(ordered.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", _ROW_BITS)
     # a window over the list of partitions, not over the rows
@@ -45,7 +51,7 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str = "pos") -> DataFr
     return (
         numbered.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
-        .select(*df.columns, (F.col("_start") + inside).alias(out))
+        .select(*ordered.columns, (F.col("_start") + inside).alias(out))
     )
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankframe.operators.batches import number_ordered
+
 # Text bytes of a range of values that one task sorts, about.
 RANGE_BYTES = 4 << 20
+RANGES_PER_PARTITION = 4
 
 
 def distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,45 +35,22 @@ def category_sizes(distinct: DataFrame) -> DataFrame:
 def number_categories(distinct: DataFrame, value_bytes: float = 16.0) -> DataFrame:
     """``(feature, value, id)``: ids 1..n per feature in byte order of the values; 0 stays free.
 
-    Values are cut into ranges, numbered inside their range, and shifted by the sizes of the
-    ranges before it.  ``value_bytes`` is the mean length of a value; the number of ranges
-    follows the size of the vocabulary, so no task sorts more than a few ``RANGE_BYTES``.
+    Values are dealt into ranges and sorted there, and the sorted ranges are stored; their sizes
+    then place them after each other, so nothing that grows with the vocabulary is sent to all
+    tasks.  ``value_bytes`` is the mean length of a value; the number of ranges follows the size
+    of the vocabulary, so that a task sorts about ``RANGE_BYTES``, up to ``RANGES_PER_PARTITION``
+    ranges for each of the session's shuffle partitions.  ``distinct`` should be stored: it is
+    counted first.
     """
-    # Range ends are the values whose hash falls in a fixed class: the same ones on every run,
-    # so all tasks agree on the ranges.
-    every = max(int(RANGE_BYTES / max(value_bytes, 1.0)), 1)
-    ends = (
-        distinct.filter(F.pmod(F.xxhash64("value"), F.lit(every).cast("long")) == 0)
-        .groupBy("feature")
-        .agg(F.sort_array(F.collect_list("value")).alias("ends"))
-    )
-
-    def ends_below(value: Column, sorted_ends: Column) -> Column:
-        widths = F.array(*[F.lit(1 << k) for k in reversed(range(31))])
-        return F.aggregate(
-            widths,
-            F.lit(0),
-            lambda below, width: F.when(
-                F.get(sorted_ends, below + (width - 1)) < value, below + width
-            ).otherwise(below),
-        )
-
-    ranged = distinct.join(F.broadcast(ends), "feature", "left").select(
-        "feature",
-        "value",
-        F.coalesce(ends_below(F.col("value"), F.col("ends")), F.lit(0)).alias("range"),
-    )
-    before = W.partitionBy("feature").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    shift = (
-        ranged.groupBy("feature", "range")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("feature", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    )
-    inside = W.partitionBy("feature", "range").orderBy("value")
-    return (
-        ranged.withColumn("place", F.row_number().over(inside))
-        .join(F.broadcast(shift), ["feature", "range"])
-        .select("feature", "value", (F.col("shift") + F.col("place")).cast("int").alias("id"))
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = math.ceil(distinct.count() * value_bytes / RANGE_BYTES)
+    ranges = max(1, min(wanted, RANGES_PER_PARTITION * parts))
+    order = ["feature", "value"]
+    ordered = distinct.select(*order).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    numbered = number_ordered(ordered, "_pos")
+    first = numbered.groupBy("feature").agg(F.min("_pos").alias("_first"))
+    return numbered.join(F.broadcast(first), "feature").select(
+        *order, (F.col("_pos") - F.col("_first") + 1).cast("int").alias("id")
     )
 
 

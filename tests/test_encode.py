@@ -180,6 +180,14 @@ def test_numbering_follows_the_order_of_the_values(spark, value_bytes):
         assert [found[feature, v] for v in values] == list(range(1, n + 1))
 
 
+def test_numbering_sends_no_list_that_grows_to_all_tasks(spark):
+    words = spark.sql("select 'f' as feature, string(id) as value from range(2000)")
+    numbered = voc.number_categories(words, 1 << 20)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "array" not in plan
+    assert sorted(numbered.toPandas()["id"]) == list(range(1, 2001))
+
+
 def test_large_vocabularies_take_the_shuffled_lookup(frame, state):
     rows = enc.prepare(frame, SPEC)
     small = enc.encode(rows, state, SPEC, keep=["product_id"])
