@@ -663,14 +663,17 @@ def preproject_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scoring_input(
     spark: SparkSession, sf_dir: str
 ) -> tuple[DataFrame, PreprocessorState, DataFrame, DataFrame]:
-    """Encoded base split with bins and both vectors, its state, and the embedding tables."""
+    """Prepared base split, the state fitted on it, and the embedding tables."""
     root = scratch_path(spark)
     export_split(spark, fixture_catalog(spark, sf_dir), fx.WHOLE_RANGE, SPEC, "base_train", root)
     rows = encode.prepare(read_split(spark, root, "base_train"), SPEC)
     state = encode.fit(rows, SPEC, fx.SCORING)
-    products, users = embedding_tables(spark, root, SPEC)
-    coded = model_ready(rows, state, SPEC, products, users, with_bins=True)
-    return coded, state, products, users
+    return rows, state, *embedding_tables(spark, root, SPEC)
+
+
+def _coded(rows: DataFrame, state: PreprocessorState) -> DataFrame:
+    """Codes and bins without vectors, stored: both ways of scoring read them, and key counts too."""
+    return materialize(encode.encode(rows, state, SPEC, keep=[*KEYS, SPEC.buyer_hash], with_bins=True))
 
 
 def _weights(spark: SparkSession, state: PreprocessorState, with_embeddings: bool = True):
@@ -692,7 +695,8 @@ def _rounded_score(scored: DataFrame) -> DataFrame:
 
 
 def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded, state, _, _ = _scoring_input(spark, sf_dir)
+    rows, state, products, users = _scoring_input(spark, sf_dir)
+    coded = model_ready(rows, state, SPEC, products, users, with_bins=True)
     _, shape = _saved(spark, state, fx.SCORING)
     scored = scoring.score_rows(coded, _weights(spark, state), shape, keep=KEYS, dtype="float64")
     return _rounded_score(scored)
@@ -700,17 +704,18 @@ def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings projected ahead and looked up by id, as a server would."""
-    coded, state, products, users = _scoring_input(spark, sf_dir)
+    rows, state, products, users = _scoring_input(spark, sf_dir)
     weights = _weights(spark, state)
-    return _rounded_score(_scored_from_projections(coded, products, users, weights))
+    return _rounded_score(_scored_from_projections(_coded(rows, state), products, users, weights))
 
 
 def scoring_paths_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores from raw vectors against scores from projections, for weights whose category
     rows need no limiting; ids repeat on both sides alike."""
-    coded, state, products, users = _scoring_input(spark, sf_dir)
-    weights = scoring.limit_norms(_weights(spark, state))
-    raw = scoring.score_rows(coded, weights, fx.model_shape(), keep=KEYS, clamp=False, dtype="float64")
+    rows, state, products, users = _scoring_input(spark, sf_dir)
+    weights, coded = scoring.limit_norms(_weights(spark, state)), _coded(rows, state)
+    with_vectors = embeddings.attach_embeddings(coded, SPEC, products, users)
+    raw = scoring.score_rows(with_vectors, weights, fx.model_shape(), keep=KEYS, clamp=False, dtype="float64")
     ahead = _scored_from_projections(coded, products, users, weights)
     return metrics.score_parity(raw, ahead, KEYS, atol=1e-9).select(
         "n_matched", "n_unmatched", "n_repeated", "passed"

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rankframe.checks import queries
 from rankframe.operators import scoring as sc
 
 D, P, BINS, FEATURES, CATS = 6, 4, 5, 3, ("a", "b")
@@ -276,3 +277,10 @@ def test_weights_are_checked_before_any_job(encoded):
 def test_empty_table(spark, encoded):
     empty = encoded.limit(0)
     assert sc.score_rows(empty, make_weights(), SHAPE, keep=["id"]).count() == 0
+
+
+@pytest.mark.parametrize("name", ["scoring_paths_agree", "score_projected"])
+def test_scoring_reads_stored_codes(spark, sf_dir, name):
+    """Bins and vectors are not computed again for every way of scoring and every key count."""
+    plan = queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "score" in plan
