@@ -88,10 +88,10 @@ def month_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_rows(fx.interactions(spark, sf_dir), fx.MONTH, SPEC, "finetune")
 
 
-def stored_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base split written in even files, as an export leaves it."""
+def stored_base(spark: SparkSession, sf_dir: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """The base split written in even files, as an export leaves it; ``more`` columns beside its own."""
     root = scratch_path(spark)
-    write_split(base_split(spark, sf_dir), root, "base_train", even_files=True)
+    write_split(base_split(spark, sf_dir).withColumns(more or {}), root, "base_train", even_files=True)
     return read_split(spark, root, "base_train")
 
 
@@ -415,10 +415,12 @@ def category_ids_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_ids_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine vocabularies, two with many values, all too large to be broadcast."""
-    split = stored_base(spark, sf_dir).withColumns(
-        {"product_text": F.col(SPEC.product).cast("string"), "buyer_text": F.col(SPEC.buyer)}
-    )
-    split = materialize(split.withColumn("pair_text", F.concat_ws("|", "brand", "segment")))
+    texts = {
+        "product_text": F.col(SPEC.product).cast("string"),
+        "buyer_text": F.col(SPEC.buyer),
+        "pair_text": F.concat_ws("|", "brand", "segment"),
+    }
+    split = stored_base(spark, sf_dir, texts)
     spec = replace(SPEC, categorical=MANY_CATEGORIES)
     state = encode.fit(split, spec, fx.ENCODING)
     coded = encode.category_ids(split, state, {c: c for c in state.categories}, broadcast_bytes=0)

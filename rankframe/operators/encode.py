@@ -203,9 +203,11 @@ def codes_by_tuple(
         told = [F.concat(F.char_length(v).cast("string"), F.lit(":"), v) for v in parts]
         return F.concat(*[F.coalesce(t, F.lit("-")) for t in told])
 
-    tuples = materialize(rows.select(*values).groupBy(*probes).agg(F.count(F.lit(1)).alias("_rows")))
+    counted = rows.select(*values).groupBy(*probes).agg(F.count(F.lit(1)).alias("_rows"))
+    # stored, so the numbers stay as they are; entries carry them instead of the whole tuple
+    tuples = materialize(counted.withColumn("_number", F.monotonically_increasing_id()))
     tuples = tuples.withColumn("_tuple", key([F.col(p) for p in probes]))
-    entries = tuples.select("_tuple", F.posexplode(F.array(*probes)).alias("_place", "_value"))
+    entries = tuples.select("_number", F.posexplode(F.array(*probes)).alias("_place", "_value"))
     place = F.coalesce(*[F.when(F.col("feature") == f, F.lit(i)) for i, f in enumerate(features)])
     known = state.vocabulary.filter(F.col("feature").isin(features)).select(
         place.alias("_place"), F.col("value").alias("_value"), F.col("id").alias("_id")
@@ -214,7 +216,8 @@ def codes_by_tuple(
         entries.filter(F.col("_value").isNotNull()), known, ["_place", "_value"], "_id", small=False, unique=True
     )
     codes = [F.coalesce(F.max(F.when(F.col("_place") == i, F.col("_id"))), F.lit(0)) for i in range(len(features))]
-    by_tuple = found.groupBy("_tuple").agg(F.array(*codes).alias("_codes"))
+    by_number = found.groupBy("_number").agg(F.array(*codes).alias("_codes"))
+    by_tuple = tuples.select("_number", "_tuple").join(by_number, "_number").select("_tuple", "_codes")
 
     entry_bytes = F.octet_length("_tuple") + ENTRY_BYTES + 8 * len(features)
     size = tuples.agg(F.sum(entry_bytes)).first()[0] or 0

@@ -233,6 +233,18 @@ def test_many_large_vocabularies_take_one_wide_shuffle(spark, six):
     assert len(found) == 900
 
 
+def test_entries_do_not_carry_their_tuples(spark, six):
+    state = enc.fit(six, SIX, PreprocessConfig(n_bins=2))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = explain_text(enc.category_ids(six, state, {c: c for c in SIX.categorical}, broadcast_bytes=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    entries = [columns_of for columns_of in exchanged if "_place#" in columns_of]
+    assert entries and not any("_tuple#" in columns_of for columns_of in entries)
+
+
 def test_few_tuples_are_broadcast(six):
     """Vocabularies beyond the limit, but so few tuples that the rows need no shuffle at all."""
     state = enc.fit(six, SIX, PreprocessConfig(n_bins=2))
