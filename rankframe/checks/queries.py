@@ -237,7 +237,7 @@ def product_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _embeddings_asof(block_days: int | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pairs = identity.distinct_buyer_days(fx.interactions(spark, sf_dir), SPEC)
+        pairs = materialize(identity.distinct_buyer_days(fx.interactions(spark, sf_dir), SPEC))
         history = fx.embedding_history(spark, sf_dir)
         table = embeddings.user_embeddings_at_day(
             history, pairs, SPEC, hash_algo="md5", block_days=block_days
@@ -655,7 +655,7 @@ def projections_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preproject_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = identity.distinct_buyer_days(base_split(spark, sf_dir), SPEC)
+    pairs = materialize(identity.distinct_buyer_days(base_split(spark, sf_dir), SPEC))
     table = embeddings.user_embeddings_at_day(
         fx.embedding_history(spark, sf_dir), pairs, SPEC, hash_algo="md5"
     )

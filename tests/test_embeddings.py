@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rankframe import FeatureSpec
 from rankframe.functions.hashing import buyer_hash, user_date_key
 from rankframe.functions.vectors import clean_vector, has_embedding, pack_columns, vector_or_zeros
+from rankframe.checks import queries
 from rankframe.operators import embeddings as emb
 from rankframe.operators.identity import distinct_buyer_days, distinct_products, staged_ids
 from rankframe.operators.skew import hot_keys, lookup_join
@@ -386,3 +387,16 @@ def test_block_join_keys_stay_small(spark):
         made[n] = rows_of(joined, "Generate")
     # a version a day, some reaching over the end of a block, and one over all blocks
     assert 60 < made[60] <= 61 + 3 * 7 and made[120] <= 2 * made[60] + 2
+
+
+@pytest.mark.parametrize("name", ["user_embeddings_asof", "user_embeddings_in_blocks", "preproject_users"])
+def test_pairs_are_stored_before_they_are_read_again(spark, sf_dir, monkeypatch, name):
+    plans, original = [], emb.user_embeddings_at_day
+
+    def watched(history, pairs, *args, **options):
+        plans.append(pairs._jdf.queryExecution().optimizedPlan().toString())
+        return original(history, pairs, *args, **options)
+
+    monkeypatch.setattr(emb, "user_embeddings_at_day", watched)
+    queries()[name](spark, sf_dir)
+    assert plans and not any("Join" in p for p in plans)
