@@ -501,9 +501,9 @@ def wide_embeddings_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.get(vector, F.lit(i)).alias(f"product_emb_{i}") for i in range(dim)],
         *[(F.get(vector, F.lit(dim - 1 - i)) * 2).alias(f"user_emb_{i}") for i in range(dim)],
     )
-    rows = encode.prepare(wide, SPEC)
-    state = encode.fit(rows, SPEC, fx.ENCODING)
-    coded = encode.encode(rows, state, SPEC)
+    # the features are the split's own: a fit on the wide rows would join the vectors for every pass
+    state = encode.fit(encode.prepare(split, SPEC), SPEC, fx.ENCODING)
+    coded = encode.encode(encode.prepare(wide, SPEC), state, SPEC)
     return coded.select(*KEYS, F.size("emb").alias("width"), *vector_sums(F.col("emb"), "emb"))
 
 

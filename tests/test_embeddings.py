@@ -11,6 +11,7 @@ from rankframe.functions.hashing import buyer_hash, user_date_key
 from rankframe.functions.vectors import clean_vector, has_embedding, pack_columns, vector_or_zeros
 from rankframe.checks import queries
 from rankframe.operators import embeddings as emb
+from rankframe.operators import encode
 from rankframe.operators.identity import distinct_buyer_days, distinct_products, staged_ids
 from rankframe.operators.skew import hot_keys, lookup_join
 from rankframe.plans import explain_text
@@ -400,3 +401,15 @@ def test_pairs_are_stored_before_they_are_read_again(spark, sf_dir, monkeypatch,
     monkeypatch.setattr(emb, "user_embeddings_at_day", watched)
     queries()[name](spark, sf_dir)
     assert plans and not any("Join" in p for p in plans)
+
+
+def test_the_fit_does_not_join_vectors(spark, sf_dir, monkeypatch):
+    plans, original = [], encode.fit
+
+    def watched(df, *args, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return original(df, *args, **options)
+
+    monkeypatch.setattr(encode, "fit", watched)
+    queries()["wide_embeddings_packed"](spark, sf_dir)
+    assert plans and not any("Join" in p for p in plans)
