@@ -16,8 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankframe.session import materialize
+
 # A lookup table up to this size is sent to every executor instead of being shuffled.
 BROADCAST_BYTES = 64 << 20
+# What a key takes in a broadcast, in a hash relation.
+KEY_BYTES = 128
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], parts: int, weight: str | None = None) -> DataFrame:
@@ -37,11 +41,18 @@ def narrow_columns(df: DataFrame) -> list[str]:
 
 
 def one_row_per_key(table: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``table`` with the smallest value of each key; rows of a key that occurs once pass as they are."""
+    """``table`` with the smallest value of each key; rows of a key that occurs once pass as they are.
+
+    The repeated keys are stored.  While their number allows, they are broadcast, so that no value
+    of a key that occurs once is shuffled to learn that.
+    """
     keys = list(keys)
-    repeated = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select(*keys)
+    counts = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = materialize(counts.filter("_rows > 1").select(*keys))
     if repeated.isEmpty():
         return table.select(*keys, value)
+    if fits_broadcast(repeated, KEY_BYTES):
+        repeated = F.broadcast(repeated)
     reduced = table.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.min(value).alias(value))
     return table.join(repeated, keys, "left_anti").select(*keys, value).unionByName(reduced)
 

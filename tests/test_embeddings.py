@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from datetime import date
 
 import pytest
@@ -13,7 +14,7 @@ from rankframe.checks import queries
 from rankframe.operators import embeddings as emb
 from rankframe.operators import encode
 from rankframe.operators.identity import distinct_buyer_days, distinct_products, staged_ids
-from rankframe.operators.skew import hot_keys, lookup_join
+from rankframe.operators.skew import hot_keys, lookup_join, one_row_per_key
 from rankframe.plans import explain_text
 
 SPEC = FeatureSpec(numeric=("x",), categorical=(), embedding_dim=2)
@@ -346,6 +347,23 @@ def test_lookup_plans(spark, tmp_path):
     assert found.where("out[1] = 2").count() == 2000
 
 
+def test_repeated_keys_move_no_other_vector(spark, tmp_path):
+    """Only rows of keys that occur more than once are shuffled, though nothing is small enough to be broadcast unasked."""
+    vector = F.array(F.col("id").cast("float"), F.lit(2.0).cast("float"))
+    rows = spark.range(2000).select((F.col("id") % 1990).alias("k"), vector.alias("v"))
+    rows.union(spark.createDataFrame([(None, [1.0, 1.0])], "k long, v array<float>")).write.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reduced = one_row_per_key(spark.read.parquet(f"{tmp_path}/t"), ["k"], "v")
+        exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", explain_text(reduced))
+        found = reduced.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanged and not [x for x in exchanged if re.search(r"\bv#", x)]
+    assert sorted((r["k"], r["v"]) for r in found if r["k"] is not None) == [(k, [float(k), 2.0]) for k in range(1990)]
+    assert [r["v"] for r in found if r["k"] is None] == [[1.0, 1.0]]
+
+
 def long_history(spark, n, copies=1):
     """One buyer: a version for each of ``n`` days, ``copies`` times, and one that spans all."""
     return spark.sql(
