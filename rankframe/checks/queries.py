@@ -764,7 +764,7 @@ def _scored_from_projections(
 def score_without_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared_base(spark, sf_dir)
     state = encode.fit(rows, SPEC, fx.SCORING)
-    coded = encode.encode(rows, state, SPEC, with_bins=True)
+    coded = encode.encode(rows, state, SPEC)
     scored = scoring.score_rows(
         coded,
         _weights(spark, state, with_embeddings=False),
@@ -772,6 +772,7 @@ def score_without_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
         keep=KEYS,
         inputs="none",
         dtype="float64",
+        boundaries=state.boundaries,
     )
     return _rounded_score(scored)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,17 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def quantile_bins(numeric: Column, boundaries: Sequence[Sequence[float]]) -> Column:
-    """Bin of every element of ``numeric``: 1 + number of boundaries below the value.
-
-    Bins are ``(b[k-1], b[k]]`` and run from 1 to Q; repeated boundaries are kept, so some
-    bins may stay empty.  A null or NaN element is binned as 0, as it would be after
-    cleaning; a null array has no bins; an array of another length than the boundaries is an
-    error.  Arrow batches go through ``numpy.searchsorted`` on flat buffers.
-    """
+def binner(boundaries: Sequence[Sequence[float]]) -> Callable[[pa.Array], pa.Array]:
+    """What :func:`quantile_bins` does with an Arrow batch of arrays."""
     table = np.asarray(boundaries, dtype=np.float32)
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def bins(batch: pa.Array) -> pa.Array:
         sizes = pc.drop_null(pc.list_value_length(batch)).to_numpy(zero_copy_only=False)
         if (sizes != len(table)).any():
@@ -36,4 +29,15 @@ def quantile_bins(numeric: Column, boundaries: Sequence[Sequence[float]]) -> Col
         ends = np.concatenate([[0], np.cumsum(present)]).astype(np.int32) * len(table)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()), mask=pa.array(~present))
 
-    return bins(numeric)
+    return bins
+
+
+def quantile_bins(numeric: Column, boundaries: Sequence[Sequence[float]]) -> Column:
+    """Bin of every element of ``numeric``: 1 + number of boundaries below the value.
+
+    Bins are ``(b[k-1], b[k]]`` and run from 1 to Q; repeated boundaries are kept, so some
+    bins may stay empty.  A null or NaN element is binned as 0, as it would be after
+    cleaning; a null array has no bins; an array of another length than the boundaries is an
+    error.  Arrow batches go through ``numpy.searchsorted`` on flat buffers.
+    """
+    return F.arrow_udf(binner(boundaries), T.ArrayType(T.IntegerType()))(numeric)

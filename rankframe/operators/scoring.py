@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankframe.functions.binning import binner
 from rankframe.functions.vectors import clean_vector, has_embedding
 from rankframe.operators.skew import BROADCAST_BYTES, fits_broadcast, lookup_join
 from rankframe.spec import ModelShape
@@ -356,6 +357,7 @@ def score_rows(
     inputs: str = "raw",
     clamp: bool | None = None,
     dtype: str = "float32",
+    boundaries: Sequence[Sequence[float]] | None = None,
 ) -> DataFrame:
     """``keep`` columns plus ``score``.
 
@@ -364,6 +366,9 @@ def score_rows(
     ``inputs="projected"`` takes ``product_proj``, ``user_proj``, ``has_product``, ``has_user``
     instead; ``inputs="none"`` is for a model without text embeddings.  Both leave norms and
     logits as they are.
+
+    With fitted ``boundaries`` the bins are found here, from ``num`` instead of ``bins``: a task
+    then needs one Python process, not a second one for the binning.
     """
     if inputs not in ("raw", "projected", "none"):
         raise ValueError(f"unknown inputs {inputs!r}")
@@ -377,7 +382,8 @@ def score_rows(
     shared = df.sparkSession.sparkContext.broadcast(prepared)
     dim = shape.embedding_dim
 
-    columns = ["bins", "cat"]
+    bins_of = binner(boundaries) if boundaries is not None else None
+    columns = ["bins" if bins_of is None else "num", "cat"]
     if inputs == "projected":
         columns += ["product_proj", "user_proj", "has_product", "has_user"]
     elif inputs == "raw" and dim and "emb" in df.columns:
@@ -399,6 +405,8 @@ def score_rows(
             extra = projected_pair(w, _matrix(rest[0], dtype) if rest else zeros)
             if not rest:  # the same for all rows, so projected once
                 extra = [np.repeat(e, len(bins), axis=0) for e in extra]
+        if bins_of is not None:
+            bins = bins_of(bins)
         logit = forward(w, shape, _matrix(bins, np.int64), _matrix(codes, np.int64), extra)
         if clamp:
             logit = np.clip(logit, -LOGIT_LIMIT, LOGIT_LIMIT)

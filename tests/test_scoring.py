@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankframe.checks import queries
+from rankframe.functions.binning import quantile_bins
 from rankframe.operators import scoring as sc
+from rankframe.plans import explain_text
 
 D, P, BINS, FEATURES, CATS = 6, 4, 5, 3, ("a", "b")
 SHAPE = sc.ModelShape(categories=CATS, n_bins=BINS, cross_layers=2, deep_layers=3, head_layers=2, embedding_dim=D)
@@ -195,6 +197,27 @@ def test_model_without_embeddings(encoded):
         sc.score_rows(encoded, w, shape, keep=["id"], inputs="projected")
 
 
+def test_bins_are_found_in_the_scoring_batches(spark, encoded):
+    """Same scores as with bins made ahead, and one Python step instead of two."""
+    w = make_weights(with_embeddings=False)
+    shape = sc.ModelShape(categories=CATS, n_bins=BINS, cross_layers=2)
+    bounds = [[0.5 * k + f for k in range(BINS - 1)] for f in range(FEATURES)]
+    numeric = F.array(*[((F.col("id") * (7 + f)) % 50 / 10).cast("float") for f in range(FEATURES)])
+    rows = encoded.drop("bins").withColumn("num", numeric)
+    options = {"keep": ["id"], "inputs": "none", "dtype": "float64"}
+    ahead = sc.score_rows(rows.withColumn("bins", quantile_bins(F.col("num"), bounds)), w, shape, **options)
+    inside = sc.score_rows(rows, w, shape, boundaries=bounds, **options)
+    np.testing.assert_array_equal(by_id(inside), by_id(ahead))
+    assert len(set(by_id(inside))) > 10
+    steps = [explain_text(df).count("ArrowEvalPython (") + explain_text(df).count("MapInArrow (") for df in (ahead, inside)]
+    assert steps[0] == 2 * steps[1] > 0
+
+
+def test_the_query_without_embeddings_has_one_python_step(spark, sf_dir):
+    text = explain_text(queries()["score_without_embeddings"](spark, sf_dir))
+    assert "MapInArrow" in text and "ArrowEvalPython" not in text
+
+
 def test_projecting_ahead_gives_the_same_scores(spark, encoded):
     """Vectors looked up as projections by id, one id unknown, against projecting inside."""
     w = {k: v * 0.3 if k.startswith("cat_emb") else v for k, v in make_weights().items()}
