@@ -21,6 +21,8 @@ from rankframe.operators.skew import BROADCAST_BYTES, fits_broadcast, lookup_joi
 from rankframe.spec import ModelShape
 
 LOGIT_LIMIT = 10.0
+#: Rows that go through the network at once: its layers hold this many, however long a batch is.
+ROWS_AT_ONCE = 1024
 _NORM_EPS = 1e-5
 
 Weights = Mapping[str, np.ndarray]
@@ -394,7 +396,7 @@ def score_rows(
         flags = [(np.abs(v).sum(axis=1, keepdims=True) > 0).astype(dtype) for v in (product, user)]
         return [_project(product, w, "product_proj"), _project(user, w, "user_proj"), *flags]
 
-    def compute(bins: pa.Array, codes: pa.Array, *rest: pa.Array) -> pa.Array:
+    def score(bins: pa.Array, codes: pa.Array, *rest: pa.Array) -> np.ndarray:
         w = shared.value
         extra: list[np.ndarray] = []
         if inputs == "projected":
@@ -410,6 +412,10 @@ def score_rows(
         logit = forward(w, shape, _matrix(bins, np.int64), _matrix(codes, np.int64), extra)
         if clamp:
             logit = np.clip(logit, -LOGIT_LIMIT, LOGIT_LIMIT)
-        return pa.array(logit.astype(dtype))
+        return logit.astype(dtype)
+
+    def compute(*batch: pa.Array) -> pa.Array:
+        starts = range(0, len(batch[0]), ROWS_AT_ONCE)
+        return pa.array(np.concatenate([score(*[c.slice(i, ROWS_AT_ONCE) for c in batch]) for i in starts]))
 
     return _map_batches(df, keep, columns, "score", _float_type(dtype), compute)

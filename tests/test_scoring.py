@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +214,21 @@ def test_bins_are_found_in_the_scoring_batches(spark, encoded):
     assert steps[0] == 2 * steps[1] > 0
 
 
+def test_long_batches_go_through_in_slices(encoded, monkeypatch):
+    """However long an Arrow batch is, the network holds a bounded number of its rows."""
+    w = make_weights(with_embeddings=False)
+    shape = sc.ModelShape(categories=CATS, n_bins=BINS, cross_layers=2)
+    sizes, made, forward = [], [], sc.forward
+    monkeypatch.setattr(sc, "_map_batches", lambda *args: made.append(args[-1]))
+    monkeypatch.setattr(sc, "forward", lambda w, shape, bins, *rest: sizes.append(len(bins)) or forward(w, shape, bins, *rest))
+    sc.score_rows(encoded, w, shape, keep=["id"], inputs="none", dtype="float64")
+    rng, rows = np.random.default_rng(2), 5000
+    bins, codes = rng.integers(1, BINS, (rows, FEATURES)), rng.integers(0, 7, (rows, len(CATS)))
+    got = made[0](pa.array(bins.tolist()), pa.array(codes.tolist()))
+    assert sum(sizes) == rows and max(sizes) <= 1024
+    np.testing.assert_allclose(got.to_numpy(), forward({k: v.astype("float64") for k, v in w.items()}, shape, bins, codes), rtol=1e-9)
+
+
 def test_the_query_without_embeddings_has_one_python_step(spark, sf_dir):
     text = explain_text(queries()["score_without_embeddings"](spark, sf_dir))
     assert "MapInArrow" in text and "ArrowEvalPython" not in text
