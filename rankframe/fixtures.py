@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from rankframe.spec import FeatureSpec, ModelShape, PreprocessConfig, SampleConfig
@@ -219,7 +220,11 @@ def weight_layout(vocab_sizes: dict[str, int], with_embeddings: bool) -> list[tu
 def weight_table(
     spark: SparkSession, vocab_sizes: dict[str, int], with_embeddings: bool = True
 ) -> DataFrame:
-    """The weights as the table that scoring reads: ``(name, shape, values)``."""
+    """The weights as the table that scoring reads: ``(name, shape, values)``.
+
+    Made from Arrow: a list of rows would start a Python worker per core of every executor, which
+    then stays beside those that score.
+    """
     rows = []
     for s, (name, shape, divisor, shift) in enumerate(weight_layout(vocab_sizes, with_embeddings)):
         size = 1
@@ -227,7 +232,9 @@ def weight_table(
             size *= n
         values = [shift + ((37 * k + 11 * s) % 41 - 20) / divisor for k in range(size)]
         rows.append((name, list(shape), values))
-    return spark.createDataFrame(rows, "name string, shape array<int>, values array<double>")
+    kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.float64()))
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+    return spark.createDataFrame(pa.table(columns, names=["name", "shape", "values"]))
 
 
 def model_shape(with_embeddings: bool = True) -> ModelShape:

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from rankframe import fixtures as fx
 from rankframe.checks import queries
 from rankframe.functions.binning import quantile_bins
 from rankframe.operators import scoring as sc
@@ -234,6 +235,20 @@ def test_the_query_without_embeddings_has_one_python_step(spark, sf_dir):
     assert "MapInArrow" in text and "ArrowEvalPython" not in text
 
 
+def test_reading_the_weights_starts_no_python_worker(spark):
+    """Same weights by their rule; no scan of pickled rows, whose workers would stay beside the scoring ones."""
+    sizes = {c: 5 + i for i, c in enumerate(fx.CATEGORY_ORDER)}
+    table = fx.weight_table(spark, sizes)
+    assert "ExistingRDD" not in explain_text(table)
+    assert table.schema.simpleString() == "struct<name:string,shape:array<int>,values:array<double>>"
+    weights = sc.load_weights(table, "float64")
+    layout = fx.weight_layout(sizes, True)
+    assert list(weights) == [name for name, *_ in layout]
+    for s, (name, shape, divisor, shift) in enumerate(layout):
+        rule = [shift + ((37 * k + 11 * s) % 41 - 20) / divisor for k in range(math.prod(shape))]
+        np.testing.assert_array_equal(weights[name], np.reshape(rule, shape))
+
+
 def test_projecting_ahead_gives_the_same_scores(spark, encoded):
     """Vectors looked up as projections by id, one id unknown, against projecting inside."""
     w = {k: v * 0.3 if k.startswith("cat_emb") else v for k, v in make_weights().items()}
